@@ -7,6 +7,8 @@ unused ones are pruned with their columns.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +33,8 @@ CASTABLE = (
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
 
-# The exact spellings of a timestamp and a date that need no pattern.
+# The exact spellings of a whole number, and of a timestamp and a date that need no pattern.
+WHOLE_TEXT = r"^[+-]?\d+$"
 TIMESTAMP_TEXT = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,9})?$"
 DATE_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
@@ -46,21 +49,23 @@ def check_castable(schema: T.StructType) -> None:
             raise TypeError(f"Unsupported type: {field.dataType.typeName()} (column {field.name})")
 
 
-def has_no_outer_blank(token: Column) -> Column:
-    """True when the first and last characters are printable ASCII; Spark's casts would trim anything else."""
-    return F.ascii(token).between(33, 126) & F.ascii(F.right(token, F.lit(1))).between(33, 126)
-
-
 def to_integral(token: Column, dtype: T.DataType) -> Column:
-    return F.when(has_no_outer_blank(token), token.try_cast(dtype))
+    """Digits with an optional sign; the pattern keeps out the blanks that Spark's cast would trim."""
+    return F.when(token.rlike(WHOLE_TEXT), token.try_cast(dtype))
 
 
 def to_floating(token: Column, dtype: T.DataType, locale: str = "en") -> Column:
-    """Plain notation first, then the notation of ``locale``."""
+    """Plain notation first, then the notation of ``locale``.
+
+    Text with a comma is never plain, and text without marks never differs in the locale; a failing parse is
+    slow, so neither is tried where it cannot succeed.
+    """
     grouping, decimal = number_marks(locale)
+    marks = decimal + grouping
     # translate maps the decimal mark to a point and, having no counterpart for them, drops the grouping marks
-    local_text = F.translate(token, decimal + grouping, ".")
-    return F.coalesce(token.try_cast(dtype), local_text.try_cast(dtype))
+    local_text = F.translate(token, marks, ".")
+    plain = F.when(~F.contains(token, F.lit(",")), token.try_cast(dtype))
+    return F.coalesce(plain, F.when(local_text != token, local_text.try_cast(dtype)))
 
 
 def to_boolean(token: Column) -> Column:
@@ -130,36 +135,51 @@ def try_value(token: Column, dtype: T.DataType, options: ReadOptions) -> Column:
     raise TypeError(f"Unsupported type: {dtype.typeName()}")
 
 
-def is_null_text(token: Column, field: T.StructField, options: ReadOptions) -> Column:
-    """Whether the token stands for null under the profile's rule (false for a missing token)."""
+@dataclass(frozen=True)
+class Cell:
+    """One column of a line: its token, whether the token stands for null, and the value when it fits the type.
+
+    ``null_text`` is None when no text stands for null.
+    """
+
+    field: T.StructField
+    token: Column
+    null_text: Column | None
+    value: Column
+
+    @property
+    def is_text(self) -> bool:
+        return isinstance(self.field.dataType, T.StringType)
+
+    def is_bad(self) -> Column:
+        """A token of a complete line that neither stands for null nor fits its type."""
+        misfit = self.value.isNull()
+        return misfit if self.null_text is None else ~self.null_text & misfit
+
+    def typed(self, on_bad: str) -> Column:
+        """The value; for a misfit null or an error, as ``on_bad`` says. A missing token is null."""
+        value = self.value
+        if on_bad == "error" and not self.is_text:
+            kind = self.field.dataType.simpleString()
+            message = F.concat(F.lit('For input string: "'), self.token, F.lit(f'" (column {self.field.name}, type {kind})'))
+            value = F.coalesce(value, F.raise_error(message).cast(self.field.dataType))
+        present = self.token.isNotNull() if self.null_text is None else ~self.null_text
+        return F.when(present, value).alias(self.field.name)
+
+
+def null_text(token: Column, field: T.StructField, options: ReadOptions) -> Column | None:
+    """Whether the token stands for null under the profile's rule; None when nothing does."""
     if options.profile == "legacy":
-        rule = token == "null"
-        if not isinstance(field.dataType, T.StringType):
-            rule = rule | (token == "")
-    elif not field.nullable:
-        return F.lit(False)
-    else:
-        rule = F.lit(False) if options.null_value is None else token == options.null_value
-        if options.treat_empty_values_as_nulls and options.null_value != "":
-            rule = rule | (token == "")
-    return F.coalesce(rule, F.lit(False))
-
-
-def is_bad_token(token: Column, field: T.StructField, options: ReadOptions) -> Column:
-    """A token that is present, does not stand for null and does not fit its type."""
-    if isinstance(field.dataType, T.StringType):
-        return F.lit(False)
-    return token.isNotNull() & ~is_null_text(token, field, options) & try_value(token, field.dataType, options).isNull()
-
-
-def value_of(token: Column, field: T.StructField, options: ReadOptions, on_bad: str) -> Column:
-    """The value of a token. ``on_bad`` is ``null`` or ``error``."""
-    value = try_value(token, field.dataType, options)
-    if on_bad == "error" and not isinstance(field.dataType, T.StringType):
-        message = F.concat(
-            F.lit('For input string: "'),
-            token,
-            F.lit(f'" (column {field.name}, type {field.dataType.simpleString()})'),
-        )
-        value = F.coalesce(value, F.raise_error(message).cast(field.dataType))
-    return F.when(token.isNotNull() & ~is_null_text(token, field, options), value)
+        if isinstance(field.dataType, T.StringType):
+            return token == "null"
+        return token.isin("null", "")
+    if not field.nullable:
+        return None
+    texts = [] if options.null_value is None else [options.null_value]
+    if options.treat_empty_values_as_nulls and options.null_value != "":
+        texts.append("")
+    return token.isin(*texts) if texts else None
+
+
+def cell(token: Column, field: T.StructField, options: ReadOptions) -> Cell:
+    return Cell(field, token, null_text(token, field, options), try_value(token, field.dataType, options))

@@ -10,14 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheaftext.functions.casts import TIMESTAMP_TEXT
+from sheaftext.functions.casts import TIMESTAMP_TEXT, WHOLE_TEXT
 from sheaftext.options import DROPMALFORMED, ReadOptions
 from sheaftext.sources.tokens import Tokens
 
 INT, LONG, DOUBLE, TIMESTAMP, BOOLEAN, STRING = (1 << i for i in range(6))
 
-# What counts as a whole number and as a floating number.
-WHOLE_TEXT = r"^[+-]?\d+$"
+# Fixed value: what counts as a floating number.
 FLOAT_TEXT = r"^\s*[+-]?(NaN|Infinity|(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[fFdD]?)\s*$"
 
 
@@ -30,21 +29,20 @@ def token_kind(token: Column, options: ReadOptions) -> Column:
         is_timestamp = F.try_to_timestamp(token, F.lit(_hour_of_day(options.date_format))).isNotNull()
     else:
         is_timestamp = token.rlike(TIMESTAMP_TEXT) & token.try_cast("timestamp_ntz").isNotNull()
-    numeric = (
-        F.when(token.rlike(WHOLE_TEXT) & token.try_cast("int").isNotNull(), INT)
-        .when(token.rlike(WHOLE_TEXT) & token.try_cast("bigint").isNotNull(), LONG)
-        .when(token.rlike(FLOAT_TEXT), DOUBLE)
+    whole = (
+        F.when(token.try_cast("int").isNotNull(), INT)
+        .when(token.try_cast("bigint").isNotNull(), LONG)
+        .otherwise(DOUBLE)
     )
+    number = F.when(token.rlike(WHOLE_TEXT), whole).when(token.rlike(FLOAT_TEXT), DOUBLE)
     # Numbers start with a digit, sign, point, blank, or the N or I of NaN and Infinity; letters skip the patterns.
     first = F.ascii(token)
-    may_be_number = first.between(0, 32) | first.between(43, 57) | first.isin(73, 78)
-    return (
-        F.when(silent, None)
-        .when(may_be_number & numeric.isNotNull(), numeric)
-        .when(is_timestamp if options.date_format else first.between(48, 57) & is_timestamp, TIMESTAMP)
-        .when(F.lower(token).isin("true", "false"), BOOLEAN)
-        .otherwise(STRING)
-    )
+    number = F.when(first.between(0, 32) | first.between(43, 57) | first.isin(73, 78), number)
+    if options.date_format is None:
+        is_timestamp = first.between(48, 57) & is_timestamp
+    word = F.lower(token)
+    rest = F.when(is_timestamp, TIMESTAMP).when((word == "true") | (word == "false"), BOOLEAN).otherwise(STRING)
+    return F.when(~silent, F.coalesce(number, rest))
 
 
 def _hour_of_day(pattern: str) -> str:

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheaftext.functions.casts import is_bad_token, value_of
+from sheaftext.functions.casts import Cell, cell
 from sheaftext.options import DROPMALFORMED, FAILFAST, ReadOptions
-from sheaftext.sources.tokens import Tokens
+from sheaftext.sources.tokens import UNBALANCED, Tokens
 
 REASON = "reason"
 BAD_COLUMN = "bad_column"
@@ -22,69 +22,62 @@ TOKEN_COUNT = "token_count"
 def shape_reason(tokens: Tokens) -> Column:
     """Why a line does not have the shape of the schema; null when it has."""
     ragged = (
-        F.when(tokens.unbalanced, "unbalanced_quote")
-        .when(tokens.count < 0, "too_many_tokens")
+        F.when(tokens.count.isNull(), "wrong_token_count")
+        .when(tokens.count == UNBALANCED, "unbalanced_quote")
+        .when(tokens.count > tokens.width, "too_many_tokens")
         .otherwise("too_few_tokens")
     )
     return F.when(tokens.complete, F.when(tokens.too_long, "field_too_long")).otherwise(ragged)
 
 
-def first_bad_column(tokens: Tokens, schema: T.StructType, options: ReadOptions) -> Column:
+def full_cells(tokens: Tokens, schema: T.StructType, options: ReadOptions) -> list[Cell]:
+    """The cells of complete lines."""
+    return [cell(token, field, options) for token, field in zip(tokens.full_columns, schema.fields)]
+
+
+def first_bad_column(cells: list[Cell]) -> Column:
     """Name of the first column whose token does not fit its type; null when all do."""
-    checks = [
-        F.when(is_bad_token(token, field, options), F.lit(field.name))
-        for token, field in zip(tokens.columns, schema.fields)
-        if not isinstance(field.dataType, T.StringType)
-    ]
+    checks = [F.when(c.is_bad(), F.lit(c.field.name)) for c in cells if not c.is_text]
     return F.coalesce(*checks) if checks else F.lit(None).cast("string")
 
 
-def is_well_formed(tokens: Tokens, schema: T.StructType, options: ReadOptions) -> Column:
+def is_well_formed(tokens: Tokens, cells: list[Cell]) -> Column:
     keep = tokens.complete & ~tokens.too_long
-    for token, field in zip(tokens.columns, schema.fields):
-        if not isinstance(field.dataType, T.StringType):
-            keep = keep & ~is_bad_token(token, field, options)
+    for c in cells:
+        if not c.is_text:
+            keep = keep & ~c.is_bad()
     return keep
 
 
 def tokens_text(tokens: Tokens, delimiter: str) -> Column:
     """The tokens of a line joined again; the line itself when it has more tokens than columns."""
     joined = F.concat_ws(delimiter, *tokens.columns)
-    return F.when(tokens.complete | (tokens.count >= 0), joined).otherwise(tokens.line)
+    return F.when(tokens.count.between(0, tokens.width), joined).otherwise(tokens.line)
 
 
 def apply_mode(tokens: Tokens, schema: T.StructType, options: ReadOptions, carry: list[str] | None = None) -> DataFrame:
     """Typed rows under ``options.mode``, with the ``carry`` columns after them."""
-    on_bad = "error"
     if options.mode == DROPMALFORMED:
-        rows = tokens.frame.where(is_well_formed(tokens, schema, options))
-        on_bad = "null"
+        cells = full_cells(tokens, schema, options)
+        rows, on_bad = tokens.frame.where(is_well_formed(tokens, cells)), "null"
     elif options.mode == FAILFAST:
+        cells = full_cells(tokens, schema, options)
         message = F.concat(F.lit("Malformed line in FAILFAST mode: "), tokens_text(tokens, options.delimiter))
-        fits = F.when(tokens.complete & ~tokens.too_long, True)
-        rows = tokens.frame.where(F.coalesce(fits, F.raise_error(message).cast("boolean")))
+        rows, on_bad = tokens.frame.where(_or_raise(tokens.complete & ~tokens.too_long, message)), "error"
     else:
-        rows = tokens.frame.where(~tokens.unbalanced)
-        on_bad = options.on_bad_cast
-    return rows.select(*values(tokens, schema, options, on_bad), *(carry or []))
-
-
-def values(tokens: Tokens, schema: T.StructType, options: ReadOptions, on_bad: str) -> list[Column]:
-    out = []
-    for token, field in zip(tokens.columns, schema.fields):
-        if options.mode not in (DROPMALFORMED, FAILFAST):
-            token = _within_limit(token, tokens, field, options, on_bad)
-        out.append(value_of(token, field, options, on_bad).alias(field.name))
-    return out
+        rows, on_bad = tokens.frame.where(~tokens.unbalanced), options.on_bad_cast
+        present = tokens.columns
+        if on_bad == "error":
+            message = F.lit(f"field longer than {options.max_chars_per_col} characters")
+            rows = rows.where(_or_raise(~tokens.too_long, message))
+        else:
+            present = [F.when(F.length(token) <= options.max_chars_per_col, token) for token in present]
+        cells = [cell(token, field, options) for token, field in zip(present, schema.fields)]
+    return rows.select(*[c.typed(on_bad) for c in cells], *(carry or []))
 
 
-def _within_limit(token: Column, tokens: Tokens, field: T.StructField, options: ReadOptions, on_bad: str) -> Column:
-    """In permissive mode an over-long field is a bad value: an error, or null on request."""
-    fits = ~tokens.too_long | (F.length(token) <= options.max_chars_per_col)
-    if on_bad == "null":
-        return F.when(fits, token)
-    message = F.lit(f"field longer than {options.max_chars_per_col} characters in column {field.name}")
-    return F.when(token.isNotNull(), F.coalesce(F.when(fits, token), F.raise_error(message).cast("string")))
+def _or_raise(condition: Column, message: Column) -> Column:
+    return F.coalesce(F.when(condition, True), F.raise_error(message).cast("boolean"))
 
 
 def quarantine(tokens: Tokens, schema: T.StructType, options: ReadOptions, carry: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -98,8 +91,8 @@ def rejected_lines(tokens: Tokens, schema: T.StructType, options: ReadOptions, c
         *(carry or []),
         tokens.line.alias("line"),
         shape_reason(tokens).alias(REASON),
-        F.when(tokens.count >= 0, tokens.count).alias(TOKEN_COUNT),
-        first_bad_column(tokens, schema, options).alias(BAD_COLUMN),
+        F.when(tokens.count.between(0, tokens.width), tokens.count).alias(TOKEN_COUNT),
+        first_bad_column(full_cells(tokens, schema, options)).alias(BAD_COLUMN),
     )
     rejected = checked.where(F.col(REASON).isNotNull() | F.col(BAD_COLUMN).isNotNull())
     shaped = F.col(REASON).isNotNull()

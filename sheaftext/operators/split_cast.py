@@ -30,7 +30,7 @@ def cast_piece(piece: Column, dtype: T.DataType) -> Column:
         digits = F.translate(piece, '-."', "")
         whole = F.substring(digits, 1, 14)
         fraction = F.rpad(F.substring(digits, 15, 6), 6, "0")
-        return F.try_to_timestamp(F.concat(whole, fraction), F.lit("yyyyMMddHHmmssSSSSSS")).cast(dtype)
+        return F.try_to_timestamp(F.concat_ws(".", whole, fraction), F.lit("yyyyMMddHHmmss.SSSSSS")).cast(dtype)
     return piece.try_cast(dtype)
 
 

@@ -19,7 +19,12 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select("path", "length", F.col("modificationTime").alias("modified"))
+    return reader.load(root).select(
+        # the same spelling of the path as in the metadata of a scan
+        F.col("_metadata.file_path").alias("path"),
+        "length",
+        F.col("modificationTime").alias("modified"),
+    )
 
 
 def with_batch(files: DataFrame, name_pattern: str = LANDING_NAME) -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,19 +22,25 @@ from sheaftext.sources.lines import LINE
 END_MARK = ""
 
 
+COUNT = "__count"
+UNBALANCED = -1
+
+
 @dataclass(frozen=True)
 class Tokens:
     """A frame of token columns plus the facts about each line that the modes need.
 
-    ``complete``: as many fields as the schema. ``count``: number of fields, -1 when not known.
-    ``unbalanced``: a quote was opened and never closed. ``too_long``: a field exceeds the length limit.
+    ``columns`` are null where the line had no such field; ``full_columns`` are the same for complete lines
+    only, without that check. ``complete``: as many fields as the schema. ``count``: number of fields, -1 when a
+    quote never closes, ``width + 1`` for any number above the width, null when not known. ``too_long``: a field
+    exceeds the length limit.
     """
 
     frame: DataFrame
     columns: list[Column]
+    full_columns: list[Column]
     complete: Column
     count: Column
-    unbalanced: Column
     too_long: Column
     line: Column
 
@@ -43,15 +48,16 @@ class Tokens:
     def width(self) -> int:
         return len(self.columns)
 
+    @property
+    def unbalanced(self) -> Column:
+        # the cheap test first: almost every line is complete
+        return ~self.complete & self.count.eqNullSafe(F.lit(UNBALANCED))
+
 
 def _name(i: int) -> str:
     return f"__t{i}"
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
 def parser_options(options: ReadOptions) -> dict[str, str]:
     """The dialect in the words of Spark's CSV parser."""
     return {
@@ -85,18 +91,28 @@ def tokenise(lines: DataFrame, width: int, options: ReadOptions, carry: list[str
     """Split the ``value`` column of ``lines`` into ``width`` tokens, keeping the ``carry`` columns."""
     slots = ", ".join(f"{_name(i)} string" for i in range(width + 1))
     parsed = F.from_csv(F.concat(F.col(LINE), F.lit(options.delimiter + END_MARK)), slots, parser_options(options))
-    frame = lines.select(*(carry or []), LINE, F.inline(F.array(parsed)))
     raw = [F.col(_name(i)) for i in range(width + 1)]
     complete = raw[width].eqNullSafe(F.lit(END_MARK))
-    position = F.array_position(F.array(*raw), F.lit(END_MARK))
-    count = F.when(complete, width).otherwise(position.cast("int") - 1)
-    swallowed = _any([F.coalesce(c.endswith(END_MARK), F.lit(False)) for c in raw])
-    unbalanced = F.when(complete | (position > 0), False).otherwise(swallowed | opens_unclosed_quote(F.col(LINE), options))
-    # A field can only be too long on a line that is.
-    longest = F.greatest(*[F.coalesce(F.length(c), F.lit(0)) for c in raw]) if width else F.lit(0)
-    too_long = (F.length(LINE) > options.max_chars_per_col) & (longest > options.max_chars_per_col)
-    present = [F.when(complete | (count < 0) | (count > i), F.coalesce(raw[i], F.lit(""))) for i in range(width)]
-    return Tokens(frame, present, complete, count, unbalanced, too_long, F.col(LINE))
+    position = F.array_position(F.array(*raw), F.lit(END_MARK)).cast("int")
+    # a field that swallowed the marker is the last one with any text
+    swallowed = F.concat_ws("", *raw).endswith(END_MARK)
+    count = (
+        F.when(complete, width)
+        .when(position > 0, position - 1)
+        .when(swallowed | opens_unclosed_quote(F.col(LINE), options), UNBALANCED)
+        .otherwise(width + 1)
+    )
+    parsed_lines = lines.select(*(carry or []), LINE, F.inline(F.array(parsed)))
+    frame = parsed_lines.select("*", count.alias(COUNT))
+    full = [F.coalesce(c, F.lit("")) for c in raw[:width]]
+    present = [F.when(F.col(COUNT) > i, token) for i, token in enumerate(full)]
+    return Tokens(frame, present, full, complete, F.col(COUNT), _too_long(F.col(LINE), raw, options), F.col(LINE))
+
+
+def _too_long(line: Column, raw: list[Column], options: ReadOptions) -> Column:
+    """A field can only be too long on a line that is."""
+    longest = F.greatest(*[F.coalesce(F.length(c), F.lit(0)) for c in raw], F.lit(0))
+    return (F.length(line) > options.max_chars_per_col) & (longest > options.max_chars_per_col)
 
 
 CORRUPT = "__corrupt"
@@ -124,14 +140,7 @@ def tokenise_multiline(reader, path, width: int, options: ReadOptions, carry: di
     raw = [F.col(_name(i)) for i in range(width)]
     # Spark refuses a query that touches the corrupt-record column alone, so a token takes part as well.
     complete = F.coalesce(F.col(CORRUPT), F.when(raw[0] == END_MARK, raw[0])).isNull()
-    longest = F.greatest(*[F.coalesce(F.length(c), F.lit(0)) for c in raw], F.lit(0))
+    line = F.coalesce(F.col(CORRUPT), F.concat_ws(options.delimiter, *raw))
+    full = [F.coalesce(c, F.lit("")) for c in raw]
     present = [F.coalesce(c, F.when(complete, F.lit(""))) for c in raw]
-    return Tokens(
-        frame,
-        present,
-        complete,
-        F.when(complete, width).otherwise(-1),
-        F.lit(False),
-        longest > options.max_chars_per_col,
-        F.coalesce(F.col(CORRUPT), F.concat_ws(options.delimiter, *raw)),
-    )
+    return Tokens(frame, present, full, complete, F.when(complete, width), _too_long(line, raw, options), line)
