@@ -55,28 +55,31 @@ def to_integral(token: Column, dtype: T.DataType) -> Column:
 
 
 def to_floating(token: Column, dtype: T.DataType, locale: str = "en") -> Column:
-    """Plain notation first, then the notation of ``locale``.
-
-    Text with a comma is never plain, and text without marks never differs in the locale; a failing parse is
-    slow, so neither is tried where it cannot succeed.
-    """
+    """Plain notation first, then the notation of ``locale``."""
     grouping, decimal = number_marks(locale)
-    marks = decimal + grouping
+    if decimal == ".":
+        # text with a grouping mark is never plain, so one parse without the marks serves both notations
+        return _without(token, grouping).try_cast(dtype)
     # translate maps the decimal mark to a point and, having no counterpart for them, drops the grouping marks
-    local_text = F.translate(token, marks, ".")
+    local_text = F.translate(token, decimal + grouping, ".")
+    # a failing parse is slow: text with a comma is never plain, and text without marks has one reading only
     plain = F.when(~F.contains(token, F.lit(",")), token.try_cast(dtype))
     return F.coalesce(plain, F.when(local_text != token, local_text.try_cast(dtype)))
 
 
+def _without(token: Column, marks: str) -> Column:
+    for mark in marks:
+        token = F.replace(token, F.lit(mark), F.lit(""))
+    return token
+
+
 def to_boolean(token: Column) -> Column:
-    word = F.lower(token)
-    return F.when(word == "true", True).when(word == "false", False)
+    return F.when(F.lower(token).isin("true", "false"), token.try_cast("boolean"))
 
 
 def to_decimal(token: Column, dtype: T.DecimalType, profile: str = "standard") -> Column:
     """``standard`` drops comma thousands; ``legacy`` reads the comma as the decimal mark."""
-    text = F.translate(token, ",", "." if profile == "legacy" else "")
-    return text.try_cast(dtype)
+    return F.replace(token, F.lit(","), F.lit("." if profile == "legacy" else "")).try_cast(dtype)
 
 
 def to_timestamp(token: Column, dtype: T.DataType = T.TimestampType(), pattern: str | None = None) -> Column:
@@ -105,7 +108,7 @@ def to_compact_timestamp(token: Column, dtype: T.DataType = T.TimestampType()) -
     """
     digits = F.translate(token, "-.:/", "")
     compact = F.try_to_timestamp(F.substring(digits, 1, 14), F.lit(COMPACT_TIMESTAMP)).cast(dtype)
-    return F.when(F.length(digits) >= 14, F.coalesce(compact, to_timestamp(token, dtype)))
+    return F.when(F.contains(token, F.lit(" ")), to_timestamp(token, dtype)).when(F.length(digits) >= 14, compact)
 
 
 def to_date(token: Column, pattern: str | None = None) -> Column:
@@ -137,49 +140,55 @@ def try_value(token: Column, dtype: T.DataType, options: ReadOptions) -> Column:
 
 @dataclass(frozen=True)
 class Cell:
-    """One column of a line: its token, whether the token stands for null, and the value when it fits the type.
+    """One column of a line: its token, the texts that stand for null, and the value when it fits the type.
 
-    ``null_text`` is None when no text stands for null.
+    The token is null where the field is missing, and also where it is empty if empty stands for null.
     """
 
     field: T.StructField
     token: Column
-    null_text: Column | None
+    null_texts: tuple[str, ...]
     value: Column
 
     @property
     def is_text(self) -> bool:
         return isinstance(self.field.dataType, T.StringType)
 
+    def has_value(self) -> Column:
+        return ~self.token.isin(*self.null_texts) if self.null_texts else self.token.isNotNull()
+
     def is_bad(self) -> Column:
-        """A token of a complete line that neither stands for null nor fits its type."""
-        misfit = self.value.isNull()
-        return misfit if self.null_text is None else ~self.null_text & misfit
+        """A token that does not stand for null and does not fit its type."""
+        return F.coalesce(self.has_value(), F.lit(False)) & self.value.isNull()
 
     def typed(self, on_bad: str) -> Column:
         """The value; for a misfit null or an error, as ``on_bad`` says. A missing token is null."""
         value = self.value
         if on_bad == "error" and not self.is_text:
-            kind = self.field.dataType.simpleString()
-            message = F.concat(F.lit('For input string: "'), self.token, F.lit(f'" (column {self.field.name}, type {kind})'))
-            value = F.coalesce(value, F.raise_error(message).cast(self.field.dataType))
-        present = self.token.isNotNull() if self.null_text is None else ~self.null_text
-        return F.when(present, value).alias(self.field.name)
+            # a constant message: text put together per row would make the generated code several times larger
+            message = f"A value of column {self.field.name} does not fit type {self.field.dataType.simpleString()}"
+            failure = F.when(self.has_value(), F.raise_error(F.lit(message)).cast(self.field.dataType))
+            value = F.coalesce(F.when(self.has_value(), value) if self.null_texts else value, failure)
+        elif self.null_texts:
+            value = F.when(self.has_value(), value)
+        return value.alias(self.field.name)
 
 
-def null_text(token: Column, field: T.StructField, options: ReadOptions) -> Column | None:
-    """Whether the token stands for null under the profile's rule; None when nothing does."""
+def null_texts(field: T.StructField, options: ReadOptions) -> list[str]:
+    """The texts that stand for null in a column under the profile's rule."""
     if options.profile == "legacy":
-        if isinstance(field.dataType, T.StringType):
-            return token == "null"
-        return token.isin("null", "")
+        return ["null"] if isinstance(field.dataType, T.StringType) else ["null", ""]
     if not field.nullable:
-        return None
+        return []
     texts = [] if options.null_value is None else [options.null_value]
-    if options.treat_empty_values_as_nulls and options.null_value != "":
-        texts.append("")
-    return token.isin(*texts) if texts else None
+    return texts + [""] if options.treat_empty_values_as_nulls and "" not in texts else texts
+
+
+def token_of(raw: Column, field: T.StructField, options: ReadOptions) -> Column:
+    """The token of a raw field, which is null when empty: the empty text comes back unless it stands for null."""
+    return raw if "" in null_texts(field, options) else F.coalesce(raw, F.lit(""))
 
 
 def cell(token: Column, field: T.StructField, options: ReadOptions) -> Cell:
-    return Cell(field, token, null_text(token, field, options), try_value(token, field.dataType, options))
+    texts = tuple(t for t in null_texts(field, options) if t != "")
+    return Cell(field, token, texts, try_value(token, field.dataType, options))

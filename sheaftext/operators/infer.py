@@ -1,7 +1,8 @@
 """Schema inference in one pass.
 
 Each token is one of six kinds; per column the kinds seen are or-ed into a bit mask, so partitions merge
-without any effect of row order, and one row per scan reaches the final projection.
+without any effect of row order. Tokens are unpivoted first: the kind is one expression however many columns
+there are, and each task hands on one mask per column.
 """
 
 from __future__ import annotations
@@ -25,24 +26,23 @@ def token_kind(token: Column, options: ReadOptions) -> Column:
     silent = token.isNull() | (token == "")
     if options.null_value is not None and options.null_value != "":
         silent = silent | (token == options.null_value)
-    if options.date_format is not None:
-        is_timestamp = F.try_to_timestamp(token, F.lit(_hour_of_day(options.date_format))).isNotNull()
-    else:
-        is_timestamp = token.rlike(TIMESTAMP_TEXT) & token.try_cast("timestamp_ntz").isNotNull()
-    whole = (
-        F.when(token.try_cast("int").isNotNull(), INT)
+    # A cast or pattern that fails is slow, so plain tests come first: the first character, a point, a colon.
+    first = F.ascii(token)
+    starts_number = first.between(0, 32) | first.between(43, 57) | first.isin(73, 78)
+    has_colon = F.contains(token, F.lit(":"))
+    whole_kind = (
+        F.when(F.length(token) <= 9, INT)
+        .when(token.try_cast("bigint").between(-(2**31), 2**31 - 1), INT)
         .when(token.try_cast("bigint").isNotNull(), LONG)
         .otherwise(DOUBLE)
     )
-    number = F.when(token.rlike(WHOLE_TEXT), whole).when(token.rlike(FLOAT_TEXT), DOUBLE)
-    # Numbers start with a digit, sign, point, blank, or the N or I of NaN and Infinity; letters skip the patterns.
-    first = F.ascii(token)
-    number = F.when(first.between(0, 32) | first.between(43, 57) | first.isin(73, 78), number)
+    number = F.when(~F.contains(token, F.lit(".")) & token.rlike(WHOLE_TEXT), whole_kind).when(token.rlike(FLOAT_TEXT), DOUBLE)
     if options.date_format is None:
-        is_timestamp = first.between(48, 57) & is_timestamp
-    word = F.lower(token)
-    rest = F.when(is_timestamp, TIMESTAMP).when((word == "true") | (word == "false"), BOOLEAN).otherwise(STRING)
-    return F.when(~silent, F.coalesce(number, rest))
+        is_timestamp = has_colon & token.rlike(TIMESTAMP_TEXT) & token.try_cast("timestamp_ntz").isNotNull()
+    else:
+        is_timestamp = F.try_to_timestamp(token, F.lit(_hour_of_day(options.date_format))).isNotNull()
+    rest = F.when(is_timestamp, TIMESTAMP).when(F.lower(token).isin("true", "false"), BOOLEAN).otherwise(STRING)
+    return F.when(~silent, F.coalesce(F.when(starts_number & ~has_colon, number), rest))
 
 
 def _hour_of_day(pattern: str) -> str:
@@ -66,24 +66,25 @@ def merged_type(mask: Column, timestamp_name: str = "timestamp") -> Column:
 
 
 def kind_masks(tokens: Tokens, options: ReadOptions) -> DataFrame:
-    """One row: the kind mask of every column, named m0, m1, ... . Ragged lines count only when kept by the mode."""
-    rows = tokens.frame
-    rows = rows.where(tokens.complete if options.mode == DROPMALFORMED else ~tokens.unbalanced)
-    return rows.agg(*[F.bit_or(token_kind(token, options)).alias(f"m{i}") for i, token in enumerate(tokens.columns)])
+    """Rows of (position, mask) for every column with lines. Ragged lines count only if the mode keeps them."""
+    if options.mode == DROPMALFORMED:
+        rows, cells = tokens.frame.where(tokens.complete), tokens.raw
+    else:
+        rows, cells = tokens.frame.where(~tokens.unbalanced), [F.when(p, c) for c, p in zip(tokens.raw, tokens.present)]
+    unpivoted = rows.select(F.posexplode(F.array(*cells)).alias("position", "token"))
+    # distinct kinds first: they are computed once per token as a grouping key, and few are left to combine
+    seen = unpivoted.select("position", token_kind(F.col("token"), options).alias("kind")).distinct()
+    return seen.groupBy("position").agg(F.bit_or("kind").alias("mask"))
 
 
 def inferred_types(tokens: Tokens, names: list[str], options: ReadOptions) -> DataFrame:
-    """Rows of (position, column_name, data_type)."""
+    """Rows of (position, column_name, data_type), one per column."""
     timestamp = "timestamp_ntz" if options.timestamp_ntz else "timestamp"
-    entries = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(name).alias("column_name"),
-            merged_type(F.col(f"m{i}"), timestamp).alias("data_type"),
-        )
-        for i, name in enumerate(names)
-    ]
-    return kind_masks(tokens, options).select(F.inline(F.array(*entries)))
+    masks = kind_masks(tokens, options).agg(F.map_from_entries(F.collect_list(F.struct("position", "mask"))).alias("masks"))
+    columns = F.posexplode(F.array(*[F.lit(name) for name in names])).alias("position", "column_name")
+    return masks.select("masks", columns).select(
+        "position", "column_name", merged_type(F.try_element_at("masks", F.col("position")), timestamp).alias("data_type")
+    )
 
 
 def infer_schema(tokens: Tokens, names: list[str], options: ReadOptions) -> T.StructType:

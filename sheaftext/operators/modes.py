@@ -10,13 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheaftext.functions.casts import Cell, cell
+from sheaftext.functions.casts import Cell, cell, token_of
 from sheaftext.options import DROPMALFORMED, FAILFAST, ReadOptions
 from sheaftext.sources.tokens import UNBALANCED, Tokens
 
 REASON = "reason"
 BAD_COLUMN = "bad_column"
 TOKEN_COUNT = "token_count"
+KEEP = "__keep"
 
 
 def shape_reason(tokens: Tokens) -> Column:
@@ -32,7 +33,7 @@ def shape_reason(tokens: Tokens) -> Column:
 
 def full_cells(tokens: Tokens, schema: T.StructType, options: ReadOptions) -> list[Cell]:
     """The cells of complete lines."""
-    return [cell(token, field, options) for token, field in zip(tokens.full_columns, schema.fields)]
+    return [cell(token_of(raw, field, options), field, options) for raw, field in zip(tokens.raw, schema.fields)]
 
 
 def first_bad_column(cells: list[Cell]) -> Column:
@@ -49,31 +50,49 @@ def is_well_formed(tokens: Tokens, cells: list[Cell]) -> Column:
     return keep
 
 
-def tokens_text(tokens: Tokens, delimiter: str) -> Column:
-    """The tokens of a line joined again; the line itself when it has more tokens than columns."""
-    joined = F.concat_ws(delimiter, *tokens.columns)
-    return F.when(tokens.count.between(0, tokens.width), joined).otherwise(tokens.line)
-
-
 def apply_mode(tokens: Tokens, schema: T.StructType, options: ReadOptions, carry: list[str] | None = None) -> DataFrame:
     """Typed rows under ``options.mode``, with the ``carry`` columns after them."""
     if options.mode == DROPMALFORMED:
         cells = full_cells(tokens, schema, options)
-        rows, on_bad = tokens.frame.where(is_well_formed(tokens, cells)), "null"
-    elif options.mode == FAILFAST:
+        return keep_where(tokens.frame, is_well_formed(tokens, cells), [c.typed("null") for c in cells], carry)
+    if options.mode == FAILFAST:
         cells = full_cells(tokens, schema, options)
-        message = F.concat(F.lit("Malformed line in FAILFAST mode: "), tokens_text(tokens, options.delimiter))
-        rows, on_bad = tokens.frame.where(_or_raise(tokens.complete & ~tokens.too_long, message)), "error"
+        message = F.concat(F.lit("Malformed line in FAILFAST mode: "), tokens.line)
+        rows = tokens.frame.where(_or_raise(tokens.complete & ~tokens.too_long, message))
+        return rows.select(*[c.typed("error") for c in cells], *(carry or []))
+    return _permissive(tokens, schema, options, carry)
+
+
+def _permissive(tokens: Tokens, schema: T.StructType, options: ReadOptions, carry: list[str] | None) -> DataFrame:
+    """Every line whose quotes close; a field too long or of the wrong type is an error, or null on request."""
+    keep, raw = ~tokens.unbalanced, tokens.raw
+    if options.on_bad_cast == "error":
+        message = F.lit(f"field longer than {options.max_chars_per_col} characters")
+        keep = keep & _or_raise(~tokens.too_long, message)
     else:
-        rows, on_bad = tokens.frame.where(~tokens.unbalanced), options.on_bad_cast
-        present = tokens.columns
-        if on_bad == "error":
-            message = F.lit(f"field longer than {options.max_chars_per_col} characters")
-            rows = rows.where(_or_raise(~tokens.too_long, message))
-        else:
-            present = [F.when(F.length(token) <= options.max_chars_per_col, token) for token in present]
-        cells = [cell(token, field, options) for token, field in zip(present, schema.fields)]
-    return rows.select(*[c.typed(on_bad) for c in cells], *(carry or []))
+        raw = [F.when(F.coalesce(F.length(c), F.lit(0)) <= options.max_chars_per_col, c) for c in raw]
+    # tokens become columns of their own, so that the casts refer to short names and their code stays small
+    shown = [
+        F.when(present, token_of(c, field, options)).alias(shown_name(i))
+        for i, (c, field, present) in enumerate(zip(raw, schema.fields, tokens.present))
+    ]
+    rows = keep_where(tokens.frame, keep, shown, carry)
+    cells = [cell(F.col(shown_name(i)), field, options) for i, field in enumerate(schema.fields)]
+    return rows.select(*[c.typed(options.on_bad_cast) for c in cells], *(carry or []))
+
+
+def shown_name(i: int) -> str:
+    return f"__s{i}"
+
+
+def keep_where(frame: DataFrame, condition: Column, values: list[Column], carry: list[str] | None = None) -> DataFrame:
+    """``values`` of the rows where ``condition`` holds, evaluating what the two share once per row.
+
+    Written as a plain filter, the condition is pushed below the projection and every cast in it runs twice. A
+    row id in the condition keeps it where it is.
+    """
+    here = condition & (F.monotonically_increasing_id() >= 0)
+    return frame.select(*values, *(carry or []), here.alias(KEEP)).where(KEEP).drop(KEEP)
 
 
 def _or_raise(condition: Column, message: Column) -> Column:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheaftext.functions.casts import check_castable
+from sheaftext.operators import typed_parse
 from sheaftext.operators.infer import infer_schema
 from sheaftext.operators.modes import apply_mode, quarantine
 from sheaftext.options import FAILFAST, ReadOptions, merged, required_path
@@ -36,21 +38,26 @@ class DelimitedLines:
         head = first_line(lines, options) if options.header or given is None else None
         if given is None and head is None:
             raise ValueError("no line to take column names from; give a schema")
-        names = given.fieldNames() if given else self._names(head)
-        rows = data_lines(lines, options, head if options.header else None)
-        self.tokens: Tokens = tokenise(rows, len(names), options, self.carry)
-        self.schema = given or self._derived(names)
+        self.names = given.fieldNames() if given else self._names(head)
+        self.lines = data_lines(lines, options, head if options.header else None)
+        self.schema = given or self._derived()
+
+    @cached_property
+    def tokens(self) -> Tokens:
+        return tokenise(self.lines, len(self.names), self.options, self.carry)
 
     def _names(self, head: str) -> list[str]:
         names = header_names(head, self.options)
         return names if self.options.header else positional_names(len(names))
 
-    def _derived(self, names: list[str]) -> T.StructType:
+    def _derived(self) -> T.StructType:
         if self.options.infer_schema:
-            return infer_schema(self.tokens, names, self.options)
-        return T.StructType([T.StructField(name, T.StringType(), True) for name in names])
+            return infer_schema(self.tokens, self.names, self.options)
+        return T.StructType([T.StructField(name, T.StringType(), True) for name in self.names])
 
     def rows(self) -> DataFrame:
+        if typed_parse.applies(self.options):
+            return typed_parse.parse_well_formed(self.lines, self.schema, self.options, self.carry)
         return apply_mode(self.tokens, self.schema, self.options, self.carry)
 
     def good_and_rejected(self) -> tuple[DataFrame, DataFrame]:
@@ -64,9 +71,17 @@ class DelimitedFiles(DelimitedLines):
         self.options = options
         self.carry = list(carry or {})
         given = as_schema(schema)
-        names = given.fieldNames() if given else self._file_names(spark, path)
-        self.tokens = tokenise_multiline(spark.read, path, len(names), options, carry)
-        self.schema = given or self._derived(names)
+        self.names = given.fieldNames() if given else self._file_names(spark, path)
+        self._files = (spark, path, carry)
+        self.schema = given or self._derived()
+
+    @cached_property
+    def tokens(self) -> Tokens:
+        spark, path, carry = self._files
+        return tokenise_multiline(spark.read, path, len(self.names), self.options, carry)
+
+    def rows(self) -> DataFrame:
+        return apply_mode(self.tokens, self.schema, self.options, self.carry)
 
     def _file_names(self, spark: SparkSession, path) -> list[str]:
         settings = parser_options(self.options) | {"multiLine": "true", "header": str(self.options.header).lower(), "encoding": self.options.charset}

@@ -19,8 +19,7 @@ from sheaftext.options import ReadOptions
 from sheaftext.sources.lines import LINE
 
 # Fixed value: private-use characters, never trimmed as blanks and not expected in text.
-END_MARK = ""
-
+END_MARK = ""
 
 COUNT = "__count"
 UNBALANCED = -1
@@ -30,15 +29,15 @@ UNBALANCED = -1
 class Tokens:
     """A frame of token columns plus the facts about each line that the modes need.
 
-    ``columns`` are null where the line had no such field; ``full_columns`` are the same for complete lines
-    only, without that check. ``complete``: as many fields as the schema. ``count``: number of fields, -1 when a
-    quote never closes, ``width + 1`` for any number above the width, null when not known. ``too_long``: a field
-    exceeds the length limit.
+    ``raw`` are the tokens of a complete line, null where a field is empty. ``present`` says for each column
+    whether the line had such a field at all. ``complete``: as many fields as the schema. ``count``: number of
+    fields, -1 when a quote never closes, ``width + 1`` for any number above the width, null when not known.
+    ``too_long``: a field exceeds the length limit.
     """
 
     frame: DataFrame
-    columns: list[Column]
-    full_columns: list[Column]
+    raw: list[Column]
+    present: list[Column]
     complete: Column
     count: Column
     too_long: Column
@@ -46,7 +45,7 @@ class Tokens:
 
     @property
     def width(self) -> int:
-        return len(self.columns)
+        return len(self.raw)
 
     @property
     def unbalanced(self) -> Column:
@@ -54,7 +53,7 @@ class Tokens:
         return ~self.complete & self.count.eqNullSafe(F.lit(UNBALANCED))
 
 
-def _name(i: int) -> str:
+def slot(i: int) -> str:
     return f"__t{i}"
 
 
@@ -72,8 +71,12 @@ def parser_options(options: ReadOptions) -> dict[str, str]:
     }
 
 
+def marked_line(options: ReadOptions) -> Column:
+    return F.concat(F.col(LINE), F.lit(options.delimiter + END_MARK))
+
+
 def opens_unclosed_quote(line: Column, options: ReadOptions) -> Column:
-    """Whether a field opens a quote that the line never closes, for lines with more fields than columns.
+    """Whether a field opens a quote that the line never closes; meant for the few lines that are not complete.
 
     Escaped characters go first, then every closed field; an opening quote that is left over never closes.
     """
@@ -89,9 +92,10 @@ def opens_unclosed_quote(line: Column, options: ReadOptions) -> Column:
 
 def tokenise(lines: DataFrame, width: int, options: ReadOptions, carry: list[str] | None = None) -> Tokens:
     """Split the ``value`` column of ``lines`` into ``width`` tokens, keeping the ``carry`` columns."""
-    slots = ", ".join(f"{_name(i)} string" for i in range(width + 1))
-    parsed = F.from_csv(F.concat(F.col(LINE), F.lit(options.delimiter + END_MARK)), slots, parser_options(options))
-    raw = [F.col(_name(i)) for i in range(width + 1)]
+    slots = ", ".join(f"{slot(i)} string" for i in range(width + 1))
+    parsed = F.from_csv(marked_line(options), slots, parser_options(options))
+    split = lines.select(*(carry or []), LINE, F.inline(F.array(parsed)))
+    raw = [F.col(slot(i)) for i in range(width + 1)]
     complete = raw[width].eqNullSafe(F.lit(END_MARK))
     position = F.array_position(F.array(*raw), F.lit(END_MARK)).cast("int")
     # a field that swallowed the marker is the last one with any text
@@ -102,14 +106,18 @@ def tokenise(lines: DataFrame, width: int, options: ReadOptions, carry: list[str
         .when(swallowed | opens_unclosed_quote(F.col(LINE), options), UNBALANCED)
         .otherwise(width + 1)
     )
-    parsed_lines = lines.select(*(carry or []), LINE, F.inline(F.array(parsed)))
-    frame = parsed_lines.select("*", count.alias(COUNT))
-    full = [F.coalesce(c, F.lit("")) for c in raw[:width]]
-    present = [F.when(F.col(COUNT) > i, token) for i, token in enumerate(full)]
-    return Tokens(frame, present, full, complete, F.col(COUNT), _too_long(F.col(LINE), raw, options), F.col(LINE))
+    return Tokens(
+        frame=split.select("*", count.alias(COUNT)),
+        raw=raw[:width],
+        present=[F.col(COUNT) > i for i in range(width)],
+        complete=complete,
+        count=F.col(COUNT),
+        too_long=has_long_field(F.col(LINE), raw, options),
+        line=F.col(LINE),
+    )
 
 
-def _too_long(line: Column, raw: list[Column], options: ReadOptions) -> Column:
+def has_long_field(line: Column, raw: list[Column], options: ReadOptions) -> Column:
     """A field can only be too long on a line that is."""
     longest = F.greatest(*[F.coalesce(F.length(c), F.lit(0)) for c in raw], F.lit(0))
     return (F.length(line) > options.max_chars_per_col) & (longest > options.max_chars_per_col)
@@ -124,7 +132,7 @@ def tokenise_multiline(reader, path, width: int, options: ReadOptions, carry: di
     Spark's file parser marks ragged records but does not count their fields, and a null token of a ragged
     record counts as missing.
     """
-    schema = T.StructType([T.StructField(_name(i), T.StringType()) for i in range(width)] + [T.StructField(CORRUPT, T.StringType())])
+    slots = ", ".join(f"{slot(i)} string" for i in range(width))
     settings = parser_options(options) | {
         "multiLine": "true",
         "header": str(options.header).lower(),
@@ -134,13 +142,19 @@ def tokenise_multiline(reader, path, width: int, options: ReadOptions, carry: di
     }
     if options.comment is not None:
         settings["comment"] = options.comment
-    frame = reader.schema(schema).options(**settings).csv(path)
+    frame = reader.schema(f"{slots}, {CORRUPT} string").options(**settings).csv(path)
     extra = [column.alias(name) for name, column in (carry or {}).items()]
-    frame = frame.select(*[_name(i) for i in range(width)], CORRUPT, *extra)
-    raw = [F.col(_name(i)) for i in range(width)]
+    frame = frame.select(*[slot(i) for i in range(width)], CORRUPT, *extra)
+    raw = [F.col(slot(i)) for i in range(width)]
     # Spark refuses a query that touches the corrupt-record column alone, so a token takes part as well.
     complete = F.coalesce(F.col(CORRUPT), F.when(raw[0] == END_MARK, raw[0])).isNull()
     line = F.coalesce(F.col(CORRUPT), F.concat_ws(options.delimiter, *raw))
-    full = [F.coalesce(c, F.lit("")) for c in raw]
-    present = [F.coalesce(c, F.when(complete, F.lit(""))) for c in raw]
-    return Tokens(frame, present, full, complete, F.when(complete, width), _too_long(line, raw, options), line)
+    return Tokens(
+        frame=frame,
+        raw=raw,
+        present=[complete | c.isNotNull() for c in raw],
+        complete=complete,
+        count=F.when(complete, width),
+        too_long=has_long_field(line, raw, options),
+        line=line,
+    )
