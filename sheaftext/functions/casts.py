@@ -33,8 +33,9 @@ CASTABLE = (
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
 
-# The exact spellings of a whole number, and of a timestamp and a date that need no pattern.
+# The exact spellings of a whole number, a decimal, and a timestamp and a date that need no pattern.
 WHOLE_TEXT = r"^[+-]?\d+$"
+DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 TIMESTAMP_TEXT = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,9})?$"
 DATE_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
@@ -79,7 +80,8 @@ def to_boolean(token: Column) -> Column:
 
 def to_decimal(token: Column, dtype: T.DecimalType, profile: str = "standard") -> Column:
     """``standard`` drops comma thousands; ``legacy`` reads the comma as the decimal mark."""
-    return F.replace(token, F.lit(","), F.lit("." if profile == "legacy" else "")).try_cast(dtype)
+    text = F.replace(token, F.lit(","), F.lit("." if profile == "legacy" else ""))
+    return F.when(text.rlike(DECIMAL_TEXT), text.try_cast(dtype))
 
 
 def to_timestamp(token: Column, dtype: T.DataType = T.TimestampType(), pattern: str | None = None) -> Column:

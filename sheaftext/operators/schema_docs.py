@@ -32,7 +32,7 @@ TYPE_SHAPE = r"^\s*([^,()]+?)\s*(?:\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\))?\s*(?:,.*)?
 
 def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Small text files, one row each: path and whole text."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias(DOC), F.col("value").alias(TEXT)
     )
 

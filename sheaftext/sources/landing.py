@@ -15,16 +15,20 @@ def batch_glob(table: str, odate: str, kind: str = "*") -> str:
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """Rows of (path, length, modified) of every file below ``root``; contents are not read."""
+    """Rows of (path, length, modified) of every file below ``root``; contents are not read.
+
+    A scan leaves out files of zero bytes, which trigger files often are, so the names come from the scan's file
+    index, which the driver holds for any scan. ``modified`` is null for an empty file.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select(
-        # the same spelling of the path as in the metadata of a scan
-        F.col("_metadata.file_path").alias("path"),
-        "length",
-        F.col("modificationTime").alias("modified"),
-    )
+    scan = reader.load(root)
+    names = spark.createDataFrame([(name,) for name in scan.inputFiles()], "path string")
+    # the metadata column of a scan writes a path without host as file:/x, the file index as file:///x
+    every = names.select(F.regexp_replace("path", "^([a-z]+):///", "$1:/").alias("path"))
+    filled = scan.select(F.col("_metadata.file_path").alias("path"), "length", F.col("modificationTime").alias("modified"))
+    return every.join(filled, "path", "left").withColumn("length", F.coalesce("length", F.lit(0)))
 
 
 def with_batch(files: DataFrame, name_pattern: str = LANDING_NAME) -> DataFrame:
