@@ -44,5 +44,9 @@ def local_session(app: str = "sheaftext", cores: str = "8", memory: str = "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # no call-site lookup per column expression: it makes up most of the time to build a wide plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # the JVM never compiles methods above 8000 bytes; beyond that, split code beats one fused method
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
