@@ -95,7 +95,7 @@ def stitch_records(spark, sf_dir):
     tail = joined(";", "o_totalprice", stamp("o_orderdate"), "o_orderpriority")
     cut = F.when(divides("o_orderkey", 3), F.concat(head, tail)).otherwise(F.concat(head, F.lit("\n"), tail))
     table(spark, sf_dir, "orders").select(cut.alias("value")).write.text(path)
-    whole = stitch_lines(numbered_lines(spark, path), lines_per_block=1 << 10)
+    whole = stitch_lines(numbered_lines(spark, path), block_bits=10)
     return parse_lines(whole, ORDERS, delimiter=";")
 
 

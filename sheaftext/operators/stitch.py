@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from sheaftext.sources.lines import LINE, text_lines
 
 SOURCE, SPLIT, ROW = "__source", "__split", "__row"
-BLOCK = "__block"
-LINES_PER_BLOCK = 1 << 18
+BLOCK, LONG_ROW = "__block", "__long_row"
+KEYS = [SOURCE, SPLIT, BLOCK]
+BLOCK_BITS = 18
 
 
 def numbered_lines(spark: SparkSession, path: str | list[str], charset: str = "UTF-8") -> DataFrame:
@@ -44,33 +45,32 @@ def is_short(line: Column, delimiter: str, min_fields: int) -> Column:
     return delimiters + 1 < min_fields
 
 
-def stitch_lines(lines: DataFrame, delimiter: str = ";", min_fields: int = 5, lines_per_block: int = LINES_PER_BLOCK) -> DataFrame:
+def stitch_lines(lines: DataFrame, delimiter: str = ";", min_fields: int = 5, block_bits: int = BLOCK_BITS) -> DataFrame:
     """Whole records from :func:`numbered_lines`, in the same columns.
 
     Each short line that is due takes the next line of its file, also across splits; a line taken is not
-    returned on its own.
+    returned on its own. A block holds up to ``2 ** block_bits`` lines.
     """
-    keys = [SOURCE, SPLIT, BLOCK]
     blocks = lines.select(
         SOURCE,
         SPLIT,
-        F.floor(F.col(ROW) / lines_per_block).alias(BLOCK),
+        F.shiftright(ROW, block_bits).alias(BLOCK),
         ROW,
         LINE,
-        is_short(F.col(LINE), delimiter, min_fields).alias("short"),
+        F.when(~is_short(F.col(LINE), delimiter, min_fields), F.col(ROW)).alias(LONG_ROW),
     )
-    in_block = Window.partitionBy(*keys).orderBy(ROW)
+    in_block = Window.partitionBy(*KEYS).orderBy(ROW)
     before = in_block.rowsBetween(Window.unboundedPreceding, -1)
     placed = blocks.select(
-        *keys,
+        *KEYS,
         ROW,
         LINE,
-        "short",
+        F.col(LONG_ROW).isNull().alias("short"),
         F.row_number().over(in_block).alias("pos"),
-        F.max(F.when(~F.col("short"), F.col(ROW))).over(before).alias("long_before"),
+        F.max(LONG_ROW).over(before).alias("long_before"),
         F.lead(LINE).over(in_block).alias("successor"),
     )
-    joined = placed.join(_block_carry(blocks, keys), keys, "left")
+    joined = placed.join(_block_carry(blocks), KEYS, "left")
     # Short lines in a row just before this one. An odd run has its last line waiting for this one; after an
     # even run (none included) this line stands for itself and, if short, takes the next.
     run_before = F.coalesce(F.col(ROW) - F.col("long_before") - 1, F.col("pos") - 1 + F.col("carried_run"))
@@ -83,22 +83,25 @@ def stitch_lines(lines: DataFrame, delimiter: str = ";", min_fields: int = 5, li
     )
 
 
-def _block_carry(blocks: DataFrame, keys: list[str]) -> DataFrame:
-    """Per block: length of the run of short lines that reaches its start, and the first line after its end."""
-    summary = blocks.groupBy(*keys).agg(
+def _block_carry(blocks: DataFrame) -> DataFrame:
+    """Per block: length of the run of short lines that reaches its start, and the first line after its end.
+
+    The summary is a second scan with a local aggregate. A block lies inside one split and so inside one task;
+    one row per block is shuffled.
+    """
+    summary = blocks.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("n"),
-        F.min(ROW).alias("first_row"),
-        F.max(F.when(~F.col("short"), F.col(ROW))).alias("long_row"),
-        F.min_by(LINE, ROW).alias("first_line"),
+        (F.max(LONG_ROW) - F.min(ROW) + 1).alias("long_pos"),
+        F.min_by(LINE, ROW).alias(LINE),
     )
     order = Window.partitionBy(SOURCE).orderBy(SPLIT, BLOCK)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("n").over(before), F.lit(0))
     placed = summary.select(
-        *keys,
+        *KEYS,
         start.alias("start"),
-        (start + F.col("long_row") - F.col("first_row") + 1).alias("long_pos"),
-        F.lead("first_line").over(order).alias("next_block_line"),
+        (start + F.col("long_pos")).alias("long_pos"),
+        F.lead(LINE).over(order).alias("next_block_line"),
     )
     last_long = F.coalesce(F.max("long_pos").over(before), F.lit(0))
-    return placed.select(*keys, (F.col("start") - last_long).alias("carried_run"), "next_block_line")
+    return placed.select(*KEYS, (F.col("start") - last_long).alias("carried_run"), "next_block_line")

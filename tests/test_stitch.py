@@ -25,8 +25,8 @@ def random_lines(seed, n, short_share):
 
 
 @pytest.mark.parametrize("short_share", [0.0, 0.3, 0.7, 0.97, 1.0])
-@pytest.mark.parametrize("block", [1, 3, 1000])
-def test_files_splits_and_blocks(spark, tmp_path, short_share, block):
+@pytest.mark.parametrize("bits", [0, 2, 10])
+def test_files_splits_and_blocks(spark, tmp_path, short_share, bits):
     expected = []
     for seed in range(3):
         lines = random_lines(seed, 120 + seed, short_share)
@@ -37,7 +37,7 @@ def test_files_splits_and_blocks(spark, tmp_path, short_share, block):
     try:
         numbered = numbered_lines(spark, str(tmp_path))
         assert numbered.select(SPLIT).distinct().count() > 3
-        got = [r.value for r in stitch_lines(numbered, lines_per_block=block).collect()]
+        got = [r.value for r in stitch_lines(numbered, block_bits=bits).collect()]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert sorted(got) == sorted(expected)
