@@ -19,7 +19,7 @@ from sheaftext.options import ReadOptions
 from sheaftext.sources.lines import LINE
 
 # Fixed value: private-use characters, never trimmed as blanks and not expected in text.
-END_MARK = ""
+END_MARK = "\ue000\uf8ff\ue000"
 
 COUNT = "__count"
 UNBALANCED = -1
