@@ -91,14 +91,19 @@ def to_timestamp(token: Column, dtype: T.DataType = T.TimestampType(), pattern:
     return F.when(token.rlike(TIMESTAMP_TEXT), token.try_cast(dtype))
 
 
+def hour_of_day(pattern: str) -> str:
+    """The pattern with ``h`` read as ``H`` outside quotes, unless it has an am/pm marker."""
+    parts = pattern.split("'")
+    if "a" in "".join(parts[::2]):
+        return pattern
+    return "'".join(part if i % 2 else part.replace("h", "H") for i, part in enumerate(parts))
+
+
 def _by_pattern(token: Column, pattern: str, dtype: T.DataType) -> Column:
     """Parse by pattern. ``h`` without an am/pm marker counts 1-12 from midnight but lets 13-23 through."""
-    unquoted = "".join(pattern.split("'")[::2])
-    twelve_hour = "h" in unquoted and "a" not in unquoted
-    if twelve_hour:
-        pattern = "'".join(part.replace("h", "H") if i % 2 == 0 else part for i, part in enumerate(pattern.split("'")))
-    parsed = F.try_to_timestamp(token, F.lit(pattern))
-    if twelve_hour:
+    day_pattern = hour_of_day(pattern)
+    parsed = F.try_to_timestamp(token, F.lit(day_pattern))
+    if day_pattern != pattern:
         parsed = F.when(F.hour(parsed) == 12, parsed - F.expr("INTERVAL 12 HOURS")).otherwise(parsed)
     return parsed.cast(dtype)
 

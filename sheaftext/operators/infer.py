@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheaftext.functions.casts import TIMESTAMP_TEXT, WHOLE_TEXT
+from sheaftext.functions.casts import TIMESTAMP_TEXT, WHOLE_TEXT, hour_of_day
 from sheaftext.options import DROPMALFORMED, ReadOptions
 from sheaftext.sources.tokens import Tokens
 
@@ -40,18 +40,11 @@ def token_kind(token: Column, options: ReadOptions) -> Column:
     if options.date_format is None:
         is_timestamp = has_colon & token.rlike(TIMESTAMP_TEXT) & token.try_cast("timestamp_ntz").isNotNull()
     else:
-        is_timestamp = F.try_to_timestamp(token, F.lit(_hour_of_day(options.date_format))).isNotNull()
+        is_timestamp = F.try_to_timestamp(token, F.lit(hour_of_day(options.date_format))).isNotNull()
     rest = F.when(is_timestamp, TIMESTAMP).when(F.lower(token).isin("true", "false"), BOOLEAN).otherwise(STRING)
     return F.when(~silent, F.coalesce(F.when(starts_number & ~has_colon, number), rest))
 
 
-def _hour_of_day(pattern: str) -> str:
-    parts = pattern.split("'")
-    if "a" in "".join(parts[::2]):
-        return pattern
-    return "'".join(p.replace("h", "H") if i % 2 == 0 else p for i, p in enumerate(parts))
-
-
 def merged_type(mask: Column, timestamp_name: str = "timestamp") -> Column:
     """The narrowest type that holds every kind in the mask; kinds of different families make a string."""
     return (
