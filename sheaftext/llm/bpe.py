@@ -228,4 +228,3 @@ def op5_bpe(spark, sf_dir):
     return token_digests(table(spark, sf_dir, "documents"))
 
 
-SQL = None

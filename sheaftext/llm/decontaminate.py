@@ -295,4 +295,3 @@ def op8_decontaminate(spark, sf_dir):
     return found.select("doc_id", "n_words", hits, F.size("items").cast("bigint").alias("n_items"), digest.alias("items_sha256"), (n_hit() > 0).alias("contaminated"))
 
 
-SQL = None

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheaftext.llm.common import as_bytes, chunks, materialise, packed, partitions, table
@@ -146,11 +146,6 @@ def _token_lists(size: int):
     return run
 
 
-def _prefix(n: Column, percent: int) -> Column:
-    """How many first shingles of the order must meet a partner's."""
-    return n - F.floor((n * percent + 99) / 100) + 1
-
-
 def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
 
@@ -189,13 +184,13 @@ def _cell_overlaps(rows: pa.Table) -> pa.Table:
         dense[owner[lo:hi], code[lo:hi] - a] = 1
         total += (dense @ dense.T).astype(np.int32)
     return pa.table(
-        {"cell": rows.column("cell")[:1], "nodes": [packed(rows.column("node").to_numpy())], "sizes": [packed(rows.column("n").to_numpy())], "groups": [packed(rows.column("group").to_numpy())], "overlaps": [packed(total)]}
+        {"cell": rows.column("cell")[:1], "nodes": [packed(rows.column("node").to_numpy())], "sizes": [packed(rows.column("n").to_numpy())], "overlaps": [packed(total)]}
     )
 
 
 def _cell_links(percent: int):
     def run(rows: pa.Table) -> pa.Table:
-        nodes, sizes, groups = (np.frombuffer(rows.column(c)[0].as_py(), np.int64) for c in ("nodes", "sizes", "groups"))
+        nodes, sizes = (np.frombuffer(rows.column(c)[0].as_py(), np.int64) for c in ("nodes", "sizes"))
         total = np.zeros((len(nodes), len(nodes)), np.int64)
         for m in rows.column("overlaps").to_pylist():
             total += np.frombuffer(m, np.int32).reshape(total.shape)
@@ -278,9 +273,8 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     cells = across.select(F.col("x.block").alias("i"), F.col("y.block").alias("j")).union(meets.where("pure is null").select("block", "block")).distinct()
     cells = materialise(cells.withColumn("cell", F.xxhash64("i", "j")), "cells")
     sides = cells.select("cell", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    group = F.coalesce("pure", -F.col("node") - 1).alias("group")
-    placed = blocks.join(sides, "block").join(segments, "node").select("cell", "fragment", "node", "n", group, "tokens")
-    partial = placed.groupBy("cell", "fragment").applyInArrow(_cell_overlaps, "cell bigint, nodes binary, sizes binary, groups binary, overlaps binary")
+    placed = blocks.join(sides, "block").join(segments, "node").select("cell", "fragment", "node", "n", "tokens")
+    partial = placed.groupBy("cell", "fragment").applyInArrow(_cell_overlaps, "cell bigint, nodes binary, sizes binary, overlaps binary")
     found = partial.groupBy("cell").applyInArrow(_cell_links(percent), "a bigint, b bigint")
     return stars.select(F.col("home").alias("a"), F.col("node").alias("b")).union(found)
 
@@ -313,4 +307,3 @@ def op7_jaccard_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("class")
 
 
-SQL = None

@@ -32,4 +32,5 @@ def train(docs: DataFrame, ids: DataFrame, fit: Callable[[list[tuple[int, bytes,
         held = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "label")))]
         yield pa.RecordBatch.from_arrays([pa.array([fit(sorted(held))], pa.binary())], ["model"])
 
-    return bytes(rows.mapInArrow(run, "model binary").collect()[0].model)
+    made = rows.mapInArrow(run, "model binary").collect()
+    return bytes(made[0].model) if made else fit([])

@@ -216,4 +216,3 @@ def op9_toxicity(spark, sf_dir):
     return done.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-SQL = None
