@@ -13,7 +13,7 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.all_queries()))
 def test_query(spark, duck, name):
     assert differences(driver.queries()[name](spark, SF), duck, driver.oracle_sql()[name]) is None
 
