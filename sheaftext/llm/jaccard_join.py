@@ -36,7 +36,7 @@ from sheaftext.llm.common import as_bytes, chunks, materialise, packed, partitio
 from sheaftext.llm.components import components
 from sheaftext.llm.words import distinct_per_text, mix, shingles, words
 
-TOKENS_PER_FRAGMENT = 4_000_000
+TOKENS_PER_FRAGMENT = 2_000_000
 BLOCK = 256
 FRAGMENTS = 4
 NO_ID = -(2**63)
@@ -67,7 +67,7 @@ def _fragments(size: int, many: int):
     """Per chunk of texts and fragment: digests, tokens each, tokens; first the counts that the chunk itself can tell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, offsets in chunks(batches, 4 << 20):
+        for _, data, offsets in chunks(batches):
             h, at, d = sets_of(data, offsets, size)
             _, first = np.unique(d, axis=0, return_index=True)
             keep = np.zeros(len(d), bool)
@@ -100,35 +100,37 @@ def _fragments(size: int, many: int):
 def _shared_counts(rows: pa.Table) -> pa.Table:
     """For one fragment: how many tokens of each class are in more than one class."""
     digests, counts, tokens, known, local_d, local_n = [], [], [], [], [], []
-    for d, n, t, k in zip(*(rows.column(c).to_pylist() for c in ("digests", "counts", "tokens", "known"))):
-        d, n = np.frombuffer(d, np.uint64).reshape(-1, 2), np.frombuffer(n, np.uint32)
-        if t:
-            digests.append(np.repeat(d, n, axis=0))
-            tokens.append(np.frombuffer(t, np.uint64))
-            known.append(np.frombuffer(k, bool))
+    for d, n, t, k in zip(*(rows.column(c) for c in ("digests", "counts", "tokens", "known"))):
+        d, n = np.frombuffer(d.as_buffer(), np.uint64).reshape(-1, 2), np.frombuffer(n.as_buffer(), np.uint32)
+        if len(t.as_buffer()):
+            digests.append(d)
+            counts.append(n)
+            tokens.append(np.frombuffer(t.as_buffer(), np.uint64))
+            known.append(np.frombuffer(k.as_buffer(), bool))
         else:
             local_d.append(d)
             local_n.append(n.astype(np.int64))
     out_d, out_n = local_d, local_n
     if tokens:
-        d, t, k = np.concatenate(digests), np.concatenate(tokens), np.concatenate(known)
-        order = np.lexsort((d[:, 0], t))
-        d, t, k = d[order], t[order], k[order]
+        classes, number = np.unique(np.concatenate(digests), axis=0, return_inverse=True)
+        c = np.repeat(number.reshape(-1).astype(np.int32), np.concatenate(counts))
+        t, k = np.concatenate(tokens), np.concatenate(known)
+        del tokens, known, digests
+        order = np.lexsort((c, t))
+        c, t, k = c[order], t[order], k[order]
+        del order
         start = np.ones(len(t), bool)
         start[1:] = t[1:] != t[:-1]
-        group = np.cumsum(start) - 1
-        other = np.zeros(len(t), bool)
-        other[1:] = ~start[1:] & (d[1:] != d[:-1]).any(axis=1)
-        several = np.zeros(group[-1] + 1, bool)
-        several[group[other]] = True
-        any_known = np.zeros(group[-1] + 1, bool)
-        any_known[group[k]] = True
+        del t
+        group = np.cumsum(start, dtype=np.int32) - 1
+        other = np.zeros(len(c), bool)
+        other[1:] = ~start[1:] & (c[1:] != c[:-1])
+        shared = np.zeros(group[-1] + 1, bool)
+        shared[group[other | k]] = True
         # a token that a block knew to be shared was counted there for the classes of that block
-        count = (several | any_known)[group] & ~k
-        d = d[count]
-        if len(d):
-            unique, n = np.unique(d, axis=0, return_counts=True)
-            out_d, out_n = [*local_d, unique], [*local_n, n]
+        n = np.bincount(c[shared[group] & ~k], minlength=len(classes))
+        if n.any():
+            out_d, out_n = [*local_d, classes[n > 0]], [*local_n, n[n > 0]]
     d = np.concatenate(out_d) if out_d else np.zeros((0, 2), np.uint64)
     n = np.concatenate(out_n) if out_n else np.zeros(0, np.int64)
     raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(d), [None, pa.py_buffer(packed(d))]).cast(pa.binary())
