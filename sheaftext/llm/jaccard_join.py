@@ -57,7 +57,7 @@ def _digests(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in chunks(batches):
             _, at, d = sets_of(data, offsets, size)
-            raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(d), [None, pa.py_buffer(packed(d))]).cast(pa.binary())
+            raw = _digest_array(d)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at), pa.int64()), raw], ["doc_id", "n", "digest"])
 
     return run
@@ -133,15 +133,31 @@ def _shared_counts(rows: pa.Table) -> pa.Table:
             out_d, out_n = [*local_d, classes[n > 0]], [*local_n, n[n > 0]]
     d = np.concatenate(out_d) if out_d else np.zeros((0, 2), np.uint64)
     n = np.concatenate(out_n) if out_n else np.zeros(0, np.int64)
-    raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(d), [None, pa.py_buffer(packed(d))]).cast(pa.binary())
-    return pa.table({"digest": raw, "shared": pa.array(n, pa.int64())})
+    bucket = (d[:, 0] % _U(rows.column("buckets")[0].as_py())).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    names, at = np.unique(bucket[order], return_index=True)
+    parts = [order[a:b] for a, b in zip(at, [*at[1:], len(order)])]
+    return pa.table({"bucket": pa.array(names, pa.int64()), "digests": pa.array([packed(d[x]) for x in parts], pa.binary()), "counts": pa.array([packed(n[x]) for x in parts], pa.binary())})
+
+
+def _digest_array(d: np.ndarray) -> pa.Array:
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(d), [None, pa.py_buffer(packed(d))]).cast(pa.binary())
+
+
+def _summed_counts(rows: pa.Table) -> pa.Table:
+    """Shared tokens of each class of a bucket, over all fragments."""
+    d = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64).reshape(-1, 2) for x in rows.column("digests")])
+    n = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in rows.column("counts")])
+    classes, number = np.unique(d, axis=0, return_inverse=True)
+    total = np.bincount(number.reshape(-1), n, minlength=len(classes)).astype(np.int64)
+    return pa.table({"digest": _digest_array(classes), "shared": pa.array(total, pa.int64())})
 
 
 def _token_lists(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in chunks(batches):
             h, at, d = sets_of(data, offsets, size)
-            raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(d), [None, pa.py_buffer(packed(d))]).cast(pa.binary())
+            raw = _digest_array(d)
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h.view(np.int64)))
             yield pa.RecordBatch.from_arrays([raw, lists], ["digest", "tokens"])
 
@@ -216,7 +232,8 @@ def _survivors(texts: DataFrame, sizes: DataFrame, size: int, percent: int) -> D
     """(digest, n) of the classes that have enough shingles in common with other classes."""
     many = max(partitions(texts.sparkSession), (sizes.agg(F.sum("n")).first()[0] or 0) // TOKENS_PER_FRAGMENT + 1)
     sent = texts.mapInArrow(_fragments(size, many), "fragment bigint, digests binary, counts binary, tokens binary, known binary")
-    shared = sent.groupBy("fragment").applyInArrow(_shared_counts, "digest binary, shared bigint").groupBy("digest").agg(F.sum("shared").alias("shared"))
+    packed_counts = sent.withColumn("buckets", F.lit(many)).groupBy("fragment").applyInArrow(_shared_counts, "bucket bigint, digests binary, counts binary")
+    shared = packed_counts.groupBy("bucket").applyInArrow(_summed_counts, "digest binary, shared bigint")
     return sizes.join(shared, "digest").where(F.col("shared") * 100 >= F.col("n") * percent).select("digest", "n")
 
 
