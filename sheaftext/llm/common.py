@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,7 @@ BATCH_BYTES = 16 << 20
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bounded_batches(spark)
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -28,6 +31,13 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def importable(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver found it, besides where it is installed for them."""
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write a step to the shared folder and read it back: later steps neither repeat it nor depend on lost executors."""
     path = scratch_path(df.sparkSession, label)

@@ -1,0 +1,41 @@
+"""SQL of the queries that have it, and the pipeline against brute force."""
+
+import pytest
+
+import brute
+import corpus_pipeline
+from compare import connect, differences
+from sheaftext.llm import catalog
+from sheaftext.llm.bpe import token_digests
+from sheaftext.llm.toxicity import drop_toxic
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(n for n, (_, sql) in catalog.QUERIES.items() if sql))
+def test_query(spark, name):
+    run, sql = catalog.QUERIES[name]
+    assert differences(run(spark, SF), connect(SF), sql) is None
+
+
+def test_pipeline_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = drop_toxic(docs, spark.read.parquet(f"{SF}/labels.parquet")).select("doc_id", "text").collect()
+    lines = [(i, t) for i, _, _, t in brute.line_dedup([(r.doc_id, r.text) for r in kept])]
+    roots = brute.components(lines, 5, 80)
+    single = [(i, t) for i, t in lines if roots[i] == i]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    clean = {i for i, _, n, _ in brute.contamination(single, items) if not n}
+    left = spark.createDataFrame([(i, t) for i, t in single if i in clean], "doc_id bigint, text string")
+    assert 0 < len(clean) < docs.count()
+    assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == sorted(map(tuple, token_digests(left).collect()))
+
+
+def test_stages_on_odd_rows(spark, folder):
+    for path in folder:
+        docs = spark.read.parquet(f"{path}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, path)
+            assert tuple(out.columns) == corpus_pipeline.COLUMNS
+            assert out.count() <= docs.count()
+        assert corpus_pipeline.run(spark, path).count() >= 0
