@@ -231,8 +231,9 @@ def test_near_matches(spark):
 
 
 def corpus(seed, n=400):
-    rng = random.Random(seed)
+    rng = random.Random(0)
     plain = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(200)]
+    rng = random.Random(seed)
     rows = []
     for k in range(n):
         w = [rng.choice(plain) for _ in range(rng.randint(5, 120))]
