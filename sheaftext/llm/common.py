@@ -17,7 +17,7 @@ from sheaftext.session import scratch_path
 #: Bytes of text that numpy works on at once; a longer text makes a chunk of its own.
 CHUNK_BYTES = 2 << 20
 #: Bytes of an Arrow batch sent to a Python worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
