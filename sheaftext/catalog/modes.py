@@ -103,7 +103,22 @@ KEPT = "o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 AN
 REASONS = """SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'too_few_tokens' WHEN o_orderkey % 11 = 0 THEN 'too_many_tokens'
     WHEN o_orderkey % 13 = 0 THEN 'bad_value' WHEN o_orderkey % 17 = 0 THEN 'unbalanced_quote' ELSE 'kept' END AS reason FROM orders"""
 
+def mode_dropmalformed_numbers(spark, sf_dir):
+    """No text column at all: whole numbers, a boolean and a decimal, one value in seven unfit."""
+    number = F.when(divides("l_orderkey", 7), F.lit("none")).otherwise(F.col("l_linenumber").cast("string"))
+    even = (F.col("l_partkey") % 2 == 0).cast("string")
+    line = joined(",", "l_orderkey", "l_partkey", number, even, F.col("l_quantity").cast("decimal(12,2)").cast("string"))
+    schema = "l_orderkey bigint, l_partkey bigint, l_linenumber int, even boolean, l_quantity decimal(12,2)"
+    rows = parse_lines(table(spark, sf_dir, "lineitem").select(line.alias("value")), schema, mode="DROPMALFORMED")
+    return rows.withColumn("l_quantity", F.col("l_quantity").cast("double"))
+
+
 QUERIES = {
+    "mode_dropmalformed_numbers": (
+        mode_dropmalformed_numbers,
+        """SELECT l_orderkey, l_partkey, l_linenumber, l_partkey % 2 = 0 AS even, CAST(l_quantity AS DOUBLE) AS l_quantity
+        FROM lineitem WHERE l_orderkey % 7 <> 0""",
+    ),
     "mode_permissive": (
         mode_permissive,
         """SELECT o_orderkey, o_custkey, o_orderstatus,

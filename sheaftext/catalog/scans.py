@@ -10,6 +10,7 @@ from sheaftext.plans.ratings import load_ratings
 from sheaftext.session import scratch_path
 from sheaftext.sinks.delimited import format_lines
 from sheaftext.sinks.parquet import quoted_table
+from sheaftext.sources.delimited import open_lines
 from sheaftext.sources.ratings import RATING_COLUMNS
 
 
@@ -30,7 +31,7 @@ def csv_multiline_documents(spark, sf_dir):
     path = scratch_path(spark, "documents-csv")
     write_delimited(table(spark, sf_dir, "documents"), path, header=True)
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-    return read_delimited(spark, path, schema, header=True, multi_line=True, comment=None, max_chars_per_col=100_000_000)
+    return read_delimited(spark, path, schema, header=True, multi_line=True, comment=None)
 
 
 def tsv_roundtrip_customer(spark, sf_dir):
@@ -111,15 +112,26 @@ def csv_maxchars_drop(spark, sf_dir):
     flat = table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", r"[\r\n]", " ").alias("text"), "lang")
     lines = format_lines(flat, quote_mode="ALL")
     schema = "doc_id bigint, text string, lang string"
-    rows = parse_lines(lines, schema, mode="DROPMALFORMED", max_chars_per_col=2000, comment=None)
-    return rows.select("doc_id", "lang", F.length("text").cast("bigint").alias("chars"))
+    good, rejected = open_lines(lines, schema, max_chars_per_col=2000, comment=None).good_and_rejected()
+    long = parse_lines(rejected.select("reason", F.col("line").alias("value")), schema, carry=["reason"], comment=None)
+    every = good.withColumn("reason", F.lit(None).cast("string")).unionByName(long)
+    return every.select("doc_id", "lang", F.length("text").cast("bigint").alias("chars"), "reason")
+
+
+def csv_long_fields(spark, sf_dir):
+    """Texts repeated until they pass every usual limit, read without a schema."""
+    repeated = F.repeat(F.regexp_replace("text", r"[\r\n]", " "), (F.lit(140_000) / F.greatest(F.length("text"), F.lit(1))).cast("int") + 1)
+    path = scratch_path(spark, "long-fields")
+    write_delimited(table(spark, sf_dir, "documents").where(F.length("text") > 0).select("doc_id", repeated.alias("text")), path, header=True, quote_mode="ALL")
+    rows = read_delimited(spark, path, header=True, comment=None)
+    return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.length("text").cast("bigint").alias("chars"))
 
 
 def csv_embedded_newline_lines(spark, sf_dir):
     """Records with newlines inside quotes, when each record already is one row."""
     lines = format_lines(table(spark, sf_dir, "documents"))
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-    return parse_lines(lines, schema, comment=None, max_chars_per_col=100_000_000)
+    return parse_lines(lines, schema, comment=None)
 
 
 def ratings_load(spark, sf_dir):
@@ -153,7 +165,11 @@ QUERIES = {
     "csv_header_equal_rows_dropped": (csv_header_equal_rows_dropped, "SELECT * FROM part"),
     "csv_alt_dialect": (csv_alt_dialect, "SELECT c_custkey, c_name || ' | ''n''' AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"),
     "csv_trim": (csv_trim, "SELECT * FROM customer"),
-    "csv_maxchars_drop": (csv_maxchars_drop, "SELECT doc_id, lang, length(text) AS chars FROM documents WHERE length(text) <= 2000"),
+    "csv_maxchars_drop": (csv_maxchars_drop, "SELECT doc_id, lang, length(text) AS chars, CASE WHEN length(text) > 2000 THEN 'field_too_long' END AS reason FROM documents"),
+    "csv_long_fields": (
+        csv_long_fields,
+        "SELECT doc_id, CAST(length(text) * (trunc(140000 / length(text)) + 1) AS BIGINT) AS chars FROM documents WHERE length(text) > 0",
+    ),
     "csv_embedded_newline_lines": (csv_embedded_newline_lines, "SELECT * FROM documents"),
     "ratings_load": (
         ratings_load,

@@ -58,6 +58,8 @@ def to_integral(token: Column, dtype: T.DataType) -> Column:
 def to_floating(token: Column, dtype: T.DataType, locale: str = "en") -> Column:
     """Plain notation first, then the notation of ``locale``."""
     grouping, decimal = number_marks(locale)
+    # Spark also takes nan, inf and the like in any case; inference calls these text
+    token = F.when(~token.rlike(r"(?i)^\s*[+-]?(nan|inf)") | token.rlike(r"^\s*[+-]?(NaN|Infinity)\s*$"), token)
     if decimal == ".":
         # text with a grouping mark is never plain, so one parse without the marks serves both notations
         return _without(token, grouping).try_cast(dtype)

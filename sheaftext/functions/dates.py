@@ -27,4 +27,5 @@ def retention_cutoff(today: Column, days: int | Column) -> Column:
 
 
 def is_expired(day: Column, today: Column, days: int | Column) -> Column:
-    return day.cast("date") < retention_cutoff(today, days)
+    """A value that is no date, such as that of a default partition, never expires."""
+    return F.coalesce(day.try_cast("date") < retention_cutoff(today, days), F.lit(False))

@@ -53,8 +53,7 @@ def is_well_formed(tokens: Tokens, cells: list[Cell]) -> Column:
 def apply_mode(tokens: Tokens, schema: T.StructType, options: ReadOptions, carry: list[str] | None = None) -> DataFrame:
     """Typed rows under ``options.mode``, with the ``carry`` columns after them."""
     if options.mode == DROPMALFORMED:
-        cells = full_cells(tokens, schema, options)
-        return keep_where(tokens.frame, is_well_formed(tokens, cells), [c.typed("null") for c in cells], carry)
+        return _well_formed(tokens, schema, options, carry, within_limit(tokens.too_long, options))
     if options.mode == FAILFAST:
         cells = full_cells(tokens, schema, options)
         message = F.concat(F.lit("Malformed line in FAILFAST mode: "), tokens.line)
@@ -64,13 +63,8 @@ def apply_mode(tokens: Tokens, schema: T.StructType, options: ReadOptions, carry
 
 
 def _permissive(tokens: Tokens, schema: T.StructType, options: ReadOptions, carry: list[str] | None) -> DataFrame:
-    """Every line whose quotes close; a field too long or of the wrong type is an error, or null on request."""
-    keep, raw = ~tokens.unbalanced, tokens.raw
-    if options.on_bad_cast == "error":
-        message = F.lit(f"field longer than {options.max_chars_per_col} characters")
-        keep = keep & _or_raise(~tokens.too_long, message)
-    else:
-        raw = [F.when(F.coalesce(F.length(c), F.lit(0)) <= options.max_chars_per_col, c) for c in raw]
+    """Every line whose quotes close; a field of the wrong type is an error, or null on request; one that is too long is an error."""
+    keep, raw = ~tokens.unbalanced & within_limit(tokens.too_long, options), tokens.raw
     # tokens become columns of their own, so that the casts refer to short names and their code stays small
     shown = [
         F.when(present, token_of(c, field, options)).alias(shown_name(i))
@@ -95,13 +89,25 @@ def keep_where(frame: DataFrame, condition: Column, values: list[Column], carry:
     return frame.select(*values, *(carry or []), here.alias(KEEP)).where(KEEP).drop(KEEP)
 
 
+def within_limit(too_long: Column, options: ReadOptions) -> Column:
+    """Raises for a field beyond the limit that the user has set."""
+    if options.max_chars_per_col is None:
+        return F.lit(True)
+    return _or_raise(~too_long, F.lit(f"field longer than {options.max_chars_per_col} characters"))
+
+
+def _well_formed(tokens: Tokens, schema: T.StructType, options: ReadOptions, carry: list[str] | None, limit: Column) -> DataFrame:
+    cells = full_cells(tokens, schema, options)
+    return keep_where(tokens.frame, limit & is_well_formed(tokens, cells), [c.typed("null") for c in cells], carry)
+
+
 def _or_raise(condition: Column, message: Column) -> Column:
     return F.coalesce(F.when(condition, True), F.raise_error(message).cast("boolean"))
 
 
 def quarantine(tokens: Tokens, schema: T.StructType, options: ReadOptions, carry: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected lines). A rejected line keeps its text, reason, token count and first bad column."""
-    good = apply_mode(tokens, schema, options.but(mode=DROPMALFORMED), carry)
+    good = _well_formed(tokens, schema, options, carry, F.lit(True))
     return good, rejected_lines(tokens, schema, options, carry)
 
 

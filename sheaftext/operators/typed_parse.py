@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheaftext.functions.casts import INTEGRAL, Cell, cell, token_of
-from sheaftext.operators.modes import keep_where
+from sheaftext.operators.modes import keep_where, within_limit
 from sheaftext.options import DROPMALFORMED, ReadOptions
 from sheaftext.sources.lines import LINE
 from sheaftext.sources.tokens import CORRUPT, END_MARK, has_long_field, marked_line, parser_options, slot
@@ -32,11 +32,12 @@ def parse_well_formed(lines: DataFrame, schema: T.StructType, options: ReadOptio
     width = len(fields)
     kinds = [f.dataType.simpleString() if by_parser(f) else "string" for f in fields]
     slots = ", ".join(f"{slot(i)} {kind}" for i, kind in enumerate(kinds))
-    settings = parser_options(options) | {"columnNameOfCorruptRecord": CORRUPT, "locale": "en-US"}
-    parsed = F.from_csv(marked_line(options), f"{slots}, {slot(width)} string, {CORRUPT} string", settings)
+    settings = parser_options(options, width) | {"columnNameOfCorruptRecord": CORRUPT, "locale": "en-US"}
+    parsed = F.from_csv(marked_line(options, width), f"{slots}, {slot(width)} string, {CORRUPT} string", settings)
     frame = lines.select(*(carry or []), LINE, F.inline(F.array(parsed)))
     texts = [F.col(slot(i)) for i, f in enumerate(fields) if not by_parser(f)]
-    good = (F.col(slot(width)) == END_MARK) & F.col(CORRUPT).isNull() & ~has_long_field(F.col(LINE), texts, options)
+    limit = within_limit(has_long_field(F.col(LINE), texts, options), options)
+    good = limit & (F.col(slot(width)) == END_MARK) & F.col(CORRUPT).isNull()
     values = []
     for i, field in enumerate(fields):
         if by_parser(field):

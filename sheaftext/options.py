@@ -146,7 +146,7 @@ class ReadOptions:
     treat_empty_values_as_nulls: bool = False
     ignore_leading_white_space: bool = False
     ignore_trailing_white_space: bool = False
-    max_chars_per_col: int = 100_000
+    max_chars_per_col: int | None = None
     multi_line: bool = False
     profile: str = "standard"
     on_bad_cast: str = "error"
@@ -170,7 +170,7 @@ class ReadOptions:
         ):
             put(name, flag(name, getattr(self, name)))
         try:
-            put("max_chars_per_col", int(self.max_chars_per_col))
+            put("max_chars_per_col", None if self.max_chars_per_col is None else int(self.max_chars_per_col))
         except (TypeError, ValueError):
             raise ValueError("maxCharsPerCol must be a valid integer") from None
         mode = str(self.mode).upper()

@@ -111,7 +111,7 @@ def audit_rows(totals: DataFrame, database: str, table: Column, origin: str, run
     return totals.select(*[value.alias(name) for value, name in zip(values, AUDIT_COLUMNS)])
 
 
-def append_audit(rows: DataFrame, table: str = "reports.carga_bdi") -> None:
+def append_audit(rows: DataFrame, table: str) -> None:
     rows.write.mode("append").saveAsTable(table)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import codecs
 import csv
+import sys
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,14 +75,19 @@ def first_line(lines: DataFrame, options: ReadOptions) -> str | None:
 
 
 def header_names(line: str, options: ReadOptions) -> list[str]:
-    """Field texts of one header line under the dialect (a single line, on the driver)."""
+    """Field texts of one header line under the dialect (a single line, on the driver), whatever its length."""
+    csv.field_size_limit(sys.maxsize)
+    delimiter = options.delimiter
+    if delimiter in "\r\n":  # the csv module takes these for line ends only
+        delimiter = "\ue000"
+        line = line.replace(options.delimiter, delimiter)
     if options.quote is None:
         dialect = {"quoting": csv.QUOTE_NONE}
     elif options.escape_char == options.quote:
         dialect = {"quotechar": options.quote, "doublequote": True}
     else:
         dialect = {"quotechar": options.quote, "doublequote": False, "escapechar": options.escape_char}
-    names = next(csv.reader([line], delimiter=options.delimiter, **dialect))
+    names = next(csv.reader([line], delimiter=delimiter, **dialect))
     if options.ignore_leading_white_space:
         names = [name.lstrip() for name in names]
     if options.ignore_trailing_white_space:

@@ -57,7 +57,15 @@ def slot(i: int) -> str:
     return f"__t{i}"
 
 
-def parser_options(options: ReadOptions) -> dict[str, str]:
+# Columns that Spark's parser is ready for, when the schema needs no more.
+MOST_COLUMNS = 20_480
+
+
+def most_columns(width: int) -> int:
+    return max(MOST_COLUMNS, width + 2)
+
+
+def parser_options(options: ReadOptions, width: int = 0) -> dict[str, str]:
     """The dialect in the words of Spark's CSV parser."""
     return {
         "sep": options.delimiter,
@@ -68,11 +76,20 @@ def parser_options(options: ReadOptions) -> dict[str, str]:
         "ignoreLeadingWhiteSpace": str(options.ignore_leading_white_space).lower(),
         "ignoreTrailingWhiteSpace": str(options.ignore_trailing_white_space).lower(),
         "maxCharsPerColumn": "-1",
+        "maxColumns": str(most_columns(width)),
     }
 
 
-def marked_line(options: ReadOptions) -> Column:
-    return F.concat(F.col(LINE), F.lit(options.delimiter + END_MARK))
+def marked_line(options: ReadOptions, width: int) -> Column:
+    """The line with its end marker; null for a line of more fields than the parser takes, which has too many anyway."""
+    line, most = F.col(LINE), most_columns(width) - 1
+    delimiters = lambda text: F.length(text) - F.length(F.replace(text, F.lit(options.delimiter), F.lit("")))
+    outside = line
+    if options.quote is not None:
+        q = re.escape(options.quote)
+        outside = F.regexp_replace(line, f"{q}[^{q}]*{q}", "")
+    crowded = (F.length(line) >= most) & (delimiters(line) >= most) & (delimiters(outside) >= most)
+    return F.when(~crowded, F.concat(line, F.lit(options.delimiter + END_MARK)))
 
 
 def opens_unclosed_quote(line: Column, options: ReadOptions) -> Column:
@@ -93,7 +110,7 @@ def opens_unclosed_quote(line: Column, options: ReadOptions) -> Column:
 def tokenise(lines: DataFrame, width: int, options: ReadOptions, carry: list[str] | None = None) -> Tokens:
     """Split the ``value`` column of ``lines`` into ``width`` tokens, keeping the ``carry`` columns."""
     slots = ", ".join(f"{slot(i)} string" for i in range(width + 1))
-    parsed = F.from_csv(marked_line(options), slots, parser_options(options))
+    parsed = F.from_csv(marked_line(options, width), slots, parser_options(options, width))
     split = lines.select(*(carry or []), LINE, F.inline(F.array(parsed)))
     raw = [F.col(slot(i)) for i in range(width + 1)]
     complete = raw[width].eqNullSafe(F.lit(END_MARK))
@@ -118,7 +135,9 @@ def tokenise(lines: DataFrame, width: int, options: ReadOptions, carry: list[str
 
 
 def has_long_field(line: Column, raw: list[Column], options: ReadOptions) -> Column:
-    """A field can only be too long on a line that is."""
+    """Whether a field exceeds the limit, if there is one; a field can only be too long on a line that is."""
+    if options.max_chars_per_col is None or not raw:
+        return F.lit(False)
     longest = F.greatest(*[F.coalesce(F.length(c), F.lit(0)) for c in raw], F.lit(0))
     return (F.length(line) > options.max_chars_per_col) & (longest > options.max_chars_per_col)
 
@@ -133,7 +152,7 @@ def tokenise_multiline(reader, path, width: int, options: ReadOptions, carry: di
     record counts as missing.
     """
     slots = ", ".join(f"{slot(i)} string" for i in range(width))
-    settings = parser_options(options) | {
+    settings = parser_options(options, width) | {
         "multiLine": "true",
         "header": str(options.header).lower(),
         "enforceSchema": "true",

@@ -17,27 +17,27 @@ def inferred(spark, tokens, partitions=1, **options):
 @pytest.mark.parametrize(
     "token, kind",
     [
-        ("60", "int"),
+        ("17", "int"),
         ("-2147483648", "int"),
         ("2147483648", "bigint"),
-        ("100000000000", "bigint"),
+        ("7000000000", "bigint"),
         ("9223372036854775808", "double"),
-        ("3.5", "double"),
-        (" 5 ", "double"),
-        ("1e5", "double"),
+        ("0.125", "double"),
+        (" 8 ", "double"),
+        ("2e-3", "double"),
         ("NaN", "double"),
         ("nan", "string"),
-        ("test", "string"),
-        ("Infinite", "string"),
-        ("2015-08-20 15:57:00", "timestamp"),
-        ("2015-08-20 14", "string"),
-        ("2015-08-20 14:10", "string"),
-        ("2015-08 14:49:00", "string"),
-        ("2015", "int"),
-        ("True", "boolean"),
-        ("FAlSE", "boolean"),
-        ("Fale", "string"),
-        ("t", "string"),
+        ("word", "string"),
+        ("Inf", "string"),
+        ("2021-03-04 05:06:07", "timestamp"),
+        ("2021-03-04 05", "string"),
+        ("2021-03-04 05:06", "string"),
+        ("2021-03 05:06:07", "string"),
+        ("1999", "int"),
+        ("TRUE", "boolean"),
+        ("faLse", "boolean"),
+        ("Truth", "string"),
+        ("f", "string"),
         ("", "string"),
     ],
 )
@@ -54,8 +54,8 @@ def test_single_tokens(spark, token, kind):
         (["1", "", "2"], "int"),
         (["1", "x"], "string"),
         (["1", "true"], "string"),
-        (["2015-08-20 15:57:00", "FALSE"], "string"),
-        (["1.5", "2015-08-20 15:57:00"], "string"),
+        (["2021-03-04 05:06:07", "FALSE"], "string"),
+        (["1.5", "2021-03-04 05:06:07"], "string"),
         (["", ""], "string"),
     ],
 )
@@ -71,27 +71,24 @@ def test_null_text_says_nothing(spark):
 
 
 def test_pattern(spark):
-    assert inferred(spark, ["2015-08"], date_format="yyyy-MM") == "timestamp"
-    assert inferred(spark, ["26/08/2015 18:00"], date_format="dd/MM/yyyy hh:mm") == "timestamp"
+    assert inferred(spark, ["2021-03"], date_format="yyyy-MM") == "timestamp"
+    assert inferred(spark, ["04/03/2021 19:30"], date_format="dd/MM/yyyy hh:mm") == "timestamp"
 
 
-RAGGED = (
-    "\nName,Age,Height,Born\nAnn,22,10,180,1995-01-01 00:00:00\nJon,25,180,1995-01-01 00:00:00,,,,\nBob,10,180,odd value,1995-01-01 00:00:00\n"
-    "Joe,20.5,200,1995-01-01 00:00:00\nTom,30,187,1985-01-01 00:00:00\nGeo,33,177\nChr,\nHyu,error,25.5,165,1990-02-24 00:00:00\n"
-)
+RAGGED = "\nCode,Level,Grade,Seen\nk1,4,2.5,2023-05-06 07:08:09\nk2,9,3,2023-05-06 07:08:10\nk3,7\nk4,1,2,3,4,5\n"
 
 
 def test_ragged_lines(spark, put):
     strict = read_delimited(spark, put(RAGGED), header=True, infer_schema=True, mode="DROPMALFORMED")
-    assert [f.dataType.simpleString() for f in strict.schema] == ["string", "double", "int", "timestamp"] and strict.count() == 2
+    assert [f.dataType.simpleString() for f in strict.schema] == ["string", "int", "double", "timestamp"] and strict.count() == 2
     lenient = read_delimited(spark, put(RAGGED), header=True, infer_schema=True)
-    assert [f.dataType.simpleString() for f in lenient.schema] == ["string", "string", "double", "string"] and lenient.count() == 8
+    assert [f.dataType.simpleString() for f in lenient.schema] == ["string", "int", "double", "string"] and lenient.count() == 4
 
 
 def test_sparse_columns(spark, put):
-    df = read_delimited(spark, put("A,B,C,D\n1,,,\n,1,,\n,,1,\n,,,1\n"), header=True, infer_schema=True)
-    assert [f.dataType.simpleString() for f in df.schema] == ["int"] * 4
-    assert sorted(map(str, rows(df)))[0] == "(1, None, None, None)"
+    df = read_delimited(spark, put("P,Q,R\n7,,\n,8,\n7,,9\n"), header=True, infer_schema=True)
+    assert [f.dataType.simpleString() for f in df.schema] == ["int"] * 3
+    assert sorted(map(str, rows(df)))[0] == "(7, None, 9)"
 
 
 def test_header_without_rows(spark, put):

@@ -108,19 +108,19 @@ def landed(spark, put, tmp_path):
 def test_load_batch(spark, landed, tmp_path):
     settings, dictionary = landed
     spark.sql("CREATE DATABASE IF NOT EXISTS reports")
-    spark.sql("DROP TABLE IF EXISTS reports.carga_bdi")
+    spark.sql("DROP TABLE IF EXISTS reports.loads")
     for _ in range(2):  # a rerun replaces the partition
-        result = load_batch(spark, settings, "SALES", "190616", dictionary, audit_table="reports.carga_bdi")
+        result = load_batch(spark, settings, "SALES", "190616", dictionary, audit_table="reports.loads")
     assert (result.ref_date, result.rows) == ("2016-06-19", 3)
     assert sorted(rows(result.counts.select("rows"))) == [(0,), (1,), (2,)]
     loaded = spark.table("default.sales").orderBy("ID")
     assert [tuple(r)[:3] for r in loaded.select("ID", "NAME", "AMOUNT").collect()] == [(1, "Ann; B", Decimal("10.50")), (2, None, None), (3, "Cid", Decimal("1.00"))]
-    audit = spark.table("reports.carga_bdi").collect()
+    audit = spark.table("reports.loads").collect()
     assert len(audit) == 2
     assert (audit[0].db, audit[0].tabela, audit[0].qtde_arquivos, audit[0].qtde_linhas, audit[0].dat_ref_carga) == ("default", "SALES", 3, 3, "2016-06-19")
     assert audit[0].arq_carregados == "SALES_1_190616.CSV / SALES_2_190616.CSV / SALES_3_190616.CSV"
     assert audit[0].tamanho == sum(p.stat().st_size for p in (tmp_path / "land").glob("SALES*190616.CSV"))
-    spark.sql("DROP TABLE reports.carga_bdi")
+    spark.sql("DROP TABLE reports.loads")
 
 
 def test_load_errors(spark, landed, put):

@@ -7,8 +7,8 @@ from conftest import rows
 from sheaftext import parse_lines, read_delimited, read_with_quarantine
 from sheaftext.sources.delimited import open_lines
 
-PEOPLE = "Name,Age,Height,Born\nAnn,10,180,Unknown\nJo,20.5,200,1995-01-01 00:00:00\nTim,30,Dan,1985-01-01 00:00:00\nHana,25,165,1990-02-24 00:00:00\n"
-SCHEMA = "Name string, Age int, Height double, Born timestamp"
+STOCK = "Item,Pieces,Weight,Packed\nbolt,12,0.35,2021-03-04 07:08:09\nnut,many,0.2,2021-03-05 00:00:00\nrivet,7,heavy,2022-11-30 23:59:59\nscrew,40,1.5,2020-02-29 12:00:00\nwasher,3,2,soon\n"
+SCHEMA = "Item string, Pieces int, Weight double, Packed timestamp"
 RAGGED = "a,b,c\n1,x,y\n2,x\n3,x,y,z\n4,\"x,y\n,,\n"
 
 
@@ -17,15 +17,15 @@ def lines_of(spark, *lines):
 
 
 def test_drop_malformed_does_not_depend_on_the_selection(spark, put):
-    df = read_delimited(spark, put(PEOPLE), SCHEMA, header=True, mode="DROPMALFORMED")
-    assert [r[0] for r in rows(df)] == ["Hana"]
-    assert rows(df.select("Name")) == [("Hana",)]
-    assert df.count() == 1 and df.agg(F.count("*")).head()[0] == 1
+    df = read_delimited(spark, put(STOCK), SCHEMA, header=True, mode="DROPMALFORMED")
+    assert sorted(r[0] for r in rows(df)) == ["bolt", "screw"]
+    assert sorted(rows(df.select("Item"))) == [("bolt",), ("screw",)]
+    assert df.count() == 2 and df.agg(F.count("*")).head()[0] == 2
 
 
 def test_drop_malformed_all_strings_keeps_every_whole_row(spark, put):
-    df = read_delimited(spark, put(PEOPLE), "n string, a string, h string, b string", header=True, mode="dropmalformed")
-    assert df.count() == 4
+    df = read_delimited(spark, put(STOCK), "n string, a string, h string, b string", header=True, mode="dropmalformed")
+    assert df.count() == 5
 
 
 def test_drop_malformed_ragged_and_unbalanced(spark, put):
@@ -56,20 +56,44 @@ def test_failfast_long_field(spark, put):
     with pytest.raises(Exception, match="Malformed line in FAILFAST mode: 2,xxx"):
         df.collect()
     assert read_delimited(spark, put(text), header=True, max_chars_per_col=300).count() == 2
-    assert read_delimited(spark, put(text), header=True, mode="DROPMALFORMED", max_chars_per_col=200).count() == 1
+    assert read_delimited(spark, put(text), header=True, mode="DROPMALFORMED").count() == 2
+    with pytest.raises(Exception, match="longer than 200"):
+        read_delimited(spark, put(text), header=True, mode="DROPMALFORMED", max_chars_per_col=200).collect()
     with pytest.raises(Exception, match="longer than 200"):
         read_delimited(spark, put(text), header=True, max_chars_per_col=200).collect()
-    relaxed = read_delimited(spark, put(text), header=True, max_chars_per_col=200, on_bad_cast="null")
-    assert sorted(rows(relaxed), key=str) == [("1", "short"), ("2", None)]
+    with pytest.raises(Exception, match="longer than 200"):
+        read_delimited(spark, put(text), header=True, max_chars_per_col=200, on_bad_cast="null").collect()
+
+
+def test_no_limit_unless_set(spark, put):
+    long = "x" * 200_000
+    assert rows(read_delimited(spark, put(f"{long},b\n1,{long}\n"), header=True)) == [("1", long)]
+    assert read_delimited(spark, put(f"{long},b\n1,{long}\n"), "a string, b string", mode="DROPMALFORMED").count() == 2
+
+
+def test_more_fields_than_the_parser_takes(spark):
+    crowd, quoted = "," * 21_000, '"' + "," * 30_000 + '",z'
+    lines = lines_of(spark, crowd, "1,2", quoted)
+    assert sorted(rows(parse_lines(lines, "a string, b string", mode="DROPMALFORMED"))) == [(quoted[1:-3], "z"), ("1", "2")]
+    assert parse_lines(lines, "a string, b string").count() == 3
+    rejected = open_lines(lines, "a string, b string").good_and_rejected()[1].collect()
+    assert [(r.reason, r.line) for r in rejected] == [("too_many_tokens", crowd)]
+
+
+def test_drop_malformed_without_text_columns(spark):
+    lines = lines_of(spark, "1,true,2.50", "x,true,1", "3,false", "4,false,7")
+    df = parse_lines(lines, "a int, b boolean, c decimal(5,2)", mode="DROPMALFORMED")
+    assert sorted(r[0] for r in rows(df)) == [1, 4]
+    assert parse_lines(lines_of(spark, "1,2", "3,4"), infer_schema=True, mode="DROPMALFORMED").count() == 2
 
 
 def test_permissive_bad_cast_fails_only_when_selected(spark, put):
-    df = read_delimited(spark, put(PEOPLE), SCHEMA, header=True)
-    assert df.select("Name").count() == 4
-    with pytest.raises(Exception, match="column Age does not fit type int"):
-        df.select("Age").collect()
-    nulled = read_delimited(spark, put(PEOPLE), SCHEMA, header=True, on_bad_cast="null")
-    assert sorted(r[1] for r in rows(nulled) if r[1] is not None) == [10, 25, 30]
+    df = read_delimited(spark, put(STOCK), SCHEMA, header=True)
+    assert df.select("Item").count() == 5
+    with pytest.raises(Exception, match="column Pieces does not fit type int"):
+        df.select("Pieces").collect()
+    nulled = read_delimited(spark, put(STOCK), SCHEMA, header=True, on_bad_cast="null")
+    assert sorted(r[1] for r in rows(nulled) if r[1] is not None) == [3, 7, 12, 40]
 
 
 def test_permissive_keeps_ragged_and_drops_unclosed_quotes(spark, put):
@@ -101,19 +125,19 @@ def test_unclosed_quotes_under_an_escape_character(spark):
 
 
 def test_quarantine(spark, put):
-    text = PEOPLE + "Short,1\nLong,1,2,1990-02-24 00:00:00,x\nOpen,1,2,\"x\n"
+    text = STOCK + "Short,1\nLong,1,2,1990-02-24 00:00:00,x\nOpen,1,2,\"x\n"
     good, rejected = read_with_quarantine(spark, put(text), SCHEMA, header=True)
-    assert [r[0] for r in rows(good)] == ["Hana"]
+    assert sorted(r[0] for r in rows(good)) == ["bolt", "screw"]
     found = {r.line.split(",")[0]: (r.reason, r.token_count, r.bad_column) for r in rejected.collect()}
     assert found == {
-        "Ann": ("bad_value", 4, "Born"),
-        "Jo": ("bad_value", 4, "Age"),
-        "Tim": ("bad_value", 4, "Height"),
+        "nut": ("bad_value", 4, "Pieces"),
+        "rivet": ("bad_value", 4, "Weight"),
+        "washer": ("bad_value", 4, "Packed"),
         "Short": ("too_few_tokens", 2, None),
         "Long": ("too_many_tokens", None, None),
         "Open": ("unbalanced_quote", None, None),
     }
-    assert good.count() + rejected.count() == 7
+    assert good.count() + rejected.count() == 8
     assert rejected.select("reason").count() == 6
 
 

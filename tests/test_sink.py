@@ -113,11 +113,11 @@ def test_every_part_file_has_the_header(spark, tmp_path, quote_mode):
 
 
 def test_dates_and_nulls(spark, tmp_path):
-    df = spark.createDataFrame([(datetime(2015, 8, 26, 18), date(2016, 1, 28)), (None, None)], "ts timestamp, day date").coalesce(1)
+    df = spark.createDataFrame([(datetime(2022, 11, 5, 6, 7), date(2023, 2, 14)), (None, None)], "ts timestamp, day date").coalesce(1)
     write_delimited(df, str(tmp_path / "a"))
-    assert lines(tmp_path / "a") == ["2015-08-26 18:00:00.0,2016-01-28 00:00:00.0", "null,null"]
+    assert lines(tmp_path / "a") == ["2022-11-05 06:07:00.0,2023-02-14 00:00:00.0", "null,null"]
     write_delimited(df, str(tmp_path / "b"), date_format="MM/dd/yyyy HH:mm:ss", null_value="-", quote_mode="NON_NUMERIC")
-    assert lines(tmp_path / "b") == ['"08/26/2015 18:00:00","01/28/2016 00:00:00"', '"-","-"']
+    assert lines(tmp_path / "b") == ['"11/05/2022 06:07:00","02/14/2023 00:00:00"', '"-","-"']
 
 
 @pytest.mark.parametrize("codec, suffix", [("gZiP", ".gz"), ("bzip2", ".bz2"), ("lz4", ".lz4"), ("snappy", ".snappy"), ("org.apache.hadoop.io.compress.GzipCodec", ".gz")])
