@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from sheaftext.llm.common import chunks, table, values
 
-KNOWN_CHUNKS = 60_000
+KNOWN_CHUNKS = 250_000
 BATCH_BYTES = 1 << 20
 _NEVER = np.int64(2**62)
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -153,7 +153,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Ids of many texts in one array, each text's offsets, and the decoded texts."""
         lists = [self.chunks_of(t) for t in texts]
-        wanted = dict.fromkeys(c for cs in lists for c in cs)
+        wanted = set().union(*lists)
         if len(self.slot) + len(wanted) > KNOWN_CHUNKS:
             self.forget()
         new = [c for c in wanted if c not in self.slot]
@@ -166,12 +166,15 @@ class Encoder:
         if len(new) > len(specials):
             self.learn([c for c in new if c not in self.special])
         n = np.array([len(cs) for cs in lists], np.int64)
-        at = np.fromiter((self.slot[c] for cs in lists for c in cs), np.int64, n.sum())
+        slots = [self.slot[c] for cs in lists for c in cs]
+        at = np.array(slots, np.int64)
         count = self.starts[at + 1] - self.starts[at]
         total = np.concatenate([[0], np.cumsum(count)])
         flat = self.flat[np.repeat(self.starts[at] - total[:-1], count) + np.arange(total[-1])]
-        decoded = [" ".join([self.decoded[self.slot[c]] for c in cs]) for cs in lists]
-        return flat, total[np.concatenate([[0], np.cumsum(n)])], decoded
+        ends = np.concatenate([[0], np.cumsum(n)])
+        cuts = ends.tolist()
+        decoded = [" ".join(map(self.decoded.__getitem__, slots[a:b])) for a, b in zip(cuts, cuts[1:])]
+        return flat, total[ends], decoded
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.names[i] for i in ids)
