@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from sheaftext.llm.common import chunks, table, values
 
-KNOWN_CHUNKS = 250_000
-BATCH_BYTES = 1 << 20
+KNOWN_CHUNKS = 200_000
+BATCH_BYTES = 1 << 19
 _NEVER = np.int64(2**62)
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 #: str.split() also cuts at these, the pattern of the tokenizer doesn't.

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from sheaftext.session import scratch_path
 
 #: Bytes of text that numpy works on at once; a longer text makes a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = (1 << 20) - 1
 #: Bytes of an Arrow batch sent to a Python worker.
 BATCH_BYTES = 8 << 20
 

@@ -32,7 +32,7 @@ from sheaftext.llm.common import as_bytes, chunks, packed, table
 from sheaftext.llm.words import SYMBOLS, words
 from sheaftext.session import scratch_path
 
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = (2 << 20) - 1
 QUERY_WORDS = 1_000_000  # words of all windows in a block of queries: 8 MB
 CANDIDATES = 1_000_000  # starts looked at together
 _U = np.uint64
