@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from sheaftext import parse_lines, read_delimited
 from sheaftext.catalog.common import ORDERS, joined, orders_line, stamp, table
-from sheaftext.plans.batch import SOURCE_FILE, audit_rows, base_name, batch_readiness, batch_totals, file_counts, file_verdicts, rows_per_file
+from sheaftext.plans.batch import SOURCE_FILE, audit_rows, base_name, batch_readiness, batch_totals, check_schema, file_counts, file_verdicts, load_batch, rows_per_file
 from sheaftext.plans.retention import partition_dates, purge, retained, with_expiry
 from sheaftext.session import scratch_path
 from sheaftext.sinks.parquet import add_partition, append_parquet, quoted_table, write_partitions
-from sheaftext.sources.landing import list_files, with_batch
+from sheaftext.sources.landing import list_files
+from sheaftext.sources.settings import read_settings
 
 # Folders of the landing area in these queries: batch=<yyyyMM>
 MONTH_FOLDER = r"batch=(\d{6})/"
@@ -19,13 +20,14 @@ MONTH_FOLDER = r"batch=(\d{6})/"
 def landing_manifest_ready(spark, sf_dir):
     """Each order is a landing file; a batch is one customer's files of one date, of which some lack a trigger."""
     orders = table(spark, sf_dir, "orders")
-    name = F.concat(F.lit("/landing/T"), F.col("o_custkey").cast("string"), F.lit("_"), F.col("o_orderkey").cast("string"), F.lit("_"), stamp("o_orderdate", "ddMMyy"))
+    owner = F.concat(F.lit("TB_"), F.col("o_custkey").cast("string"), F.lit("_"), F.col("o_orderpriority"))
+    name = F.concat(F.lit("/landing/"), owner, F.lit("_"), F.col("o_orderkey").cast("string"), F.lit("_"), stamp("o_orderdate", "ddMMyy"))
     key = F.col("o_orderkey")
     kinds = F.when(key % 5 == 0, F.array(F.lit("CSV"))).when(key % 7 == 0, F.array(F.lit("BST"))).otherwise(F.array(F.lit("CSV"), F.lit("BST"), F.lit("CTR")))
     landed = orders.select(name.alias("name"), F.explode(kinds).alias("extension"))
-    files = with_batch(landed.select(F.concat_ws(".", "name", "extension").alias("path")))
-    expected = orders.groupBy(F.concat(F.lit("T"), F.col("o_custkey").cast("string")).alias("table_name"), stamp("o_orderdate", "ddMMyy").alias("odate")).agg(F.count(F.lit(1)).alias("file_count"))
-    return batch_readiness(files.where("odate <> ''"), expected)
+    files = landed.select(F.concat_ws(".", "name", "extension").alias("path"))
+    expected = orders.groupBy(owner.alias("table_name"), stamp("o_orderdate", "ddMMyy").alias("odate")).agg(F.count(F.lit(1)).alias("file_count"))
+    return batch_readiness(files, expected)
 
 
 def landed_months(spark, sf_dir):
@@ -81,20 +83,72 @@ def load_partitioned(spark, sf_dir):
     return spark.read.schema(ORDERS + ", dat_ref_carga string").parquet(saved)
 
 
-def _dated_table(spark, sf_dir, label):
-    """An external table over orders by month start, with every month registered."""
+LOADED = {"o_orderkey": "INTEGER", "o_custkey": "INTEGER", "o_orderstatus": "CHARACTER(1)", "o_totalprice": "DECIMAL(12,2)", "o_orderdate": "TIMESTAMP(26)"}
+
+
+def load_batch_twice(spark, sf_dir):
+    """Orders landed as one batch a year and loaded; then the last year is delivered again, with an empty file.
+
+    Returned are the audit and what the table holds in the end.
+    """
+    root = scratch_path(spark, "order-batches")
+    name = root.rsplit("/", 1)[1].replace("-", "_")
+    write = lambda text, kind: spark.range(1, numPartitions=1).select(F.lit(text).alias("value")).write.text(f"{root}/{kind}")
+    write("\n".join(f"{column},{kind}" for column, kind in LOADED.items()), "def")
+    write("CREATE TABLE A.ORDERS (" + ", ".join(f"{column} {kind}" for column, kind in LOADED.items()) + ")", "ctr")
+    write(f"retention=30\nhdfs_path_source={root}/land/\nhdfs_path_save={root}/save/\ndatabase=default\nfile_count=2\nos_path_source=/land/\ndemiliter=;", "conf")
+    settings = read_settings(spark, f"{root}/conf")
+    check_schema(spark, f"{root}/ctr", f"{root}/def")
+    price = F.replace(F.col("o_totalprice").cast("decimal(12,2)").cast("string"), F.lit("."), F.lit(","))
+    line = joined(";", "o_orderkey", "o_custkey", "o_orderstatus", price, stamp("o_orderdate", "yyyy-MM-dd-HH.mm.ss.SSSSSS"))
+    lines = table(spark, sf_dir, "orders").select(line.alias("value"), stamp("o_orderdate", "yyyy").alias("year"))
+    lines.hint("rebalance", "year").write.partitionBy("year").text(f"{root}/written")
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = at(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(at(f"{root}/land"))
+    landed = {}  # one short list of file names a year
+    for part in files.globStatus(at(f"{root}/written/year=*/part-*")):
+        year = part.getPath().getParent().getName()[-4:]
+        landed.setdefault(year, []).append(at(f"{root}/land/{name}_{len(landed.get(year, []))}_0101{year[2:]}.CSV"))
+        files.rename(part.getPath(), landed[year][-1])
+    columns = "o_orderkey INT, o_custkey INT, o_orderstatus STRING, o_totalprice DECIMAL(12,2), o_orderdate TIMESTAMP, DAT_REF_CARGA STRING"
+    spark.sql(f"CREATE TABLE default.`{name}` ({columns}) USING parquet PARTITIONED BY (DAT_REF_CARGA) LOCATION '{root}/save'")
+    load = lambda year: load_batch(spark, settings, name, f"0101{year[2:]}", f"{root}/def", century=int(year[:2]), audit_table=f"default.{name}_audit")
+    for year in sorted(landed):
+        load(year)
+    if landed:
+        last = max(landed)
+        for path in landed[last]:
+            files.delete(path, False)
+        files.create(landed[last][0]).close()
+        load(last)
+    held = spark.table(f"default.{name}").groupBy(F.col("DAT_REF_CARGA").alias("day")).agg(F.count(F.lit(1)).alias("rows"), F.sum("o_totalprice").alias("total"))
+    audit = spark.table(f"default.{name}_audit").select(F.lit("audit").alias("kind"), F.col("dat_ref_carga").alias("day"), F.col("qtde_linhas").alias("rows"), F.lit(None).cast("decimal(22,2)").alias("total"))
+    audit.unionByName(held.withColumn("kind", F.lit("table"))).write.parquet(f"{root}/result")
+    for used in (name, f"{name}_audit"):
+        spark.sql(f"DROP TABLE default.`{used}`")
+    return spark.read.parquet(f"{root}/result")
+
+
+def _dated_table(spark, sf_dir, label, undated=None):
+    """An external table over orders by month start, with every month registered; orders that meet ``undated`` have none."""
     saved = scratch_path(spark, label)
     name = "default." + saved.rsplit("/", 1)[1].replace("-", "_")
     orders = table(spark, sf_dir, "orders").withColumn("DAT_REF_CARGA", stamp("o_orderdate", "yyyy-MM-01"))
+    if undated is not None:
+        orders = orders.withColumn("DAT_REF_CARGA", F.when(~undated, F.col("DAT_REF_CARGA")))
     spark.sql(f"CREATE TABLE {quoted_table(name)} ({ORDERS}, DAT_REF_CARGA STRING) USING parquet PARTITIONED BY (DAT_REF_CARGA) LOCATION '{saved}'")
     orders.hint("rebalance", "DAT_REF_CARGA").select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
     return name, saved
 
 
 def retention_purge(spark, sf_dir):
-    name, saved = _dated_table(spark, sf_dir, "orders-purged")
+    """Months, a partition without a date, which stays, and an old folder that the catalog does not know, which goes."""
+    name, saved = _dated_table(spark, sf_dir, "orders-purged", undated=F.col("o_custkey") % 10 == 0)
+    table(spark, sf_dir, "orders").write.parquet(f"{saved}/DAT_REF_CARGA=1990-01-01")
     purge(spark, name, F.lit("2001-08-01").cast("date"), 1000, root=saved)
-    return spark.table(name).groupBy("DAT_REF_CARGA").agg(F.count(F.lit(1)).alias("orders"))
+    left = spark.read.parquet(saved).groupBy(F.col("DAT_REF_CARGA").cast("string").alias("DAT_REF_CARGA"))
+    return left.agg(F.count(F.lit(1)).alias("orders"))
 
 
 def retention_partitions(spark, sf_dir):
@@ -123,7 +177,7 @@ def partition_registration(spark, sf_dir):
 _LINE_BYTES = """octet_length(encode(CAST(o_orderkey AS VARCHAR) || ';' || CAST(o_custkey AS VARCHAR) || ';' || o_orderstatus || ';' || CAST(o_totalprice AS VARCHAR)
     || ';' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ';' || o_orderpriority)) + 1"""
 _MONTH = "strftime(o_orderdate, '%Y%m')"
-_READY = """SELECT 'T' || CAST(o_custkey AS VARCHAR) AS table_name, strftime(o_orderdate, '%d%m%y') AS odate, count(*) AS file_count,
+_READY = """SELECT 'TB_' || CAST(o_custkey AS VARCHAR) || '_' || o_orderpriority AS table_name, strftime(o_orderdate, '%d%m%y') AS odate, count(*) AS file_count,
     count(*) FILTER (o_orderkey % 5 <> 0) AS triggers, count(*) FILTER (o_orderkey % 5 = 0 OR o_orderkey % 7 <> 0) AS data_files
     FROM orders GROUP BY ALL"""
 
@@ -149,11 +203,18 @@ QUERIES = {
             FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_nationkey, c_mktsegment)
         SELECT c_custkey, rows, CASE WHEN rows > 0 THEN 'LOADED' WHEN count(*) OVER (PARTITION BY batch) = 1 THEN 'ERROR' ELSE 'SKIPPED' END AS verdict FROM counts""",
     ),
+    "load_batch_twice": (
+        load_batch_twice,
+        """WITH years AS (SELECT strftime(o_orderdate, '%Y-01-01') AS day, count(*) AS rows, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS total FROM orders GROUP BY 1)
+        SELECT 'audit' AS kind, day, rows, CAST(NULL AS DECIMAL(22,2)) AS total FROM years
+        UNION ALL SELECT 'audit', max(day), 0, NULL FROM years
+        UNION ALL SELECT 'table', day, rows, total FROM years WHERE day < (SELECT max(day) FROM years)""",
+    ),
     "load_partitioned": (load_partitioned, "SELECT *, strftime(o_orderdate, '%Y-%m-01') AS dat_ref_carga FROM orders"),
     "retention_purge": (
         retention_purge,
-        """SELECT strftime(o_orderdate, '%Y-%m-01') AS "DAT_REF_CARGA", count(*) AS orders FROM orders
-        WHERE CAST(date_trunc('month', o_orderdate) AS DATE) >= DATE '2001-08-01' - 1000 GROUP BY 1""",
+        """SELECT CASE WHEN o_custkey % 10 <> 0 THEN strftime(o_orderdate, '%Y-%m-01') END AS "DAT_REF_CARGA", count(*) AS orders FROM orders
+        WHERE o_custkey % 10 = 0 OR CAST(date_trunc('month', o_orderdate) AS DATE) >= DATE '2001-08-01' - 1000 GROUP BY 1""",
     ),
     "retention_partitions": (
         retention_partitions,

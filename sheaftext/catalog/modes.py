@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheaftext import parse_lines
+from sheaftext import create_delimited_view, parse_lines
 from sheaftext.catalog.common import ORDERS, divides, joined, orders_line, stamp, table
 from sheaftext.operators.split_cast import split_and_cast
 from sheaftext.operators.stitch import numbered_lines, stitch_lines
@@ -43,6 +43,15 @@ def mode_dropmalformed_rows(spark, sf_dir):
     return parse_lines(damaged_orders(spark, sf_dir), ORDERS, mode="DROPMALFORMED")
 
 
+def csv_view_dropmalformed(spark, sf_dir):
+    """The same rows from SQL, over files."""
+    path = scratch_path(spark, "damaged-orders")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    damaged_orders(spark, sf_dir).write.text(path)
+    create_delimited_view(spark, name, path, ORDERS, mode="DROPMALFORMED")
+    return spark.sql(f"SELECT * FROM `{name}`")
+
+
 def mode_dropmalformed_one_column(spark, sf_dir):
     return parse_lines(damaged_orders(spark, sf_dir), ORDERS, mode="DROPMALFORMED").select("o_orderpriority")
 
@@ -132,6 +141,7 @@ QUERIES = {
         f"SELECT o_orderstatus, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS total FROM orders WHERE {KEPT} GROUP BY o_orderstatus",
     ),
     "mode_dropmalformed_rows": (mode_dropmalformed_rows, f"SELECT * FROM orders WHERE {KEPT}"),
+    "csv_view_dropmalformed": (csv_view_dropmalformed, f"SELECT * FROM orders WHERE {KEPT}"),
     "mode_dropmalformed_one_column": (mode_dropmalformed_one_column, f"SELECT o_orderpriority FROM orders WHERE {KEPT}"),
     "mode_dropmalformed_count": (mode_dropmalformed_count, f"SELECT count(*) AS orders FROM orders WHERE {KEPT}"),
     "mode_failfast_clean": (mode_failfast_clean, "SELECT * FROM orders"),

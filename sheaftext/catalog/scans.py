@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sheaftext import create_delimited_view, parse_lines, read_delimited, read_tsv, read_with_options, save_with_options, write_delimited
 from sheaftext.catalog.common import CUSTOMER, ORDERS, divides, joined, stamp, table
-from sheaftext.plans.ratings import load_ratings
+from sheaftext.plans.ratings import load_ratings, rejected_ratings
 from sheaftext.session import scratch_path
 from sheaftext.sinks.delimited import format_lines
 from sheaftext.sinks.parquet import quoted_table
@@ -134,7 +134,7 @@ def csv_embedded_newline_lines(spark, sf_dir):
     return parse_lines(lines, schema, comment=None)
 
 
-def ratings_load(spark, sf_dir):
+def _loaded_ratings(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     source, saved = scratch_path(spark, "ratings-text"), scratch_path(spark, "ratings")
     name = "default." + saved.rsplit("/", 1)[1].replace("-", "_")
@@ -145,9 +145,19 @@ def ratings_load(spark, sf_dir):
     events.select(line.alias("value")).write.text(source)
     spark.sql(f"CREATE TABLE {quoted_table(name)} ({columns}, data STRING) USING parquet PARTITIONED BY (data) LOCATION '{saved}-table'")
     load_ratings(spark, source, saved, name, "2024-01-31")
+    return name, saved
+
+
+def ratings_load(spark, sf_dir):
+    name, _ = _loaded_ratings(spark, sf_dir)
     return spark.table(name)
 
 
+def ratings_rejected(spark, sf_dir):
+    _, saved = _loaded_ratings(spark, sf_dir)
+    return rejected_ratings(spark, saved)
+
+
 QUERIES = {
     "csv_roundtrip_orders": (csv_roundtrip_orders, "SELECT * FROM orders"),
     "csv_options_map": (csv_options_map, "SELECT * FROM customer"),
@@ -171,6 +181,7 @@ QUERIES = {
         "SELECT doc_id, CAST(length(text) * (trunc(140000 / length(text)) + 1) AS BIGINT) AS chars FROM documents WHERE length(text) > 0",
     ),
     "csv_embedded_newline_lines": (csv_embedded_newline_lines, "SELECT * FROM documents"),
+    "ratings_rejected": (ratings_rejected, "SELECT CAST(user_id AS VARCHAR) || ',' || event_type AS line FROM events WHERE event_id % 5 = 0"),
     "ratings_load": (
         ratings_load,
         """SELECT CAST(user_id AS VARCHAR) AS usuario, event_type AS produto, CAST(value AS VARCHAR) AS avaliacao,

@@ -94,7 +94,7 @@ def insert_overwrite_csv(spark, sf_dir):
     name = path.rsplit("/", 1)[1].replace("-", "_")
     customer = table(spark, sf_dir, "customer")
     write_delimited(customer.where("c_custkey < 0"), path, header=True)
-    create_delimited_view(spark, name, path, CUSTOMER, header=True)
+    create_delimited_view(spark, name, path, CUSTOMER, header=True, writable=True, on_bad_cast="null")
     source = f"{name}_source"
     customer.createOrReplaceTempView(source)
     spark.sql(f"INSERT OVERWRITE TABLE `{name}` SELECT * FROM `{source}`")

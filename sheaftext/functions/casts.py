@@ -7,6 +7,7 @@ unused ones are pruned with their columns.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -89,7 +90,7 @@ def to_decimal(token: Column, dtype: T.DecimalType, profile: str = "standard") -
 def to_timestamp(token: Column, dtype: T.DataType = T.TimestampType(), pattern: str | None = None) -> Column:
     """By ``pattern`` when given, else exactly ``yyyy-M-d H:m:s[.f]``."""
     if pattern is not None:
-        return _by_pattern(token, pattern, dtype)
+        return by_pattern(token, pattern, dtype)
     return F.when(token.rlike(TIMESTAMP_TEXT), token.try_cast(dtype))
 
 
@@ -101,10 +102,25 @@ def hour_of_day(pattern: str) -> str:
     return "'".join(part if i % 2 else part.replace("h", "H") for i, part in enumerate(parts))
 
 
-def _by_pattern(token: Column, pattern: str, dtype: T.DataType) -> Column:
+def names_zone(pattern: str) -> bool:
+    """Whether a pattern reads a time zone or an offset from the text."""
+    return re.search("[VzOXxZ]", "".join(pattern.split("'")[::2])) is not None
+
+
+def _wall_clock(token: Column, pattern: str) -> Column:
+    """A time without zone by pattern: read as UTC and counted from the epoch, so the session zone has no part in it."""
+    instant = F.try_to_timestamp(F.concat(token, F.lit("Z")), F.lit(pattern + "X"))
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
+
+
+def by_pattern(token: Column, pattern: str, dtype: T.DataType) -> Column:
     """Parse by pattern. ``h`` without an am/pm marker counts 1-12 from midnight but lets 13-23 through."""
     day_pattern = hour_of_day(pattern)
-    parsed = F.try_to_timestamp(token, F.lit(day_pattern))
+    if isinstance(dtype, T.TimestampNTZType) and not names_zone(pattern):
+        parsed = _wall_clock(token, day_pattern)
+    else:
+        parsed = F.try_to_timestamp(token, F.lit(day_pattern))
     if day_pattern != pattern:
         parsed = F.when(F.hour(parsed) == 12, parsed - F.expr("INTERVAL 12 HOURS")).otherwise(parsed)
     return parsed.cast(dtype)
@@ -116,13 +132,13 @@ def to_compact_timestamp(token: Column, dtype: T.DataType = T.TimestampType()) -
     Text with a blank between date and time is read by :func:`to_timestamp`.
     """
     digits = F.translate(token, "-.:/", "")
-    compact = F.try_to_timestamp(F.substring(digits, 1, 14), F.lit(COMPACT_TIMESTAMP)).cast(dtype)
+    compact = by_pattern(F.substring(digits, 1, 14), COMPACT_TIMESTAMP, dtype)
     return F.when(F.contains(token, F.lit(" ")), to_timestamp(token, dtype)).when(F.length(digits) >= 14, compact)
 
 
 def to_date(token: Column, pattern: str | None = None) -> Column:
     if pattern is not None:
-        return _by_pattern(token, pattern, T.TimestampType()).cast("date")
+        return by_pattern(token, pattern, T.TimestampNTZType()).cast("date")
     return F.when(token.rlike(DATE_TEXT), token.try_cast("date"))
 
 

@@ -111,8 +111,11 @@ def schema_drift(ddl: DataFrame, dictionary: DataFrame) -> DataFrame:
     Both sides carry (doc, position, column_name, legacy_type). ``status`` is equal, name_differs, type_differs,
     only_in_ddl or only_in_dictionary; a table conforms when every status is equal.
     """
-    left = _ranked(ddl).select(DOC, "position", F.struct("column_name", "legacy_type").alias("ddl"))
-    right = _ranked(dictionary).select(DOC, "position", F.struct("column_name", "legacy_type").alias("dic"))
+    tagged = lambda columns, side: columns.select(DOC, "position", F.struct("column_name", "legacy_type").alias("column"), F.lit(side).alias("side"))
+    # one shuffle by document serves the ranks of both sides and the pairing
+    both = tagged(ddl, "ddl").unionByName(tagged(dictionary, "dic")).repartition(DOC)
+    side = lambda name: F.first(F.when(F.col("side") == name, F.col("column")), ignorenulls=True).alias(name)
+    paired = _ranked(both).groupBy(DOC, "position").agg(side("ddl"), side("dic"))
     status = (
         F.when(F.col("dic").isNull(), "only_in_ddl")
         .when(F.col("ddl").isNull(), "only_in_dictionary")
@@ -120,7 +123,7 @@ def schema_drift(ddl: DataFrame, dictionary: DataFrame) -> DataFrame:
         .when(F.col("ddl.legacy_type") != F.col("dic.legacy_type"), "type_differs")
         .otherwise("equal")
     )
-    return left.join(right, [DOC, "position"], "full").select(
+    return paired.select(
         DOC,
         "position",
         F.col("ddl.column_name").alias("ddl_column"),
@@ -132,8 +135,8 @@ def schema_drift(ddl: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def _ranked(columns: DataFrame) -> DataFrame:
-    """Positions 0, 1, 2, ... whatever gaps blank lines left; a group is the columns of one table."""
-    rank = F.row_number().over(Window.partitionBy(DOC).orderBy("position")) - 1
+    """Positions 0, 1, 2, ... whatever gaps blank lines left; a group is the columns of one side of one table."""
+    rank = F.row_number().over(Window.partitionBy(DOC, "side").orderBy("position")) - 1
     return columns.withColumn("position", rank)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheaftext.functions.casts import INTEGRAL, to_decimal, to_integral
+from sheaftext.functions.casts import INTEGRAL, by_pattern, to_decimal, to_integral
 from sheaftext.sources.lines import LINE
 
 
@@ -30,7 +30,7 @@ def cast_piece(piece: Column, dtype: T.DataType) -> Column:
         digits = F.translate(piece, '-."', "")
         whole = F.substring(digits, 1, 14)
         fraction = F.rpad(F.substring(digits, 15, 6), 6, "0")
-        return F.try_to_timestamp(F.concat_ws(".", whole, fraction), F.lit("yyyyMMddHHmmss.SSSSSS")).cast(dtype)
+        return by_pattern(F.concat_ws(".", whole, fraction), "yyyyMMddHHmmss.SSSSSS", dtype)
     return piece.try_cast(dtype)
 
 

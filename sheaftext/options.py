@@ -41,6 +41,14 @@ NUMBER_LOCALES = {
     "fr": (" ", ","),
 }
 
+# The same for regions that differ from their language; regions named nowhere are refused.
+REGIONAL_MARKS = {
+    "es-mx": (",", "."),
+    "de-ch": ("’'", "."),
+    "it-ch": ("’'", "."),
+}
+PLAIN_REGIONS = ("en-us", "en-gb", "pt-br", "es-es", "es-ar", "de-de", "it-it", "fr-fr")
+
 
 def delimiter_char(text: str) -> str:
     """One character, or one of the named escapes."""
@@ -72,10 +80,13 @@ def flag(label: str, text: str | bool) -> bool:
 
 
 def number_marks(locale: str) -> tuple[str, str]:
-    language = locale.replace("_", "-").split("-")[0].lower()
-    if language not in NUMBER_LOCALES:
-        raise ValueError(f"unknown number locale {locale!r}; known: {', '.join(NUMBER_LOCALES)}")
-    return NUMBER_LOCALES[language]
+    """(grouping marks, decimal mark) of a locale; each character of the first is a mark of its own."""
+    name = locale.replace("_", "-").lower()
+    if name in REGIONAL_MARKS:
+        return REGIONAL_MARKS[name]
+    if name not in NUMBER_LOCALES and name not in PLAIN_REGIONS:
+        raise ValueError(f"unknown number locale {locale!r}; known: {', '.join([*NUMBER_LOCALES, *PLAIN_REGIONS, *REGIONAL_MARKS])}")
+    return NUMBER_LOCALES[name.split("-")[0]]
 
 
 def _lookup(cls, options: Mapping[str, str | None], names: Mapping[str, str]) -> dict:

@@ -8,16 +8,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheaftext.functions.dates import business_date_text
 from sheaftext.options import ReadOptions
 from sheaftext.operators.schema_docs import LOAD_DATE_COLUMN, conforms, ddl_columns, dictionary_columns, dictionary_schema, read_documents, schema_drift
-from sheaftext.sinks.parquet import add_partition, table_exists, write_partitions
+from sheaftext.sinks.parquet import add_partition, quoted_table, table_exists
 from sheaftext.sources.delimited import read_delimited
-from sheaftext.sources.landing import batch_glob, list_files
+from sheaftext.sources.landing import batch_glob, expected_batches, list_files
 from sheaftext.sources.settings import LoadSettings
 
 SOURCE_FILE = "source_file"
@@ -40,11 +40,12 @@ AUDIT_COLUMNS = (
 def batch_readiness(files: DataFrame, expected: DataFrame) -> DataFrame:
     """Whether each batch is complete.
 
-    ``files`` is a manifest; ``expected`` holds (table_name, odate, file_count), one row per batch awaited.
+    ``files`` is a manifest; ``expected`` holds (table_name, odate, file_count), one row per batch awaited. A file
+    belongs to the awaited table with the longest name that its own name begins with.
     MISSING: no trigger file. PARTIAL: fewer triggers than expected. MISMATCH: trigger or data files differ from
     the expected number. READY otherwise.
     """
-    arrived = files.groupBy(*BATCH).agg(
+    arrived = expected_batches(files, expected).groupBy(*BATCH).agg(
         F.count_if(F.col("kind") == "BST").alias("triggers"), F.count_if(F.col("kind") == "CSV").alias("data_files")
     )
     counts = expected.join(arrived, BATCH, "left").select(
@@ -75,9 +76,9 @@ def file_counts(files: DataFrame, counted: DataFrame) -> DataFrame:
 def file_verdicts(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
     """What becomes of each file of a batch: LOADED, SKIPPED when empty among others, ERROR when alone and empty."""
     by = by or BATCH
-    siblings = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("files_in_batch"))
+    known = counts.withColumn("files_in_batch", F.count(F.lit(1)).over(Window.partitionBy(*by)))
     verdict = F.when(F.col("rows") > 0, "LOADED").when(F.col("files_in_batch") == 1, "ERROR").otherwise("SKIPPED")
-    return counts.join(siblings, by).withColumn("verdict", verdict)
+    return known.withColumn("verdict", verdict)
 
 
 def base_name(path: Column) -> Column:
@@ -156,7 +157,8 @@ def load_batch(
     """Load all data files of ``table`` and ``odate`` into the partition of that date.
 
     Raises when the catalog lacks the table, no file has arrived, or the only file is empty. A rerun replaces
-    the partition. The partition is registered only when it has rows.
+    the whole partition, also by no rows when the files delivered again are empty, so what is counted and recorded
+    is what this load has written. The partition is registered only when it has rows.
     """
     if not table_exists(spark, settings.database, table):
         raise LookupError(f"no table {settings.database}.{table} in the catalog")
@@ -167,9 +169,12 @@ def load_batch(
     if ref_date is None:
         raise ValueError(f"not a ddmmyy date: {odate}")
     rows = landing_rows(spark, settings.source_path.rstrip("/"), schema, settings.dialect, F.lit(ref_date), glob)
-    write_partitions(rows, settings.save_path, LOAD_DATE_COLUMN)
     location = f"{settings.save_path.rstrip('/')}/{LOAD_DATE_COLUMN}={ref_date}"
-    counts = _written_counts(spark, files, settings.save_path, ref_date, rows.schema)
+    stored = rows.drop(LOAD_DATE_COLUMN)
+    stored.write.mode("overwrite").option("compression", "snappy").parquet(location)
+    spark.catalog.refreshTable(f"{quoted_table(settings.database.lower())}.{quoted_table(table.lower())}")
+    # one narrow column of the folder that this load has just written
+    counts = file_counts(files, rows_per_file(spark.read.schema(stored.schema).parquet(location)))
     total = counts.agg(F.sum("rows"), F.count(F.lit(1))).head()
     if not total[1]:
         raise FileNotFoundError(f"no file {glob} in {settings.source_path}")
@@ -182,9 +187,3 @@ def load_batch(
     if audit_table:
         append_audit(audit, audit_table)
     return LoadResult(ref_date, total[0] or 0, counts, audit)
-
-
-def _written_counts(spark: SparkSession, files: DataFrame, save_path: str, ref_date: str, schema: T.StructType) -> DataFrame:
-    """Rows per landing file, counted on the one narrow column of the written partition."""
-    written = spark.read.schema(schema).parquet(save_path).where(F.col(LOAD_DATE_COLUMN) == ref_date)
-    return file_counts(files, rows_per_file(written))

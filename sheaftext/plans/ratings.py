@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from sheaftext.sinks.parquet import add_partition, append_parquet
 from sheaftext.sources.ratings import RATING_COLUMNS, read_ratings
 
 
 def load_ratings(spark: SparkSession, source: str | list[str], save_path: str, table: str, day: str) -> int:
-    """Append the complete ratings to ``save_path``, register it as partition ``data=day``, return the short lines left out."""
-    ratings = read_ratings(spark, source)
-    append_parquet(ratings.where("NOT is_short").select(*RATING_COLUMNS), save_path)
-    add_partition(spark, table.lower(), {"data": day}, save_path)
-    return ratings.where("is_short").count()
+    """Append the ratings below ``save_path`` in one pass and return the number of short lines.
+
+    Complete ratings become the partition ``data=day``; short lines are kept beside them, see :func:`rejected_ratings`.
+    """
+    seen = Observation()
+    ratings = read_ratings(spark, source).observe(seen, F.count_if("is_short").alias("short"))
+    append_parquet(ratings, save_path, by=["is_short"])
+    add_partition(spark, table.lower(), {"data": day}, f"{save_path.rstrip('/')}/is_short=false")
+    return seen.get["short"]
+
+
+def rejected_ratings(spark: SparkSession, save_path: str) -> DataFrame:
+    """The short lines of all loads into ``save_path``, as they came."""
+    columns = ", ".join(f"{name} string" for name in (*RATING_COLUMNS, "line"))
+    return spark.read.schema(f"{columns}, is_short boolean").parquet(save_path).where("is_short").select("line")

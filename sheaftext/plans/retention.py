@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from sheaftext.functions.dates import is_expired
 from sheaftext.operators.schema_docs import LOAD_DATE_COLUMN
 from sheaftext.sinks.parquet import quoted_table, sql_text
 
+log = logging.getLogger(__name__)
+
 
 def with_expiry(rows: DataFrame, day: str, today: Column, days: int | Column) -> DataFrame:
     """Mark rows (or partitions) older than ``today`` minus ``days`` as expired."""
@@ -29,10 +33,18 @@ def purge(spark: SparkSession, table: str, today: Column, days: int, column: str
     """Drop every expired partition in one statement and return their dates.
 
     Dropping a partition of a managed table deletes its files. For an external table give its ``root``: the
-    folders ``root/column=date`` are then deleted too. ``dry_run`` only reports. The list is one entry per load date.
+    folders ``root/column=date`` are then deleted too, also those that the catalog does not know. ``dry_run`` only
+    reports. A partition whose value is no date stays and is logged. The list is one entry per load date.
     """
-    marked = with_expiry(partition_dates(spark, table, column), column, today, days)
-    expired = [row[0] for row in marked.where("expired").select(column).orderBy(column).collect()]
+    dates = partition_dates(spark, table, column)
+    if root is not None:
+        dates = dates.union(spark.createDataFrame([(day,) for day in _folder_dates(spark, root, column)], dates.schema)).distinct()
+    marked = with_expiry(dates, column, today, days).withColumn("odd", F.col(column).try_cast("date").isNull())
+    found = marked.where("expired or odd").orderBy(column).collect()
+    expired = [row[column] for row in found if row["expired"]]
+    for row in found:
+        if row["odd"]:
+            log.warning("%s: partition %s=%s is no date and stays", table, column, row[column])
     if not expired or dry_run:
         return expired
     specs = ", ".join(f"PARTITION (`{column}` = {sql_text(day)})" for day in expired)
@@ -43,6 +55,20 @@ def purge(spark: SparkSession, table: str, today: Column, days: int, column: str
     return expired
 
 
-def _delete_folder(spark: SparkSession, path: str) -> None:
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _folder_dates(spark: SparkSession, root: str, column: str) -> list[str]:
+    """The values in the names of the folders ``root/column=value``, registered or not."""
+    target, files = _file_system(spark, root)
+    if not files.exists(target):
+        return []
+    names = [found.getPath().getName() for found in files.listStatus(target) if found.isDirectory()]
+    return [name.split("=", 1)[1] for name in names if name.startswith(f"{column}=")]
+
+
+def _delete_folder(spark: SparkSession, path: str) -> None:
+    target, files = _file_system(spark, path)
+    files.delete(target, True)

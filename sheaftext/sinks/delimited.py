@@ -27,6 +27,10 @@ def check_flat(schema: T.StructType) -> None:
 def text_of(field: T.StructField, options: WriteOptions) -> Column:
     """A column as text; dates and timestamps share one pattern."""
     column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.TimestampNTZType):
+        # date_format would take the time through the session zone
+        pattern = {"timestampNTZFormat": options.date_format, "sep": "\ue000", "quote": "\uf8ff", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+        return F.when(column.isNotNull(), F.to_csv(F.struct(column), pattern))
     if isinstance(field.dataType, DATED):
         return F.date_format(column, options.date_format)
     return column.cast("string")
@@ -85,7 +89,7 @@ def header_line(schema: T.StructType, options: WriteOptions) -> Column:
 
 
 def _with_header(lines: DataFrame, header: Column) -> DataFrame:
-    """Put the header in front of the first row of each partition, i.e. of each part file."""
+    """Put the header in front of the first row of each partition, which is a part file where no row limit cuts it."""
     row_in_partition = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     return lines.select(
         F.when(row_in_partition == 0, F.concat(header, F.lit("\n"), F.col("value"))).otherwise(F.col("value")).alias("value")
@@ -112,7 +116,7 @@ def write_delimited(
 
 
 def _write_csv(df: DataFrame, path: str, opts: WriteOptions, save_mode: str) -> None:
-    dated = {f.name: F.date_format(f"`{f.name}`", opts.date_format) for f in df.schema.fields if isinstance(f.dataType, DATED)}
+    dated = {f.name: F.date_format(f"`{f.name}`", opts.date_format) for f in df.schema.fields if isinstance(f.dataType, (T.DateType, T.TimestampType))}
     writer = df.withColumns(dated).write.mode(save_mode).options(
         sep=opts.delimiter,
         quote=opts.quote,
@@ -121,6 +125,7 @@ def _write_csv(df: DataFrame, path: str, opts: WriteOptions, save_mode: str) ->
         nullValue=opts.null_value,
         emptyValue=opts.quote * 2,
         quoteAll=opts.quote_mode == "ALL",
+        timestampNTZFormat=opts.date_format,
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
@@ -139,7 +144,7 @@ def _write_text(df: DataFrame, path: str, opts: WriteOptions, save_mode: str) ->
     header = header_line(df.schema, opts)
     if save_mode == "ignore" and _exists(spark, path):
         return
-    _with_header(lines, header).write.mode(save_mode).options(**codec).text(path)
+    _with_header(lines, header).write.mode(save_mode).options(maxRecordsPerFile="0", **codec).text(path)
     if spark.read.text(path).isEmpty():
         # no rows, so no partition had a first row to carry the header
         spark.range(1, numPartitions=1).select(header.alias("value")).write.mode("append").options(**codec).text(path)

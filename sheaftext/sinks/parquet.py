@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def append_parquet(df: DataFrame, path: str) -> None:
-    """Append snappy-compressed Parquet; running it twice stores the rows twice."""
-    df.write.mode("append").option("compression", "snappy").parquet(path)
+def append_parquet(df: DataFrame, path: str, by: list[str] | None = None) -> None:
+    """Append snappy-compressed Parquet, in one folder per value of ``by``; running it twice stores the rows twice."""
+    df.write.mode("append").option("compression", "snappy").partitionBy(*(by or [])).parquet(path)
 
 
 def write_partitions(df: DataFrame, path: str, partition: str, replace: bool = True, rebalance: bool = False) -> None:

@@ -13,7 +13,7 @@ from sheaftext.functions.casts import check_castable
 from sheaftext.operators import typed_parse
 from sheaftext.operators.infer import infer_schema
 from sheaftext.operators.modes import apply_mode, quarantine
-from sheaftext.options import FAILFAST, ReadOptions, merged, required_path
+from sheaftext.options import DROPMALFORMED, FAILFAST, ReadOptions, merged, required_path
 from sheaftext.sources.lines import LINE, data_lines, first_line, header_names, positional_names, text_lines
 from sheaftext.sources.tokens import Tokens, parser_options, tokenise, tokenise_multiline
 
@@ -170,13 +170,22 @@ def read_with_quarantine(
     return open_files(spark, path, schema, options, carry, **overrides).good_and_rejected()
 
 
-def create_delimited_view(spark: SparkSession, name: str, path: str, schema: str | None = None, options: ReadOptions | Mapping | None = None, **overrides) -> None:
-    """``CREATE TEMPORARY VIEW ... USING csv``: queryable and, by ``INSERT OVERWRITE``, writable from SQL.
+def create_delimited_view(
+    spark: SparkSession, name: str, path: str, schema: str | None = None, options: ReadOptions | Mapping | None = None, writable: bool = False, **overrides
+) -> None:
+    """A temporary view over delimited files for SQL, with the rows that :func:`read_delimited` gives.
 
-    This is Spark's own source under our defaults. For the malformed-row modes and null profiles that it lacks,
-    register ``read_delimited(...).createOrReplaceTempView(name)``, which is read-only.
+    ``writable`` declares it with ``USING csv`` instead, so that ``INSERT OVERWRITE`` works. That is Spark's own
+    source, which lacks some of the options; asking for one of those raises, and only the first line of a file
+    can be a header.
     """
     opts = merged(ReadOptions, options, overrides)
+    if not writable:
+        read_delimited(spark, path, schema, opts).createOrReplaceTempView(name)
+        return
+    lacking = _not_writable(schema, opts)
+    if lacking:
+        raise ValueError(f"a writable view cannot honour {', '.join(lacking)}")
     settings = parser_options(opts) | {
         "path": path,
         "header": str(opts.header).lower(),
@@ -196,6 +205,23 @@ def create_delimited_view(spark: SparkSession, name: str, path: str, schema: str
     spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW `{name}`{columns} USING csv OPTIONS ({quoted})")
 
 
+def _not_writable(schema: str | None, opts: ReadOptions) -> list[str]:
+    """The options that Spark's own source would read otherwise or not at all."""
+    plain = ReadOptions()
+    lacking = [f"{label}={value!r}" for label in ("profile", "locale", "treat_empty_values_as_nulls", "max_chars_per_col") if (value := getattr(opts, label)) != getattr(plain, label)]
+    if opts.mode == DROPMALFORMED:
+        lacking.append("mode='DROPMALFORMED'")
+    elif opts.mode != FAILFAST and opts.on_bad_cast == "error" and (opts.infer_schema or not _all_text(schema)):
+        lacking.append("on_bad_cast='error'")
+    if schema is None and not opts.header:
+        lacking.append("names C0, C1, ... (give a schema or a header)")
+    return lacking
+
+
+def _all_text(schema: str | None) -> bool:
+    return all(isinstance(f.dataType, T.StringType) for f in (as_schema(schema) or T.StructType()).fields)
+
+
 def _sql_text(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"

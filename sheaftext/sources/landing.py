@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Fixed value: table name, six digits of date and kind of a landing file.
 LANDING_NAME = r"([A-Za-z0-9]+?)(?:[_.\-][^/]*?)?(\d{6})\.(CSV|BST|CTR)$"
 
+# Fixed value: what comes before the date, six digits of date, and kind of a landing file.
+LANDING_PARTS = r"([^/]*?)(\d{6})\.(CSV|BST|CTR)$"
+
 
 def batch_glob(table: str, odate: str, kind: str = "*") -> str:
     """File name pattern of one batch."""
@@ -37,6 +40,21 @@ def with_batch(files: DataFrame, name_pattern: str = LANDING_NAME) -> DataFrame:
     return files.select("*", part(1).alias("table_name"), part(2).alias("odate"), part(3).alias("kind"))
 
 
+def expected_batches(files: DataFrame, expected: DataFrame) -> DataFrame:
+    """(path, kind, table_name, odate) of the files of the awaited batches in ``expected`` (table_name, odate).
+
+    Table names may hold any sign. A file is the table's whose name it begins with, the longest where there are
+    several: names are looked up by equality among the beginnings of the file name, never by pairs.
+    """
+    part = lambda i: F.regexp_extract("path", LANDING_PARTS, i)
+    named = files.select("path", part(1).alias("stem"), part(2).alias("odate"), part(3).alias("kind")).where("stem <> '' and odate <> ''")
+    begins = F.transform(F.sequence(F.lit(1), F.length("stem")), lambda n: F.substr("stem", F.lit(1), n))
+    candidates = named.select("path", "odate", "kind", F.explode(begins).alias("table_name"))
+    awaited = candidates.join(expected.select("table_name", "odate").distinct(), ["table_name", "odate"])
+    longest = F.max_by("table_name", F.length("table_name")).alias("table_name")
+    return awaited.groupBy("path", "odate", "kind").agg(longest)
+
+
 def manifest(spark: SparkSession, root: str, glob: str | None = None, name_pattern: str = LANDING_NAME) -> DataFrame:
     """The landing files with their batch."""
     return with_batch(list_files(spark, root, glob), name_pattern)

@@ -12,10 +12,11 @@ RATING_COLUMNS = ("usuario", "produto", "avaliacao")
 
 
 def split_ratings(lines: DataFrame, column: str = LINE) -> DataFrame:
-    """The first three comma-separated fields as strings; ``is_short`` marks lines with fewer."""
-    fields = lines.select(F.explode(F.array(F.split(F.col(column), ","))).alias("fields"))
+    """The first three comma-separated fields as strings; ``is_short`` marks lines with fewer, kept whole in ``line``."""
+    fields = lines.select(F.col(column).alias("line"), F.explode(F.array(F.split(F.col(column), ","))).alias("fields"))
     named = [F.get(F.col("fields"), F.lit(i)).alias(name) for i, name in enumerate(RATING_COLUMNS)]
-    return fields.select(*named, (F.size("fields") < len(RATING_COLUMNS)).alias("is_short"))
+    short = F.size("fields") < len(RATING_COLUMNS)
+    return fields.select(*named, F.when(short, F.col("line")).alias("line"), short.alias("is_short"))
 
 
 def read_ratings(spark: SparkSession, path: str | list[str]) -> DataFrame:

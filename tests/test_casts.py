@@ -33,6 +33,35 @@ def test_floating_locales(spark):
     assert cast("1,00", "fr-FR") == 1.0 and cast("1 234,5", "fr") == 1234.5
     assert cast("1.234,56", "pt-BR") == 1234.56 and cast("10.5", "pt-BR") == 10.5 and cast("1.234.567", "de") == 1234567.0
     assert cast("x", "pt") is None
+    assert cast("1,234.5", "es-MX") == 1234.5 and cast("1’234.5", "de_CH") == 1234.5 and cast("1.234,5", "es-ES") == 1234.5
+    with pytest.raises(ValueError, match="pt-XX"):
+        cast("1", "pt-XX")
+
+
+@pytest.mark.parametrize("zone, text", [("America/New_York", "2021-03-14 02:30:00"), ("America/Sao_Paulo", "2018-11-04 00:15:00")])
+def test_times_without_zone_do_not_depend_on_the_session(spark, zone, text, tmp_path):
+    """Wall-clock times that the session zone skips, parsed and written."""
+    from sheaftext import write_delimited
+    from sheaftext.operators.split_cast import cast_piece
+
+    before, ntz = spark.conf.get("spark.sql.session.timeZone"), T.TimestampNTZType()
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        shown = lambda column: spark.range(1).select(column.cast("string")).head()[0]
+        day, clock = text.split(" ")
+        compact = f"{day}-{clock.replace(':', '.')}"
+        assert shown(casts.to_timestamp(F.lit(text), ntz, "yyyy-MM-dd HH:mm:ss")) == text
+        assert shown(casts.to_timestamp(F.lit(text.replace(clock, "12:05:00")), ntz, "yyyy-MM-dd hh:mm:ss")) == f"{day} 00:05:00"
+        assert shown(casts.to_compact_timestamp(F.lit(compact + ".123456"), ntz)) == text
+        assert shown(cast_piece(F.lit(compact + ".123456"), ntz)) == text + ".123456"
+        assert shown(casts.to_timestamp(F.lit("no time"), ntz, "yyyy-MM-dd HH:mm:ss")) is None
+        frame = spark.range(1).select(F.expr(f"TIMESTAMP_NTZ'{text}'").alias("t"))
+        for mode in ("ALL", "NON_NUMERIC"):
+            write_delimited(frame, str(tmp_path / mode), date_format="dd/MM/yyyy HH:mm:ss", quote_mode=mode)
+            written = "/".join(reversed(day.split("-"))) + " " + clock
+            assert [r[0] for r in spark.read.text(str(tmp_path / mode)).collect()] == [f'"{written}"']
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_boolean(spark):

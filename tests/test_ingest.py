@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from conftest import rows
 from sheaftext.operators.schema_docs import conforms, ddl_columns, dictionary_columns, dictionary_schema, legacy_type, read_documents, schema_drift
 from sheaftext.plans.batch import batch_readiness, check_schema, file_counts, file_verdicts, load_batch, rows_per_file
-from sheaftext.plans.ratings import load_ratings
+from sheaftext.plans.ratings import load_ratings, rejected_ratings
 from sheaftext.plans.retention import partition_dates, purge
 from sheaftext.sinks.parquet import add_partition, table_exists, write_partitions
 from sheaftext.sources.landing import batch_glob, list_files, manifest
@@ -84,6 +84,15 @@ def test_manifest_and_readiness(spark, put, tmp_path):
     assert "content" not in files.columns
 
 
+def test_table_names_with_separators(spark, put, tmp_path):
+    for name in ("TB_ITEMS_1_190616", "TB_ITEMS_OLD_1_190616", "TB_1_190616", "P-Q190616", "ZZ_190616"):
+        for kind in ("CSV", "BST"):
+            put("", f"land/{name}.{kind}")
+    expected = spark.createDataFrame([(t, "190616", 1) for t in ("TB", "TB_ITEMS", "TB_ITEMS_OLD", "P-Q", "P")], "table_name string, odate string, file_count int")
+    status = {r.table_name: r.status for r in batch_readiness(manifest(spark, str(tmp_path / "land")), expected).collect()}
+    assert status == {"TB": "READY", "TB_ITEMS": "READY", "TB_ITEMS_OLD": "READY", "P-Q": "READY", "P": "MISSING"}
+
+
 def test_file_verdicts(spark):
     counts = spark.createDataFrame([("a", "x", 0), ("a", "y", 3), ("b", "z", 0), ("c", "w", 1)], "batch string, path string, rows long")
     assert {r.path: r.verdict for r in file_verdicts(counts, ["batch"]).collect()} == {"x": "SKIPPED", "y": "LOADED", "z": "ERROR", "w": "LOADED"}
@@ -123,6 +132,21 @@ def test_load_batch(spark, landed, tmp_path):
     spark.sql("DROP TABLE reports.loads")
 
 
+def test_batch_delivered_again_with_fewer_rows(spark, landed, put):
+    settings, dictionary = landed
+    assert load_batch(spark, settings, "SALES", "190616", dictionary).rows == 3
+    put("", "land/SALES_1_190616.CSV")
+    again = load_batch(spark, settings, "SALES", "190616", dictionary)
+    assert again.rows == 1 and rows(spark.table("default.sales").select("ID")) == [(3,)]
+    assert load_batch(spark, settings, "SALES", "200616", dictionary).rows == 1
+    put("", "land/SALES_1_200616.CSV")
+    from dataclasses import replace
+
+    with pytest.raises(ValueError, match="empty"):
+        load_batch(spark, replace(settings, file_count=1), "SALES", "200616", dictionary)
+    assert rows(spark.table("default.sales").select("ID")) == [(3,)]
+
+
 def test_load_errors(spark, landed, put):
     settings, dictionary = landed
     with pytest.raises(LookupError, match="no table"):
@@ -155,6 +179,10 @@ def test_retention(spark, tmp_path):
     assert spark.table("default.kept").count() == 4
     assert sorted(p.name for p in root.glob("DAT*")) == ["DAT_REF_CARGA=2016-06-10", "DAT_REF_CARGA=2016-06-19"]
     assert purge(spark, "default.kept", today, 9) == []
+    for folder in ("DAT_REF_CARGA=2001-01-01", "DAT_REF_CARGA=__HIVE_DEFAULT_PARTITION__", "other"):
+        (root / folder).mkdir()
+    assert purge(spark, "default.kept", today, 9, root=str(root)) == ["2001-01-01"]
+    assert sorted(p.name for p in root.iterdir() if p.is_dir() and "=20" not in p.name) == ["DAT_REF_CARGA=__HIVE_DEFAULT_PARTITION__", "other"]
     spark.sql("DROP TABLE default.kept")
 
 
@@ -170,11 +198,12 @@ def test_write_partitions_replaces_only_what_it_holds(spark, tmp_path):
 
 def test_ratings(spark, put, tmp_path):
     lines = spark.createDataFrame([("u,p,5",), ("u,p",), ("u,p,4,x",)], "value string")
-    assert rows(split_ratings(lines)) == [("u", "p", "5", False), ("u", "p", None, True), ("u", "p", "4", False)]
+    assert rows(split_ratings(lines)) == [("u", "p", "5", None, False), ("u", "p", None, "u,p", True), ("u", "p", "4", None, False)]
     spark.sql("DROP TABLE IF EXISTS default.rated")
     spark.sql(f"CREATE TABLE default.rated (usuario STRING, produto STRING, avaliacao STRING, data STRING) USING parquet PARTITIONED BY (data) LOCATION '{tmp_path}/rated'")
     left_out = load_ratings(spark, put("u,p,5\nshort\n", "r.csv"), str(tmp_path / "saved"), "default.rated", "2019-01-01")
     assert left_out == 1 and rows(spark.table("default.rated")) == [("u", "p", "5", "2019-01-01")]
+    assert rows(rejected_ratings(spark, str(tmp_path / "saved"))) == [("short",)]
     spark.sql("DROP TABLE default.rated")
 
 

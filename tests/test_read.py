@@ -149,6 +149,15 @@ def test_carried_columns(spark, put):
     assert sorted(rows(df)) == [(1, "data.csv"), (2, "data.csv")]
 
 
+def test_sql_view_honours_modes(spark, put):
+    path = put("1,a\nx,b\n3\n4,d\n")
+    create_delimited_view(spark, "kept_lines", path, "n int, t string", mode="DROPMALFORMED")
+    assert rows(spark.sql("SELECT n FROM kept_lines ORDER BY n")) == [(1,), (4,)]
+    for options in ({"mode": "DROPMALFORMED"}, {"profile": "legacy"}, {}):
+        with pytest.raises(ValueError, match="cannot honour"):
+            create_delimited_view(spark, "never", path, "n int, t string", writable=True, **options)
+
+
 def test_sql_view(spark, put):
     create_delimited_view(spark, "lamps", put(LAMPS), header=True, infer_schema=True)
     assert rows(spark.sql("SELECT id FROM lamps WHERE room = 'attic'")) == [(8,)]

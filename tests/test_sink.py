@@ -10,6 +10,17 @@ from conftest import rows
 from sheaftext import WriteOptions, create_delimited_view, insert_overwrite, read_delimited, save_with_options, write_delimited
 
 
+def test_header_in_every_file_whatever_the_row_limit(spark, tmp_path):
+    path = tmp_path / "limited"
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "2")
+    try:
+        write_delimited(spark.range(0, 10, 1, 2), str(path), header=True, quote_mode="NON_NUMERIC")
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    files = [p.read_text().splitlines() for p in path.glob("part-*")]
+    assert sum(len(f) - 1 for f in files) == 10 and all(f[0] == '"id"' for f in files)
+
+
 def texts(path):
     return [p.read_text() for p in sorted(Path(path).glob("part-*"))]
 
@@ -159,7 +170,7 @@ def test_nested_columns_are_refused(spark, tmp_path):
 def test_insert_overwrite(spark, tmp_path):
     path = str(tmp_path / "out")
     write_delimited(spark.range(3), path, header=True)
-    create_delimited_view(spark, "ids", path, "id bigint", header=True)
+    create_delimited_view(spark, "ids", path, "id bigint", header=True, writable=True, on_bad_cast="null")
     spark.range(7).createOrReplaceTempView("more_ids")
     spark.sql("INSERT OVERWRITE TABLE ids SELECT id FROM more_ids")
     assert spark.table("ids").count() == 7
