@@ -1,8 +1,8 @@
 """Toxicity: averaged subword embeddings under a linear softmax, trained jointly in numpy.
 
-A word is the bag of its character n-grams (3 to 5 bytes, those at its ends marked) and itself, hashed to a table of
-embeddings; its vector is their mean. A window of 16 words is the mean of its words' vectors, and a linear
-softmax over it gives toxic or clean. A text is as toxic as its worst window (windows overlap by half), so
+A word is the bag of its character n-grams (3 to 6 bytes, those at its ends marked) and itself, hashed to a table of
+embeddings; its vector is their mean. A window of two words is the mean of its words' vectors, and a linear
+softmax over it gives toxic or clean. A text is as toxic as its worst window (windows overlap by one word), so
 a few words in a very long text count as much as in a short one. Words not seen in training share n-grams
 with words that were, also when misspelled.
 
@@ -28,8 +28,9 @@ from sheaftext.llm.words import SYMBOLS, mix, rolling, words
 
 PER_CLASS = 2500
 BUCKETS = 1 << 17
+GRAMS = (3, 4, 5, 6)  # bytes
 DIM = 8
-HALF = 8  # words in half a window
+HALF = 1  # words in half a window
 ROUNDS = 40
 RATE = 0.3
 THRESHOLD = 0.7
@@ -40,7 +41,7 @@ def grams(w, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the subwords of some words, and each word's offsets."""
     starts, ends = w.starts[picked], w.ends[picked]
     owner, hashes = [np.arange(len(picked))], [w.hashes[picked] ^ _U(0x5851F42D4C957F2D)]
-    for n in (3, 4, 5):
+    for n in GRAMS:
         count = np.maximum(ends - starts - n + 1, 0)
         who = np.repeat(np.arange(len(picked)), count)
         at = np.repeat(starts, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)

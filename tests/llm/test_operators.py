@@ -244,7 +244,6 @@ def corpus(seed, n=400):
     return rows
 
 
-@pytest.mark.xfail(reason="known weakness: 0.80 instead of 0.95 with 400 training documents", strict=False)
 def test_toxicity_finds_misspellings():
     import pickle
 
