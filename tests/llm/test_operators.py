@@ -146,6 +146,17 @@ def test_templates_without_labels_keep(spark):
     assert {r.template for r in got} == {"/*/page"} and {r.verdict for r in got} == {"allow"}
 
 
+def test_templates_without_labels_take_the_nearest(spark):
+    rules = [("block", "net", "/es/"), ("allow", "c.org", "/ok/"), ("block", "com", "/")]
+    labelled = [f"http://a.net/es/{k}" for k in range(6)] + [f"http://x.c.org/ok/{k}" for k in range(6)] + [f"http://d.com/{k}" for k in range(30)]
+    judged = ["http://a.net/en/1", "http://b.a.net/en/1", "http://x.c.org/en/1", "http://y.c.org/en/1", "http://other.org/en/1", "http://z.z/en/1", "no host"]
+    pages = spark.createDataFrame(list(enumerate(labelled + judged)), "page_id bigint, url string")
+    for back_off, expected in ((True, ["block", "block", "allow", "allow", "allow", "allow", "allow"]), (False, ["block"] * 7)):
+        got = {r.page_id: r for r in url_filter.filter_urls(pages, rules, back_off=back_off).collect()}
+        assert len(got) == len(labelled + judged)
+        assert [got[k].verdict for k in range(len(labelled), len(got))] == expected
+
+
 def test_bpe_equals_the_library(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
