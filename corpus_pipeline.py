@@ -1,8 +1,8 @@
 """A corpus from raw documents to token digests: five stages over the documents that the one before kept.
 
-Each stage takes (spark, docs, sf_dir); all but the last return the columns of ``documents``. Rows with null ids
-pass like others; rows with equal ids share the decisions on that id. A stage that filters keeps everything it
-has no reason to drop.
+Each stage takes (spark, docs, sf_dir); all but the last return the columns of ``documents``. A stage that filters
+keeps everything it has no reason to drop. Near duplicates and contamination are decided row by row, also among rows
+with equal or null ids: such a stage first writes its input with a number for each row.
 """
 
 from __future__ import annotations
@@ -20,6 +20,11 @@ from sheaftext.llm.toxicity import drop_toxic
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _numbered(docs: DataFrame, label: str) -> DataFrame:
+    """``docs`` with a number for each row, written so that it stays the same."""
+    return materialise(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), label)
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that score 0.7 or more."""
     return drop_toxic(docs, table(spark, sf_dir, "labels")).select(*COLUMNS)
@@ -31,17 +36,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every group of five-word Jaccard 0.8 or more."""
-    found = jaccard_components(docs.select("doc_id", "text"), size=5, percent=80)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept"]), "left_semi").select(*COLUMNS)
+    """Keep the row with the smallest id (null before all, then the first row) of every group of five-word Jaccard 0.8 or more."""
+    rows = _numbered(docs, "rows-to-compare")
+    found = jaccard_components(rows.select(F.col("row").alias("doc_id"), "text"), size=5, percent=80).select(F.col("doc_id").alias("row"), "component_id")
+    first = F.min(F.struct("doc_id", "row")).alias("first")  # nulls come first
+    kept = found.join(rows.select("row", "doc_id"), "row").groupBy("component_id").agg(first).select("first.row")
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold ten consecutive words of a benchmark item (or a whole shorter item)."""
-    found = find_items(build_index(docs.select("doc_id", "text")), table(spark, sf_dir, "benchmark"))
-    hit = found.where(F.size("items") > 0).select(F.col("doc_id").alias("hit")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit"]), "left_anti").select(*COLUMNS)
+    """Drop rows that hold ten consecutive words of a benchmark item (or a whole shorter item)."""
+    rows = _numbered(docs, "rows-to-search")
+    found = find_items(build_index(rows.select(F.col("row").alias("doc_id"), "text")), table(spark, sf_dir, "benchmark"))
+    hit = found.where(F.size("items") > 0).select(F.col("doc_id").alias("row"))
+    return rows.join(hit, "row", "left_anti").select(*COLUMNS)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,3 +39,16 @@ def test_stages_on_odd_rows(spark, folder):
             assert tuple(out.columns) == corpus_pipeline.COLUMNS
             assert out.count() <= docs.count()
         assert corpus_pipeline.run(spark, path).count() >= 0
+
+
+def test_stages_decide_row_by_row(spark, folder):
+    family = " ".join(f"w{k}" for k in range(40))
+    texts = [(None, "single short"), (None, "a clean row"), (None, family), (None, family), (3, family + " more"), (3, family), (3, "another clean row"), (3, "x single short"), (7, None), (7, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in texts], "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+    texts_of = lambda df: sorted(map(repr, ((r.doc_id, r.text) for r in df.collect())))
+    clean = [r for r in texts if "single short" not in (r[1] or "")]
+    assert texts_of(corpus_pipeline.decontamination(spark, docs, folder[0])) == sorted(map(repr, clean))
+    single = [r for r in texts if family not in (r[1] or "")] + [(None, family)]
+    assert texts_of(corpus_pipeline.near_duplicates(spark, docs, folder[0])) == sorted(map(repr, single))
+    same_id = docs.where("doc_id = 3")
+    assert corpus_pipeline.near_duplicates(spark, same_id, folder[0]).count() == 3
