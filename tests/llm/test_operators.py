@@ -157,6 +157,20 @@ def test_templates_without_labels_take_the_nearest(spark):
         assert [got[k].verdict for k in range(len(labelled), len(got))] == expected
 
 
+def test_templates_of_deep_paths_differ(spark):
+    rules = [("block", "h.org", "/a/b/c/d/e/bad/"), ("allow", "h.org", "/a/b/c/d/e/good/")]
+    urls = [f"http://h.org/a/b/c/d/e/{kind}/{k}/x" for kind in ("bad", "good") for k in range(20)] + ["http://h.org", "http://h.org/a/b", "http://h.org/a/b/c/d/e/other"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = {r.page_id: r for r in url_filter.filter_urls(pages, rules).collect()}
+    assert len(got) == len(urls) and {r.host for r in got.values()} == {"h.org"}
+    templates = [got[k].template for k in (0, 39, 40, 41, 42)]
+    # ends of paths are branches too: their labelled siblings count as alike
+    assert templates == ["/~/b/~/d/e/bad/*/x", "/~/b/~/d/e/good/*/x", "", "/~/b", "/~/b/~/d/e/other"]
+    assert got[0].purity > 0.8 and got[39].purity < 0.2
+    folded = {r.page_id: r.template for r in url_filter.filter_urls(pages, rules, depth=3).collect()}
+    assert folded[0] == folded[39] == folded[42]
+
+
 def test_bpe_equals_the_library(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
