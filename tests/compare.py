@@ -1,4 +1,4 @@
-"""Comparing a Spark result with DuckDB on the same tables."""
+"""Reading a Spark result, and comparing it with DuckDB on the same tables."""
 
 from __future__ import annotations
 
@@ -20,6 +20,10 @@ def connect(sf_dir: str):
     return con
 
 
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
 def plain(value):
     if isinstance(value, Decimal):
         return format(value, "f")

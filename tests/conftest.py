@@ -30,7 +30,3 @@ def put(tmp_path):
         return str(path)
 
     return write
-
-
-def rows(df):
-    return [tuple(r) for r in df.collect()]

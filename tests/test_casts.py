@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from compare import rows
 from sheaftext import parse_lines
 from sheaftext.functions import casts
 from sheaftext.functions.dates import business_date, business_date_text, file_date, is_expired, retention_cutoff

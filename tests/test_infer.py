@@ -4,7 +4,7 @@ import itertools
 
 import pytest
 
-from conftest import rows
+from compare import rows
 from sheaftext import parse_lines, read_delimited
 from sheaftext.sources.delimited import open_lines
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from compare import rows
 from sheaftext.operators.schema_docs import conforms, ddl_columns, dictionary_columns, dictionary_schema, legacy_type, read_documents, schema_drift
 from sheaftext.plans.batch import batch_readiness, check_schema, file_counts, file_verdicts, load_batch, rows_per_file
 from sheaftext.plans.ratings import load_ratings, rejected_ratings

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from compare import rows
 from sheaftext import parse_lines, read_delimited, read_with_quarantine
 from sheaftext.sources.delimited import open_lines
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from compare import rows
 from sheaftext import ReadOptions, create_delimited_view, parse_lines, read_delimited, read_tsv, read_with_options
 from sheaftext.sources.lines import text_lines
 

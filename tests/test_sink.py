@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import types as T
 
-from conftest import rows
+from compare import rows
 from sheaftext import WriteOptions, create_delimited_view, insert_overwrite, read_delimited, save_with_options, write_delimited
 
 
