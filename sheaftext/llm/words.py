@@ -1,4 +1,8 @@
-"""Words and shingles of many texts at once, as 64-bit hashes of one flat byte array."""
+"""Words and shingles of many texts at once, as 64-bit hashes of one flat byte array.
+
+A word is a polynomial in its bytes modulo the prime 2^61 - 1. Two different words of length n have equal values for at
+most n of all bases, so no family of words collides for reasons of its form.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +11,13 @@ from typing import NamedTuple
 import numpy as np
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 & ~7 | 5  # 5 modulo 8: powers keep apart as many bits as an odd base can
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
+_PRIME = (1 << 61) - 1
+_P, _LOW, _29 = _U(_PRIME), _U((1 << 32) - 1), _U((1 << 29) - 1)
+_BASE = 0x12F6D1C4B7A3E985 % _PRIME
+_INVERSE = pow(_BASE, -1, _PRIME)
 _PLACE = np.random.default_rng(20240301).integers(1, 1 << 63, 64, dtype=np.uint64) * _U(2) + _U(1)
+_STEP = 1 << 20  # powers that are kept
+_LONG = 1 << 22  # longer ranges are summed in pieces, so that no sum passes 64 bits
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -19,18 +26,57 @@ BLANKS[[0x20, *range(0x09, 0x0E)]] = True
 #: Every ASCII byte that is not a letter or digit.
 SYMBOLS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+def multiply(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo 2^61 - 1 of numbers below it."""
+    a_low, a_high, b_low, b_high = a & _LOW, a >> _U(32), b & _LOW, b >> _U(32)
+    middle, low = a_high * b_low + a_low * b_high, a_low * b_low
+    total = (a_high * b_high << _U(3)) + (middle >> _U(29)) + ((middle & _29) << _U(32)) + (low & _P) + (low >> _U(61))
+    return _reduced(total)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> _U(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        out = np.concatenate([out, multiply(out, _U(pow(base, len(out), _PRIME)))])
+    return out[:n]
+
+
+_kept: dict[str, np.ndarray] = {}
+
+
+def _table(name: str) -> np.ndarray:
+    if name not in _kept:
+        _kept[name] = {"up": lambda: _powers(_BASE, _STEP), "down": lambda: _powers(_INVERSE, 1 << 12), "far down": lambda: _powers(pow(_INVERSE, 1 << 12, _PRIME), 1 << 12)}[name]()
+    return _kept[name]
+
+
+def _down(places: np.ndarray) -> np.ndarray:
+    """Powers of the inverse of the base."""
+    out = multiply(_table("far down")[places >> 12 & 0xFFF], _table("down")[places & 0xFFF])
+    far = places >> 24
+    if len(far) and far.max():
+        names, which = np.unique(far, return_inverse=True)
+        out = multiply(out, np.array([pow(_INVERSE, int(f) << 24, _PRIME) for f in names], np.uint64)[which])
+    return out
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the base and of its inverse, modulo 2^64; kept for the next call."""
-    if len(_powers[0]) < n:
-        size = 1 << int(n - 1).bit_length()
-        for k, base in enumerate((_BASE, _BASE_INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0], _powers[1]
+def _sums(lower: np.ndarray) -> np.ndarray:
+    """Running sums of byte times power, low and high half of the power apart, modulo 2^64."""
+    out = np.zeros((2, len(lower) + 1), np.uint64)
+    up = _table("up")
+    for a in range(0, len(lower), _STEP):
+        part = lower[a : a + _STEP].astype(np.uint64) + _U(1)
+        powers = up[: len(part)] if not a else multiply(up[: len(part)], _U(pow(_BASE, a, _PRIME)))
+        for row, half in zip(out, (powers & _LOW, powers >> _U(32))):
+            np.cumsum(part * half, out=row[a + 1 : a + len(part) + 1])
+            row[a + 1 : a + len(part) + 1] += row[a]
+    return out
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -44,13 +90,19 @@ class Words(NamedTuple):
     offsets: np.ndarray  # of each text's words, one more than texts
     starts: np.ndarray  # first byte of a word
     ends: np.ndarray  # one past its last byte
-    prefix: np.ndarray  # prefix[i]: rolling sum of the bytes before i
+    prefix: np.ndarray  # prefix[:, i]: running sums of the bytes before i
     lower: np.ndarray
 
 
 def rolling(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of any byte ranges, from the rolling sums."""
-    return mix((prefix[ends] - prefix[starts]) * powers(len(prefix))[1][starts] + (ends - starts).astype(np.uint64))
+    """Hash of any byte ranges, from the running sums: a polynomial modulo 2^61 - 1, then mixed one to one."""
+    low, high = prefix[0][ends] - prefix[0][starts], prefix[1][ends] - prefix[1][starts]
+    value = _reduced(_reduced(low) + multiply(_reduced(high), _U(1 << 32)))
+    for i in np.flatnonzero(ends - starts > _LONG):
+        cuts = np.append(np.arange(starts[i], ends[i], _LONG), ends[i])
+        low, high = prefix[0][cuts[1:]] - prefix[0][cuts[:-1]], prefix[1][cuts[1:]] - prefix[1][cuts[:-1]]
+        value[i] = sum(int(a) + (int(b) << 32) for a, b in zip(low, high)) % _PRIME
+    return mix(multiply(value, _down(starts)))
 
 
 def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = BLANKS, fold: bool = True) -> Words:
@@ -63,8 +115,7 @@ def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = BLANKS
     before[edges] = False
     after[edges - 1] = False
     starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
-    prefix = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[lower] * powers(len(data) + 1)[0][: len(data)], out=prefix[1:])
+    prefix = _sums(lower)
     return Words(rolling(prefix, starts, ends), np.searchsorted(starts, offsets), starts, ends, prefix, lower)
 
 
