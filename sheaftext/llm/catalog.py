@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sheaftext.llm import bpe, decontaminate, fingerprints, hmm, jaccard_join, line_dedup, quality, topk_search, toxicity, url_filter, warc, whitening
+from sheaftext.llm import bpe, collocations, decontaminate, fingerprints, hmm, jaccard_join, line_dedup, quality, topk_search, toxicity, url_filter, warc, whitening
 
 QUERIES = {
     "op1_line_dedup": (line_dedup.op1_line_dedup, line_dedup.SQL),
@@ -17,4 +17,5 @@ QUERIES = {
     "op10_quality": (quality.op10_quality, None),
     "op11_topk_search": (topk_search.op11_topk_search, topk_search.SQL),
     "op12_whitening": (whitening.op12_whitening, None),
+    "op13_collocations": (collocations.op13_collocations, collocations.SQL),
 }
