@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sheaftext import parse_lines, read_delimited
@@ -9,6 +13,7 @@ from sheaftext.catalog.common import ORDERS, joined, orders_line, stamp, table
 from sheaftext.plans.batch import SOURCE_FILE, audit_rows, base_name, batch_readiness, batch_totals, check_schema, file_counts, file_verdicts, load_batch, rows_per_file
 from sheaftext.plans.retention import partition_dates, purge, retained, with_expiry
 from sheaftext.session import scratch_path
+from sheaftext.sinks.folders import file_system
 from sheaftext.sinks.parquet import add_partition, append_parquet, quoted_table, write_partitions
 from sheaftext.sources.landing import list_files
 from sheaftext.sources.settings import read_settings
@@ -86,11 +91,8 @@ def load_partitioned(spark, sf_dir):
 LOADED = {"o_orderkey": "INTEGER", "o_custkey": "INTEGER", "o_orderstatus": "CHARACTER(1)", "o_totalprice": "DECIMAL(12,2)", "o_orderdate": "TIMESTAMP(26)"}
 
 
-def load_batch_twice(spark, sf_dir):
-    """Orders landed as one batch a year and loaded; then the last year is delivered again, with an empty file.
-
-    Returned are the audit and what the table holds in the end.
-    """
+def _landed_years(spark, sf_dir):
+    """Orders landed as one batch a year, and a table for them: its name, folder, a loader and the files of each year."""
     root = scratch_path(spark, "order-batches")
     name = root.rsplit("/", 1)[1].replace("-", "_")
     write = lambda text, kind: spark.range(1, numPartitions=1).select(F.lit(text).alias("value")).write.text(f"{root}/{kind}")
@@ -103,31 +105,71 @@ def load_batch_twice(spark, sf_dir):
     line = joined(";", "o_orderkey", "o_custkey", "o_orderstatus", price, stamp("o_orderdate", "yyyy-MM-dd-HH.mm.ss.SSSSSS"))
     lines = table(spark, sf_dir, "orders").select(line.alias("value"), stamp("o_orderdate", "yyyy").alias("year"))
     lines.hint("rebalance", "year").write.partitionBy("year").text(f"{root}/written")
-    at = spark._jvm.org.apache.hadoop.fs.Path
-    files = at(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.mkdirs(at(f"{root}/land"))
+    files = file_system(spark, root)[1]
+    path = lambda text: file_system(spark, text)[0]
+    files.mkdirs(path(f"{root}/land"))
     landed = {}  # one short list of file names a year
-    for part in files.globStatus(at(f"{root}/written/year=*/part-*")):
+    for part in files.globStatus(path(f"{root}/written/year=*/part-*")):
         year = part.getPath().getParent().getName()[-4:]
-        landed.setdefault(year, []).append(at(f"{root}/land/{name}_{len(landed.get(year, []))}_0101{year[2:]}.CSV"))
+        landed.setdefault(year, []).append(path(f"{root}/land/{name}_{len(landed.get(year, []))}_0101{year[2:]}.CSV"))
         files.rename(part.getPath(), landed[year][-1])
     columns = "o_orderkey INT, o_custkey INT, o_orderstatus STRING, o_totalprice DECIMAL(12,2), o_orderdate TIMESTAMP, DAT_REF_CARGA STRING"
     spark.sql(f"CREATE TABLE default.`{name}` ({columns}) USING parquet PARTITIONED BY (DAT_REF_CARGA) LOCATION '{root}/save'")
-    load = lambda year: load_batch(spark, settings, name, f"0101{year[2:]}", f"{root}/def", century=int(year[:2]), audit_table=f"default.{name}_audit")
+
+    def load(year, **changed):
+        return load_batch(spark, replace(settings, **changed), name, f"0101{year[2:]}", f"{root}/def", century=int(year[:2]), audit_table=f"default.{name}_audit")
+
     for year in sorted(landed):
         load(year)
+    return name, root, load, landed, files
+
+
+def _audit_and_table(spark, name, root):
+    """What the audit and the table hold in the end; both tables are then dropped."""
+    held = spark.table(f"default.{name}").groupBy(F.col("DAT_REF_CARGA").alias("day")).agg(F.count(F.lit(1)).alias("rows"), F.sum("o_totalprice").alias("total"))
+    audit = spark.table(f"default.{name}_audit").select(F.lit("audit").alias("kind"), F.col("dat_ref_carga").alias("day"), F.col("qtde_linhas").alias("rows"), F.lit(None).cast("decimal(22,2)").alias("total"))
+    files = spark.table(f"default.{name}_audit_files").groupBy(F.lit("files").alias("kind"), F.col("dat_ref_carga").alias("day")).agg(F.sum("rows").alias("rows"), F.lit(None).cast("decimal(22,2)").alias("total"))
+    audit.unionByName(files).unionByName(held.withColumn("kind", F.lit("table"))).write.parquet(f"{root}/result")
+    for used in (name, f"{name}_audit", f"{name}_audit_files"):
+        spark.sql(f"DROP TABLE default.`{used}`")
+    return spark.read.parquet(f"{root}/result")
+
+
+def load_batch_twice(spark, sf_dir):
+    """Orders landed as one batch a year and loaded; then the last year is delivered again, with an empty file.
+
+    Returned are the audit and what the table holds in the end.
+    """
+    name, root, load, landed, files = _landed_years(spark, sf_dir)
     if landed:
         last = max(landed)
         for path in landed[last]:
             files.delete(path, False)
         files.create(landed[last][0]).close()
         load(last)
-    held = spark.table(f"default.{name}").groupBy(F.col("DAT_REF_CARGA").alias("day")).agg(F.count(F.lit(1)).alias("rows"), F.sum("o_totalprice").alias("total"))
-    audit = spark.table(f"default.{name}_audit").select(F.lit("audit").alias("kind"), F.col("dat_ref_carga").alias("day"), F.col("qtde_linhas").alias("rows"), F.lit(None).cast("decimal(22,2)").alias("total"))
-    audit.unionByName(held.withColumn("kind", F.lit("table"))).write.parquet(f"{root}/result")
-    for used in (name, f"{name}_audit"):
-        spark.sql(f"DROP TABLE default.`{used}`")
-    return spark.read.parquet(f"{root}/result")
+    return _audit_and_table(spark, name, root).where("kind <> 'files'")
+
+
+def load_batch_failed(spark, sf_dir):
+    """As above, but the last year is delivered again with a line that does not fit, and the first as one empty file where one is due.
+
+    Both loads raise; audit, list of loaded files and table are as the first loads left them.
+    """
+    name, root, load, landed, files = _landed_years(spark, sf_dir)
+    if landed:
+        bad = files.create(landed[max(landed)][0], True)
+        bad.write(bytearray(b"1;2;O;no price;1995-01-01-00.00.00.000000\n"))
+        bad.close()
+        for path in landed[min(landed)]:
+            files.delete(path, False)
+        files.create(landed[min(landed)][0]).close()
+        for year, changed, error in ((max(landed), {}, (PySparkException, Py4JJavaError)), (min(landed), {"file_count": 1}, ValueError)):
+            try:
+                load(year, **changed)
+            except error:
+                continue
+            raise AssertionError(f"a bad delivery of {year} was loaded")
+    return _audit_and_table(spark, name, root)
 
 
 def _dated_table(spark, sf_dir, label, undated=None):
@@ -210,6 +252,13 @@ QUERIES = {
         UNION ALL SELECT 'audit', max(day), 0, NULL FROM years
         UNION ALL SELECT 'table', day, rows, total FROM years WHERE day < (SELECT max(day) FROM years)""",
     ),
+    "load_batch_failed": (
+        load_batch_failed,
+        """WITH years AS (SELECT strftime(o_orderdate, '%Y-01-01') AS day, count(*) AS rows, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS total FROM orders GROUP BY 1)
+        SELECT 'audit' AS kind, day, rows, CAST(NULL AS DECIMAL(22,2)) AS total FROM years
+        UNION ALL SELECT 'files', day, rows, NULL FROM years
+        UNION ALL SELECT 'table', day, rows, total FROM years""",
+    ),
     "load_partitioned": (load_partitioned, "SELECT *, strftime(o_orderdate, '%Y-%m-01') AS dat_ref_carga FROM orders"),
     "retention_purge": (
         retention_purge,

@@ -119,10 +119,10 @@ def csv_maxchars_drop(spark, sf_dir):
 
 
 def csv_long_fields(spark, sf_dir):
-    """Texts repeated until they pass every usual limit, read without a schema."""
+    """Texts repeated until they pass every usual limit, read without a schema; an empty text stays empty."""
     repeated = F.repeat(F.regexp_replace("text", r"[\r\n]", " "), (F.lit(140_000) / F.greatest(F.length("text"), F.lit(1))).cast("int") + 1)
     path = scratch_path(spark, "long-fields")
-    write_delimited(table(spark, sf_dir, "documents").where(F.length("text") > 0).select("doc_id", repeated.alias("text")), path, header=True, quote_mode="ALL")
+    write_delimited(table(spark, sf_dir, "documents").select("doc_id", repeated.alias("text")), path, header=True, quote_mode="ALL")
     rows = read_delimited(spark, path, header=True, comment=None)
     return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.length("text").cast("bigint").alias("chars"))
 
@@ -134,7 +134,11 @@ def csv_embedded_newline_lines(spark, sf_dir):
     return parse_lines(lines, schema, comment=None)
 
 
+RATING_DAYS = ("2024-01-31", "2024-02-01")
+
+
 def _loaded_ratings(spark, sf_dir):
+    """Events as the ratings of two days; the first day is loaded once more at the end."""
     events = table(spark, sf_dir, "events")
     source, saved = scratch_path(spark, "ratings-text"), scratch_path(spark, "ratings")
     name = "default." + saved.rsplit("/", 1)[1].replace("-", "_")
@@ -142,9 +146,10 @@ def _loaded_ratings(spark, sf_dir):
     # One field is missing from every fifth line, one is too many on every seventh.
     full = joined(",", "user_id", "event_type", "value")
     line = F.when(divides("event_id", 5), joined(",", "user_id", "event_type")).when(divides("event_id", 7), joined(",", full, "ts")).otherwise(full)
-    events.select(line.alias("value")).write.text(source)
+    events.select(line.alias("value"), F.when(divides("event_id", 2), RATING_DAYS[0]).otherwise(RATING_DAYS[1]).alias("day")).write.partitionBy("day").text(source)
     spark.sql(f"CREATE TABLE {quoted_table(name)} ({columns}, data STRING) USING parquet PARTITIONED BY (data) LOCATION '{saved}-table'")
-    load_ratings(spark, source, saved, name, "2024-01-31")
+    for day in (*RATING_DAYS, RATING_DAYS[0]):
+        load_ratings(spark, f"{source}/day={day}", saved, name, day)
     return name, saved
 
 
@@ -155,7 +160,7 @@ def ratings_load(spark, sf_dir):
 
 def ratings_rejected(spark, sf_dir):
     _, saved = _loaded_ratings(spark, sf_dir)
-    return rejected_ratings(spark, saved)
+    return rejected_ratings(spark, saved).select("line")
 
 
 QUERIES = {
@@ -178,13 +183,13 @@ QUERIES = {
     "csv_maxchars_drop": (csv_maxchars_drop, "SELECT doc_id, lang, length(text) AS chars, CASE WHEN length(text) > 2000 THEN 'field_too_long' END AS reason FROM documents"),
     "csv_long_fields": (
         csv_long_fields,
-        "SELECT doc_id, CAST(length(text) * (trunc(140000 / length(text)) + 1) AS BIGINT) AS chars FROM documents WHERE length(text) > 0",
+        "SELECT doc_id, CAST(length(text) * (trunc(140000 / greatest(length(text), 1)) + 1) AS BIGINT) AS chars FROM documents",
     ),
     "csv_embedded_newline_lines": (csv_embedded_newline_lines, "SELECT * FROM documents"),
     "ratings_rejected": (ratings_rejected, "SELECT CAST(user_id AS VARCHAR) || ',' || event_type AS line FROM events WHERE event_id % 5 = 0"),
     "ratings_load": (
         ratings_load,
         """SELECT CAST(user_id AS VARCHAR) AS usuario, event_type AS produto, CAST(value AS VARCHAR) AS avaliacao,
-        '2024-01-31' AS data FROM events WHERE event_id % 5 <> 0""",
+        CASE WHEN event_id % 2 = 0 THEN '2024-01-31' ELSE '2024-02-01' END AS data FROM events WHERE event_id % 5 <> 0""",
     ),
 }

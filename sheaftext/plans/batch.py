@@ -1,7 +1,7 @@
 """Loading one batch of landing files into a date partition, and the checks and records around it.
 
 All files of a batch are one scan that is parsed once: rows are written to Parquet with the name of their file,
-and every count is then read from what was written.
+and every count is then read from what was written. What is written becomes visible only when it has been judged.
 """
 
 from __future__ import annotations
@@ -15,12 +15,15 @@ from pyspark.sql import types as T
 from sheaftext.functions.dates import business_date_text
 from sheaftext.options import ReadOptions
 from sheaftext.operators.schema_docs import LOAD_DATE_COLUMN, conforms, ddl_columns, dictionary_columns, dictionary_schema, read_documents, schema_drift
-from sheaftext.sinks.parquet import add_partition, quoted_table, table_exists
+from sheaftext.sinks.folders import delete_folder
+from sheaftext.sinks.parquet import partition_location, publish_partition, run_folder, table_exists
 from sheaftext.sources.delimited import read_delimited
 from sheaftext.sources.landing import batch_glob, expected_batches, list_files
 from sheaftext.sources.settings import LoadSettings
 
 SOURCE_FILE = "source_file"
+#: File names that an audit row lists in full.
+NAMED_FILES = 100
 BATCH = ["table_name", "odate"]
 
 # The columns of the load audit table.
@@ -86,14 +89,37 @@ def base_name(path: Column) -> Column:
 
 
 def batch_totals(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Files, rows, bytes and file names per batch; the name list is one short text per file."""
-    names = F.sort_array(F.collect_list(base_name(F.col("path"))))
-    return counts.groupBy(*(by or BATCH)).agg(
+    """Files, rows, bytes and file names per batch.
+
+    Up to ``NAMED_FILES`` names are listed in order. A longer list begins with as many and ends with the number of files and
+    a digest of all names, so the text stays short; :func:`loaded_files` keeps every name.
+    """
+    by = by or BATCH
+    name = base_name(F.col("path"))
+    totals = counts.groupBy(*by).agg(
         F.count(F.lit(1)).alias("files"),
         F.sum("rows").alias("rows"),
         F.sum("length").alias("bytes"),
-        F.concat_ws(" / ", names).alias("file_names"),
+        F.bit_xor(F.xxhash64(name)).alias("mark"),
+        F.sum(F.xxhash64(name).cast("decimal(38,0)")).alias("sum"),
     )
+    # the first names of each part of a batch, then those of the batch: no task sorts all names
+    part = F.pmod(F.xxhash64("path"), F.lit(NAMED_FILES))
+    first = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy("name", "path"))
+    some = counts.select(*by, "path", name.alias("name"), part.alias("part")).withColumn("place", first(*by, "part")).where(F.col("place") <= NAMED_FILES)
+    some = some.withColumn("place", first(*by)).where(F.col("place") <= NAMED_FILES)
+    listed = some.groupBy(*by).agg(F.concat_ws(" / ", F.sort_array(F.collect_list("name"))).alias("names"))
+    same = [totals[k].eqNullSafe(listed[k]) for k in by]
+    digest = F.concat(F.lit(" / ... ("), F.col("files").cast("string"), F.lit(" files, "), F.lower(F.hex("mark")), F.lit(" "), F.col("sum").cast("string"), F.lit(")"))
+    file_names = F.concat("names", F.when(F.col("files") > NAMED_FILES, digest).otherwise(""))
+    return totals.join(listed, same).select(*[totals[k] for k in by], "files", "rows", "bytes", file_names.alias("file_names"))
+
+
+def loaded_files(counts: DataFrame, database: str, table: str, ref_date: str, run_at: Column | None = None) -> DataFrame:
+    """One row per landing file of a load: what it was, how many rows it gave, and what became of it."""
+    judged = file_verdicts(counts.withColumn("odate", F.lit(ref_date)), ["odate"])
+    values = {"db": F.lit(database), "tabela": F.lit(table), "dat_ref_carga": F.lit(ref_date), "dh_exec": (run_at if run_at is not None else F.current_timestamp()).cast("string")}
+    return judged.select(*[v.alias(k) for k, v in values.items()], "path", "length", "rows", "verdict")
 
 
 def audit_rows(totals: DataFrame, database: str, table: Column, origin: str, run_at: Column, ref_date: Column) -> DataFrame:
@@ -156,34 +182,49 @@ def load_batch(
 ) -> LoadResult:
     """Load all data files of ``table`` and ``odate`` into the partition of that date.
 
-    Raises when the catalog lacks the table, no file has arrived, or the only file is empty. A rerun replaces
-    the whole partition, also by no rows when the files delivered again are empty, so what is counted and recorded
-    is what this load has written. The partition is registered only when it has rows.
+    Rows go to a folder of this run, are counted and judged there, and only then become the partition. A load that
+    raises leaves table, partition and audit as they were and removes its folder. It raises when the catalog lacks
+    the table, no file has arrived, a value does not fit, or the only file is empty. A rerun replaces the whole partition,
+    also by no rows when all of several files delivered again are empty. A partition without rows is not registered.
+    With ``audit_table``, each published load adds one row there and one per file to ``<audit_table>_files``.
     """
     if not table_exists(spark, settings.database, table):
         raise LookupError(f"no table {settings.database}.{table} in the catalog")
     schema = dictionary_schema(spark, dictionary_path)
     glob = batch_glob(table, odate, "CSV")
-    files = list_files(spark, settings.source_path, glob)
     ref_date = spark.range(1).select(business_date_text(F.lit(odate), century)).head()[0]
     if ref_date is None:
         raise ValueError(f"not a ddmmyy date: {odate}")
+    files = list_files(spark, settings.source_path, glob)
+    if not files.limit(1).count():
+        raise FileNotFoundError(f"no file {glob} in {settings.source_path}")
+    target, partition = f"{settings.database.lower()}.{table.lower()}", {LOAD_DATE_COLUMN: ref_date}
     rows = landing_rows(spark, settings.source_path.rstrip("/"), schema, settings.dialect, F.lit(ref_date), glob)
-    location = f"{settings.save_path.rstrip('/')}/{LOAD_DATE_COLUMN}={ref_date}"
     stored = rows.drop(LOAD_DATE_COLUMN)
-    stored.write.mode("overwrite").option("compression", "snappy").parquet(location)
-    spark.catalog.refreshTable(f"{quoted_table(settings.database.lower())}.{quoted_table(table.lower())}")
-    # one narrow column of the folder that this load has just written
-    counts = file_counts(files, rows_per_file(spark.read.schema(stored.schema).parquet(location)))
-    total = counts.agg(F.sum("rows"), F.count(F.lit(1))).head()
-    if not total[1]:
-        raise FileNotFoundError(f"no file {glob} in {settings.source_path}")
-    if not total[0] and settings.file_count == 1:
-        raise ValueError(f"the only file of {table} {odate} is empty")
-    if total[0]:
-        add_partition(spark, f"{settings.database.lower()}.{table.lower()}", {LOAD_DATE_COLUMN: ref_date}, location)
+    location = run_folder(settings.save_path, partition)
+    try:
+        stored.write.option("compression", "snappy").parquet(location)
+        # one narrow column of the folder that this load has just written
+        counts = file_counts(files, rows_per_file(spark.read.schema(stored.schema).parquet(location)))
+        total = counts.agg(F.sum("rows")).head()[0]
+        if not total and settings.file_count == 1:
+            raise ValueError(f"the only file of {table} {odate} is empty")
+        if total or partition_location(spark, target, partition) is not None:
+            publish_partition(spark, target, partition, location)
+    except BaseException:
+        delete_folder(spark, location)
+        raise
+    if not total:
+        delete_unused(spark, target, partition, location)
     totals = batch_totals(counts.withColumn("odate", F.lit(odate)), ["odate"])
-    audit = audit_rows(totals, settings.database, F.lit(table), settings.landing_path, run_at or F.current_timestamp(), F.lit(ref_date))
+    audit = audit_rows(totals, settings.database, F.lit(table), settings.landing_path, run_at if run_at is not None else F.current_timestamp(), F.lit(ref_date))
     if audit_table:
         append_audit(audit, audit_table)
-    return LoadResult(ref_date, total[0] or 0, counts, audit)
+        append_audit(loaded_files(counts, settings.database, table, ref_date, run_at), f"{audit_table}_files")
+    return LoadResult(ref_date, total or 0, counts, audit)
+
+
+def delete_unused(spark: SparkSession, table: str, partition: dict[str, str], location: str) -> None:
+    """Remove the folder of a run that became no partition."""
+    if partition_location(spark, table, partition) is None:
+        delete_folder(spark, location)

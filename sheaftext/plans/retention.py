@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sheaftext.functions.dates import is_expired
 from sheaftext.operators.schema_docs import LOAD_DATE_COLUMN
+from sheaftext.sinks.folders import delete_folder, file_system
 from sheaftext.sinks.parquet import quoted_table, sql_text
 
 log = logging.getLogger(__name__)
@@ -51,24 +52,14 @@ def purge(spark: SparkSession, table: str, today: Column, days: int, column: str
     spark.sql(f"ALTER TABLE {quoted_table(table)} DROP IF EXISTS {specs}")
     if root is not None:
         for day in expired:
-            _delete_folder(spark, f"{root.rstrip('/')}/{column}={day}")
+            delete_folder(spark, f"{root.rstrip('/')}/{column}={day}")
     return expired
 
 
-def _file_system(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def _folder_dates(spark: SparkSession, root: str, column: str) -> list[str]:
     """The values in the names of the folders ``root/column=value``, registered or not."""
-    target, files = _file_system(spark, root)
+    target, files = file_system(spark, root)
     if not files.exists(target):
         return []
     names = [found.getPath().getName() for found in files.listStatus(target) if found.isDirectory()]
     return [name.split("=", 1)[1] for name in names if name.startswith(f"{column}=")]
-
-
-def _delete_folder(spark: SparkSession, path: str) -> None:
-    target, files = _file_system(spark, path)
-    files.delete(target, True)

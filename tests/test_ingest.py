@@ -1,5 +1,6 @@
 """Settings, schema documents, landing manifest, loads, audit and retention."""
 
+from dataclasses import replace
 from decimal import Decimal
 from pathlib import Path
 
@@ -9,7 +10,7 @@ from pyspark.sql import types as T
 
 from compare import rows
 from sheaftext.operators.schema_docs import conforms, ddl_columns, dictionary_columns, dictionary_schema, legacy_type, read_documents, schema_drift
-from sheaftext.plans.batch import batch_readiness, check_schema, file_counts, file_verdicts, load_batch, rows_per_file
+from sheaftext.plans.batch import batch_readiness, batch_totals, check_schema, file_counts, file_verdicts, load_batch, rows_per_file
 from sheaftext.plans.ratings import load_ratings, rejected_ratings
 from sheaftext.plans.retention import partition_dates, purge
 from sheaftext.sinks.parquet import add_partition, table_exists, write_partitions
@@ -138,13 +139,62 @@ def test_batch_delivered_again_with_fewer_rows(spark, landed, put):
     put("", "land/SALES_1_190616.CSV")
     again = load_batch(spark, settings, "SALES", "190616", dictionary)
     assert again.rows == 1 and rows(spark.table("default.sales").select("ID")) == [(3,)]
-    assert load_batch(spark, settings, "SALES", "200616", dictionary).rows == 1
-    put("", "land/SALES_1_200616.CSV")
-    from dataclasses import replace
+    for name in ("SALES_2_190616.CSV", "SALES_3_190616.CSV"):
+        put("", f"land/{name}")
+    assert load_batch(spark, settings, "SALES", "190616", dictionary).rows == 0
+    assert spark.table("default.sales").count() == 0
+
+
+def run_folders(tmp_path):
+    return sorted(str(p) for p in (tmp_path / "save").rglob("_run-*"))
 
+
+def test_failed_load_leaves_everything_as_it_was(spark, landed, put, tmp_path):
+    settings, dictionary = landed
+    for used in ("loads", "loads_files"):
+        spark.sql(f"DROP TABLE IF EXISTS default.{used}")
+    load = lambda date, **changed: load_batch(spark, replace(settings, **changed), "SALES", date, dictionary, audit_table="default.loads")
+    load("190616")
+    load("200616")
+    state = lambda: (sorted(rows(spark.table("default.sales").select("ID", "DAT_REF_CARGA"))), spark.table("default.loads").count(), spark.table("default.loads_files").count(), run_folders(tmp_path))
+    before = state()
+    assert before[0] == [(1, "2016-06-19"), (2, "2016-06-19"), (3, "2016-06-19"), (9, "2016-06-20")] and before[1:3] == (2, 4) and len(before[3]) == 2
+    put("4;Dan;1,00;2019-06-20-00.00.00.000000\nx;Eve;1,00;\n", "land/SALES_2_190616.CSV")
+    with pytest.raises(Exception, match="(?i)cast|malformed|invalid|x"):
+        load("190616")
+    assert state() == before
+    put("", "land/SALES_1_200616.CSV")
     with pytest.raises(ValueError, match="empty"):
-        load_batch(spark, replace(settings, file_count=1), "SALES", "200616", dictionary)
-    assert rows(spark.table("default.sales").select("ID")) == [(3,)]
+        load("200616", file_count=1)
+    assert state() == before
+    put("9;other;2,00;\n", "land/SALES_1_200616.CSV")
+    load("200616")
+    after = state()
+    assert after[0] == before[0] and after[1:3] == (3, 5) and len(after[3]) == 2 and after[3] != before[3]
+    for used in ("loads", "loads_files"):
+        spark.sql(f"DROP TABLE default.{used}")
+
+
+def test_partition_written_by_other_means_is_replaced(spark, landed, tmp_path):
+    settings, dictionary = landed
+    old = tmp_path / "save" / "DAT_REF_CARGA=2016-06-20"
+    spark.sql("SELECT 7 AS ID, 'old' AS NAME, cast(1 AS decimal(9,2)) AS AMOUNT, cast(NULL AS timestamp) AS SEEN").write.parquet(str(old))
+    add_partition(spark, "default.sales", {"DAT_REF_CARGA": "2016-06-20"}, str(old))
+    assert rows(spark.table("default.sales").select("ID")) == [(7,)]
+    load_batch(spark, settings, "SALES", "200616", dictionary)
+    assert rows(spark.table("default.sales").select("ID")) == [(9,)]
+    assert [p.name[:5] for p in old.iterdir()] == ["_run-"]
+
+
+def test_file_names_of_large_batches(spark):
+    files = spark.range(250).select(F.lit("x").alias("b"), F.format_string("/l/f%03d.CSV", "id").alias("path"), F.lit(1).cast("bigint").alias("rows"), F.lit(2).cast("bigint").alias("length"))
+    one = files.withColumn("b", F.when(F.col("path") < "/l/f002", "y").otherwise("x"))
+    found = {r.b: r for r in batch_totals(one, ["b"]).collect()}
+    assert found["y"].file_names == "f000.CSV / f001.CSV" and (found["x"].files, found["x"].rows, found["x"].bytes) == (248, 248, 496)
+    names = found["x"].file_names.split(" / ")
+    assert names[:100] == [f"f{k:03d}.CSV" for k in range(2, 102)] and len(names) == 101 and names[100].startswith("... (248 files, ")
+    other = one.withColumn("path", F.replace("path", F.lit("f249"), F.lit("f250")))
+    assert {r.b: r.file_names for r in batch_totals(other, ["b"]).collect()}["x"] != found["x"].file_names
 
 
 def test_load_errors(spark, landed, put):
@@ -156,8 +206,6 @@ def test_load_errors(spark, landed, put):
     with pytest.raises(ValueError, match="ddmmyy"):
         load_batch(spark, settings, "SALES", "991399", dictionary)
     put("", "land/SALES_1_210616.CSV")
-    from dataclasses import replace
-
     with pytest.raises(ValueError, match="empty"):
         load_batch(spark, replace(settings, file_count=1), "SALES", "210616", dictionary)
     assert load_batch(spark, settings, "SALES", "210616", dictionary).rows == 0
@@ -201,9 +249,18 @@ def test_ratings(spark, put, tmp_path):
     assert rows(split_ratings(lines)) == [("u", "p", "5", None, False), ("u", "p", None, "u,p", True), ("u", "p", "4", None, False)]
     spark.sql("DROP TABLE IF EXISTS default.rated")
     spark.sql(f"CREATE TABLE default.rated (usuario STRING, produto STRING, avaliacao STRING, data STRING) USING parquet PARTITIONED BY (data) LOCATION '{tmp_path}/rated'")
-    left_out = load_ratings(spark, put("u,p,5\nshort\n", "r.csv"), str(tmp_path / "saved"), "default.rated", "2019-01-01")
-    assert left_out == 1 and rows(spark.table("default.rated")) == [("u", "p", "5", "2019-01-01")]
-    assert rows(rejected_ratings(spark, str(tmp_path / "saved"))) == [("short",)]
+    saved = str(tmp_path / "saved")
+    load = lambda text, day: load_ratings(spark, put(text, f"{day}.csv"), saved, "default.rated", day)
+    state = lambda: (sorted(rows(spark.table("default.rated"))), sorted(rows(rejected_ratings(spark, saved))))
+    assert load("u,p,5\nshort\n", "2019-01-01") == 1
+    assert state() == ([("u", "p", "5", "2019-01-01")], [("short", "2019-01-01")])
+    assert load("v,q,1\nw,q,2\n", "2019-01-02") == 0
+    both = state()
+    assert both == ([("u", "p", "5", "2019-01-01"), ("v", "q", "1", "2019-01-02"), ("w", "q", "2", "2019-01-02")], [("short", "2019-01-01")])
+    assert load("u,p,5\nshort\n", "2019-01-01") == 1 and state() == both  # a rerun replaces
+    assert load("only short\n", "2019-01-01") == 1
+    assert state() == (both[0][1:], [("only short", "2019-01-01")])
+    assert load("z,z,1\n", "2019-01-01") == 0 and state() == ([*both[0][1:], ("z", "z", "1", "2019-01-01")], [])
     spark.sql("DROP TABLE default.rated")
 
 
