@@ -89,15 +89,30 @@ def dictionary_schema(spark: SparkSession, path: str, load_date: bool = False) -
     return schema.add(LOAD_DATE_COLUMN, T.StringType(), True) if load_date else schema
 
 
+# One pass over the characters of a column list: depth of brackets, open quote, places of the commas between columns, end of the list.
+_SCAN = """aggregate(
+    split(body, ''),
+    named_struct('at', 0, 'depth', 0, 'quote', '', 'cuts', array(0), 'end', -1),
+    (s, c) -> if(s.end >= 0, s, named_struct(
+        'at', s.at + 1,
+        'depth', s.depth + case when s.quote <> '' then 0 when c = '(' then 1 when c = ')' then -1 else 0 end,
+        'quote', case when s.quote = c then '' when s.quote = '' and c in ('\\'', '"', '`') then c else s.quote end,
+        'cuts', if(c = ',' and s.depth = 0 and s.quote = '', array_append(s.cuts, s.at + 1), s.cuts),
+        'end', if(c = ')' and s.depth = 0 and s.quote = '', s.at, -1))))"""
+
+
 def ddl_columns(documents: DataFrame) -> DataFrame:
-    """Columns of ``CREATE TABLE ... ( NAME TYPE ..., ... )`` texts: (doc, position, column_name, legacy_type)."""
-    one_line = F.regexp_replace(TEXT, r"\s+", " ")
-    body = F.regexp_extract(one_line, r"(?i)CREATE TABLE [^(]*\((.*)\)", 1)
-    tight = F.regexp_replace(F.regexp_replace(body, r" ?, ?", ","), r" ?\( ?", "(")
-    tight = F.regexp_replace(tight, r" \)", ")")
-    items = documents.select(DOC, F.posexplode(F.split(tight, r",(?![^()]*\))")).alias("position", "item"))
-    words = F.split(F.trim("item"), " ")
-    return items.where(F.trim("item") != "").select(
+    """Columns of ``CREATE TABLE ... ( NAME TYPE ..., ... )`` texts: (doc, position, column_name, legacy_type).
+
+    Brackets and quotes may be nested in a column to any depth; a list that never closes has no columns.
+    """
+    body = F.regexp_extract(F.regexp_replace(TEXT, r"\s+", " "), r"(?i)CREATE TABLE [^(]*\((.*)$", 1)
+    scanned = documents.select(DOC, body.alias("body")).withColumn("s", F.expr(_SCAN)).where("s.end >= 0")
+    ends = F.expr("concat(transform(slice(s.cuts, 2, size(s.cuts)), c -> c - 1), array(s.end))")
+    parts = scanned.withColumn("ends", ends).select(DOC, F.posexplode(F.expr("transform(s.cuts, (c, i) -> substring(body, c + 1, ends[i] - c))")).alias("position", "item"))
+    tight = F.regexp_replace(F.regexp_replace(F.regexp_replace("item", r" ?, ?", ","), r" ?\( ?", "("), r" \)", ")")
+    words = F.split(F.trim(tight), " ")
+    return parts.where(F.trim("item") != "").select(
         DOC,
         "position",
         F.get(words, F.lit(0)).alias("column_name"),

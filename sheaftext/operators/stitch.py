@@ -1,25 +1,20 @@
 """Re-joining records that were cut in two.
 
 In a file's line order, a line with too few fields takes its successor, whatever that is, and the pair is not
-looked at again; the last line of a file stays as it is. Within a run of consecutive short lines it is thus the
-first, third, fifth, ... that take a successor, and only the parity inside the run has to be known.
-
-A file may be very large, so it is never one group. Lines are grouped in blocks that are small whatever the
-file; per block only its line count, the position of its last long line and its first line travel to a second,
-tiny window that carries run lengths from block to block.
+looked at again; the last line of a file stays as it is. So a line either is taken by the one before it or not: a long line is
+never followed by a taken one, and a short one hands the question on, turned around. That is a step of
+:mod:`sheaftext.operators.records`, which follows it through blocks and splits without a window per file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheaftext.operators.records import BLOCK_BITS, ROW, SOURCE, SPLIT, join_lines, place_columns
 from sheaftext.sources.lines import LINE, text_lines
 
-SOURCE, SPLIT, ROW = "__source", "__split", "__row"
-BLOCK, LONG_ROW = "__block", "__long_row"
-KEYS = [SOURCE, SPLIT, BLOCK]
-BLOCK_BITS = 18
+__all__ = ["ROW", "SOURCE", "SPLIT", "is_short", "numbered_lines", "stitch_lines"]
 
 
 def numbered_lines(spark: SparkSession, path: str | list[str], charset: str = "UTF-8") -> DataFrame:
@@ -27,16 +22,7 @@ def numbered_lines(spark: SparkSession, path: str | list[str], charset: str = "U
 
     The three together give the line order inside a file without a shuffle.
     """
-    return text_lines(
-        spark,
-        path,
-        charset,
-        carry={
-            SOURCE: F.col("_metadata.file_path"),
-            SPLIT: F.col("_metadata.file_block_start"),
-            ROW: F.monotonically_increasing_id(),
-        },
-    )
+    return text_lines(spark, path, charset, carry=place_columns())
 
 
 def is_short(line: Column, delimiter: str, min_fields: int) -> Column:
@@ -51,57 +37,5 @@ def stitch_lines(lines: DataFrame, delimiter: str = ";", min_fields: int = 5, bl
     Each short line that is due takes the next line of its file, also across splits; a line taken is not
     returned on its own. A block holds up to ``2 ** block_bits`` lines.
     """
-    blocks = lines.select(
-        SOURCE,
-        SPLIT,
-        F.shiftright(ROW, block_bits).alias(BLOCK),
-        ROW,
-        LINE,
-        F.when(~is_short(F.col(LINE), delimiter, min_fields), F.col(ROW)).alias(LONG_ROW),
-    )
-    in_block = Window.partitionBy(*KEYS).orderBy(ROW)
-    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    placed = blocks.select(
-        *KEYS,
-        ROW,
-        LINE,
-        F.col(LONG_ROW).isNull().alias("short"),
-        F.row_number().over(in_block).alias("pos"),
-        F.max(LONG_ROW).over(before).alias("long_before"),
-        F.lead(LINE).over(in_block).alias("successor"),
-    )
-    joined = placed.join(_block_carry(blocks), KEYS, "left")
-    # Short lines in a row just before this one. An odd run has its last line waiting for this one; after an
-    # even run (none included) this line stands for itself and, if short, takes the next.
-    run_before = F.coalesce(F.col(ROW) - F.col("long_before") - 1, F.col("pos") - 1 + F.col("carried_run"))
-    successor = F.coalesce("successor", "next_block_line", F.lit(""))
-    return joined.where(run_before % 2 == 0).select(
-        SOURCE,
-        SPLIT,
-        ROW,
-        F.when(F.col("short"), F.concat(LINE, successor)).otherwise(F.col(LINE)).alias(LINE),
-    )
-
-
-def _block_carry(blocks: DataFrame) -> DataFrame:
-    """Per block: length of the run of short lines that reaches its start, and the first line after its end.
-
-    The summary is a second scan with a local aggregate. A block lies inside one split and so inside one task;
-    one row per block is shuffled.
-    """
-    summary = blocks.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.max(LONG_ROW) - F.min(ROW) + 1).alias("long_pos"),
-        F.min_by(LINE, ROW).alias(LINE),
-    )
-    order = Window.partitionBy(SOURCE).orderBy(SPLIT, BLOCK)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("n").over(before), F.lit(0))
-    placed = summary.select(
-        *KEYS,
-        start.alias("start"),
-        (start + F.col("long_pos")).alias("long_pos"),
-        F.lead(LINE).over(order).alias("next_block_line"),
-    )
-    last_long = F.coalesce(F.max("long_pos").over(before), F.lit(0))
-    return placed.select(*KEYS, (F.col("start") - last_long).alias("carried_run"), "next_block_line")
+    short = is_short(F.col(LINE), delimiter, min_fields)
+    return join_lines(lines, fixed=~short, shift=F.when(short, 1).otherwise(0), glue="", block_bits=block_bits)

@@ -7,8 +7,10 @@ strings (:meth:`ReadOptions.from_map`, :meth:`WriteOptions.from_map`).
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, fields, replace
+from locale import locale_alias
 
 log = logging.getLogger(__name__)
 
@@ -31,23 +33,8 @@ NAMED_DELIMITERS = {
 # Short codec names; any other name is handed to Spark as a codec class name.
 CODECS = ("bzip2", "gzip", "lz4", "snappy")
 
-# Fixed values: (grouping marks, decimal mark) of the number locales on offer.
-NUMBER_LOCALES = {
-    "en": (",", "."),
-    "pt": (".", ","),
-    "es": (".", ","),
-    "de": (".", ","),
-    "it": (".", ","),
-    "fr": (" ", ","),
-}
-
-# The same for regions that differ from their language; regions named nowhere are refused.
-REGIONAL_MARKS = {
-    "es-mx": (",", "."),
-    "de-ch": ("’'", "."),
-    "it-ch": ("’'", "."),
-}
-PLAIN_REGIONS = ("en-us", "en-gb", "pt-br", "es-es", "es-ar", "de-de", "it-it", "fr-fr")
+# Marks that are read for one another, as texts rarely hold the exact one.
+SIMILAR_MARKS = (" \u00a0\u202f", "\u2019'")
 
 
 def delimiter_char(text: str) -> str:
@@ -79,14 +66,38 @@ def flag(label: str, text: str | bool) -> bool:
     return text == "true"
 
 
+def check_locale(locale: str) -> None:
+    """Raise for a name that no locale can have; whether the JVM knows its marks shows when numbers are read."""
+    name = locale.replace("_", "-")
+    if not re.fullmatch(r"[A-Za-z]{2,8}(-[A-Za-z0-9]{1,8})*", name) or name.split("-")[0].lower() not in LANGUAGES:
+        raise ValueError(f"unknown number locale {locale!r}")
+
+
+# The languages that the platform's own table of locales names, for checks before there is a session.
+LANGUAGES = frozenset(re.split("[_.@]", alias)[0] for alias in locale_alias)
+
+
 def number_marks(locale: str) -> tuple[str, str]:
-    """(grouping marks, decimal mark) of a locale; each character of the first is a mark of its own."""
-    name = locale.replace("_", "-").lower()
-    if name in REGIONAL_MARKS:
-        return REGIONAL_MARKS[name]
-    if name not in NUMBER_LOCALES and name not in PLAIN_REGIONS:
-        raise ValueError(f"unknown number locale {locale!r}; known: {', '.join([*NUMBER_LOCALES, *PLAIN_REGIONS, *REGIONAL_MARKS])}")
-    return NUMBER_LOCALES[name.split("-")[0]]
+    """(grouping marks, decimal mark) of a locale, from the symbol table of the JVM; each character of the first is a mark of its own."""
+    from pyspark import SparkContext
+
+    check_locale(locale)
+    name = locale.replace("_", "-")
+    if name.lower() in ("en", "en-us"):
+        return ",", "."
+    context = SparkContext._active_spark_context
+    if context is None:
+        raise RuntimeError(f"the marks of locale {locale!r} are read from a running session")
+    if name not in _marks:
+        java = context._jvm.java
+        wanted = java.util.Locale.forLanguageTag(name)
+        symbols = java.text.DecimalFormatSymbols.getInstance(wanted)
+        grouping, decimal = symbols.getGroupingSeparator(), symbols.getDecimalSeparator()
+        _marks[name] = next((group for group in SIMILAR_MARKS if grouping in group), grouping), decimal
+    return _marks[name]
+
+
+_marks: dict[str, tuple[str, str]] = {}
 
 
 def _lookup(cls, options: Mapping[str, str | None], names: Mapping[str, str]) -> dict:
@@ -131,6 +142,7 @@ WRITE_NAMES = {
     "quoteMode": "quote_mode",
     "codec": "codec",
     "compression": "codec",
+    "maxRecordsPerFile": "max_records_per_file",
 }
 
 
@@ -193,7 +205,7 @@ class ReadOptions:
             raise ValueError(f"profile can be standard or legacy, not {self.profile!r}")
         if self.on_bad_cast not in ("error", "null"):
             raise ValueError(f"on_bad_cast can be error or null, not {self.on_bad_cast!r}")
-        number_marks(self.locale)
+        check_locale(self.locale)
 
     @classmethod
     def from_map(cls, options: Mapping[str, str | None]) -> ReadOptions:
@@ -219,6 +231,7 @@ class WriteOptions:
     date_format: str = "yyyy-MM-dd HH:mm:ss.S"
     quote_mode: str | None = "MINIMAL"
     codec: str | None = None
+    max_records_per_file: int | None = None
 
     def __post_init__(self):
         put = lambda name, value: object.__setattr__(self, name, value)
@@ -226,6 +239,10 @@ class WriteOptions:
         put("quote", single_char("Quotation", self.quote or None))
         put("escape", single_char("Escape character", self.escape or None))
         put("header", flag("header", self.header))
+        try:
+            put("max_records_per_file", None if self.max_records_per_file is None else int(self.max_records_per_file))
+        except (TypeError, ValueError):
+            raise ValueError("maxRecordsPerFile must be a valid integer") from None
         mode = (self.quote_mode or "MINIMAL").upper()
         if mode not in QUOTE_MODES:
             raise ValueError(f"unknown quoteMode {self.quote_mode!r}; known: {', '.join(QUOTE_MODES)}")

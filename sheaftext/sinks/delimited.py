@@ -6,6 +6,7 @@ formatted to lines by expressions and written as text, since Spark's writer has
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheaftext.options import WriteOptions, merged, required_path
+from sheaftext.session import scratch_path
+from sheaftext.sinks.folders import delete_folder, exists, file_system, files_of, replace_folder, swap_folder
 
 NESTED = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
 DATED = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -88,12 +91,17 @@ def header_line(schema: T.StructType, options: WriteOptions) -> Column:
     return F.concat_ws(options.delimiter, *names)
 
 
-def _with_header(lines: DataFrame, header: Column) -> DataFrame:
-    """Put the header in front of the first row of each partition, which is a part file where no row limit cuts it."""
-    row_in_partition = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    return lines.select(
-        F.when(row_in_partition == 0, F.concat(header, F.lit("\n"), F.col("value"))).otherwise(F.col("value")).alias("value")
-    )
+def _with_header(lines: DataFrame, header: Column, limit: int) -> DataFrame:
+    """Put the header in front of the first row of each part file: of a partition, and after every ``limit`` rows if there is a limit."""
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    first = row % limit == 0 if limit else row == 0
+    return lines.select(F.when(first, F.concat(header, F.lit("\n"), F.col("value"))).otherwise(F.col("value")).alias("value"))
+
+
+def _rows_per_file(spark: SparkSession, opts: WriteOptions) -> int:
+    """The most records of a file, 0 for any number; the session's limit holds where the options have none."""
+    limit = opts.max_records_per_file
+    return max(0, int(spark.conf.get("spark.sql.files.maxRecordsPerFile", "0")) if limit is None else limit)
 
 
 def write_delimited(
@@ -128,6 +136,7 @@ def _write_csv(df: DataFrame, path: str, opts: WriteOptions, save_mode: str) ->
         timestampNTZFormat=opts.date_format,
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
+        maxRecordsPerFile=_rows_per_file(df.sparkSession, opts),
     )
     if opts.codec:
         writer = writer.option("compression", opts.codec)
@@ -135,24 +144,31 @@ def _write_csv(df: DataFrame, path: str, opts: WriteOptions, save_mode: str) ->
 
 
 def _write_text(df: DataFrame, path: str, opts: WriteOptions, save_mode: str) -> None:
-    lines = format_lines(df, opts)
-    codec = {"compression": opts.codec} if opts.codec else {}
+    lines, spark = format_lines(df, opts), df.sparkSession
+    codec, limit = {"compression": opts.codec} if opts.codec else {}, _rows_per_file(spark, opts)
+    write = lambda rows: rows.write.mode(save_mode).options(maxRecordsPerFile=str(limit), **codec).text(path)
     if not opts.header:
-        lines.write.mode(save_mode).options(**codec).text(path)
+        write(lines)
         return
-    spark = df.sparkSession
-    header = header_line(df.schema, opts)
-    if save_mode == "ignore" and _exists(spark, path):
+    if save_mode == "ignore" and exists(spark, path):
         return
-    _with_header(lines, header).write.mode(save_mode).options(maxRecordsPerFile="0", **codec).text(path)
-    if spark.read.text(path).isEmpty():
-        # no rows, so no partition had a first row to carry the header
-        spark.range(1, numPartitions=1).select(header.alias("value")).write.mode("append").options(**codec).text(path)
+    header = header_line(df.schema, opts)
+    write(_with_header(lines, header, limit))
+    _fill_empty_part(spark, path, header, codec)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+def _fill_empty_part(spark: SparkSession, path: str, header: Column, codec: dict[str, str]) -> None:
+    """The header for a part file without rows, which had no row to carry it. Only the first partition writes such a file."""
+    root, files = file_system(spark, path)
+    for found in files.globStatus(file_system(spark, f"{root.toString()}/part-00000*")[0]):
+        name = found.getPath().getName()
+        if not spark.read.text(f"{path}/{name}").isEmpty():
+            continue
+        made = scratch_path(spark, "header")
+        spark.range(1, numPartitions=1).select(header.alias("value")).write.options(**codec).text(made)
+        part = files_of(spark, made)[0]
+        replace_folder(spark, part, f"{path}/{name}")
+        delete_folder(spark, made)
 
 
 def save_with_options(df: DataFrame, options: Mapping[str, str], save_mode: str = "errorifexists") -> None:
@@ -161,10 +177,17 @@ def save_with_options(df: DataFrame, options: Mapping[str, str], save_mode: str
 
 
 def insert_overwrite(df: DataFrame, path: str | None, options: WriteOptions | Mapping | None = None, **overrides) -> None:
-    """Replace the contents of a delimited table at ``path``.
+    """Replace the contents of a delimited table at ``path``, also by rows that were read from it.
 
-    The rows may not come from ``path`` itself: it is cleared before the write.
+    The rows are written beside the table first; only then do they take the place of the old files.
     """
     if not path:
         raise ValueError("Cannot INSERT into table with no path defined")
-    write_delimited(df, path, options, "overwrite", **overrides)
+    spark, place = df.sparkSession, path.rstrip("/")
+    staged = f"{place}-staged-{uuid.uuid4().hex}"
+    try:
+        write_delimited(df, staged, options, "errorifexists", **overrides)
+        swap_folder(spark, staged, place)
+    finally:
+        delete_folder(spark, staged)
+    spark.catalog.refreshByPath(place)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -36,3 +38,25 @@ def replace_folder(spark: SparkSession, source: str, target: str) -> None:
         files.mkdirs(new.getParent())
         if not files.rename(old, new):
             raise OSError(f"{source} could not be moved to {target}")
+
+
+def swap_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put ``source`` in the place of ``target``, which goes last; if the move fails, ``target`` comes back."""
+    new, files = file_system(spark, source)
+    place = file_system(spark, target)[0]
+    aside = file_system(spark, f"{target.rstrip('/')}-replaced-{uuid.uuid4().hex}")[0]
+    held = files.exists(place)
+    if held and not files.rename(place, aside):
+        raise OSError(f"{target} could not be moved aside")
+    if not files.rename(new, place):
+        if held:
+            files.rename(aside, place)
+        raise OSError(f"{source} could not be moved to {target}")
+    if held:
+        files.delete(aside, True)
+
+
+def files_of(spark: SparkSession, path: str) -> list[str]:
+    """The part files of a folder that this package has written."""
+    target, files = file_system(spark, path)
+    return [f.getPath().toString() for f in files.listStatus(target) if f.getPath().getName().startswith("part-")]
