@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
-from sheaftext import create_delimited_view, parse_lines, read_delimited, read_tsv, read_with_options, save_with_options, write_delimited
+from sheaftext import WriteOptions, create_delimited_view, parse_lines, read_delimited, read_tsv, read_with_options, read_with_quarantine, save_with_options, write_delimited
 from sheaftext.catalog.common import CUSTOMER, ORDERS, divides, joined, stamp, table
 from sheaftext.plans.ratings import load_ratings, rejected_ratings
 from sheaftext.session import scratch_path
-from sheaftext.sinks.delimited import format_lines
+from sheaftext.sinks.delimited import format_lines, header_line
 from sheaftext.sinks.parquet import quoted_table
 from sheaftext.sources.delimited import open_lines
 from sheaftext.sources.ratings import RATING_COLUMNS
@@ -27,11 +29,58 @@ def csv_options_map(spark, sf_dir):
     return inferred.select(*[F.col(name).cast(dtype) for name, dtype in (c.split() for c in CUSTOMER.split(", "))])
 
 
+@contextmanager
+def _small_splits(spark, size):
+    """Files are read by splits of a few bytes, so that small tables have many."""
+    kept = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for key in kept:
+        spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+
+
 def csv_multiline_documents(spark, sf_dir):
-    path = scratch_path(spark, "documents-csv")
-    write_delimited(table(spark, sf_dir, "documents"), path, header=True)
-    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-    return read_delimited(spark, path, schema, header=True, multi_line=True, comment=None)
+    """One file of all documents, with the header again before every seventh, read by many tasks."""
+    path, schema = scratch_path(spark, "documents-csv"), "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    documents = table(spark, sf_dir, "documents")
+    lines = format_lines(documents.repartition(1)).select(F.monotonically_increasing_id().alias("at"), "value")
+    header = F.when(divides("at", 7), F.concat(header_line(documents.schema, WriteOptions()), F.lit("\n"))).otherwise("")
+    lines.select(F.concat(header, "value").alias("value")).write.text(path)
+    with _small_splits(spark, "65536"):
+        return read_delimited(spark, path, schema, header=True, multi_line=True, comment=None)
+
+
+def csv_multiline_ragged(spark, sf_dir):
+    """Documents in a Windows charset with carriage returns, where every third lacks fields: what is kept and why the rest is not."""
+    path, schema = scratch_path(spark, "documents-ragged"), "doc_id bigint, text string, lang string"
+    euro = F.concat(F.regexp_replace("text", "[^ -~\\n]", "?"), F.lit("\n€"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", euro.alias("text"), "lang")
+    whole = format_lines(documents, quote_mode="ALL").select("value")
+    short = format_lines(documents.where(divides("doc_id", 3)).drop("lang"), quote_mode="ALL")
+    text = F.concat(F.replace("value", F.lit("\n"), F.lit("\r\n")), F.lit("\r"))
+    whole.unionAll(short).repartition(1).select(F.encode(text, "windows-1252").cast("string").alias("value")).write.text(path)
+    with _small_splits(spark, "65536"):
+        good, rejected = read_with_quarantine(spark, path, schema, charset="windows-1252", multi_line=True, comment=None)
+    fields = rejected.groupBy("reason", "token_count").agg(F.count(F.lit(1)).alias("records")).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("lang"), "reason", "token_count", "records")
+    return good.select("*", F.lit(None).cast("string").alias("reason"), F.lit(None).cast("int").alias("token_count"), F.lit(None).cast("bigint").alias("records")).unionByName(fields)
+
+
+def csv_utf16(spark, sf_dir):
+    """Customers in UTF-16 of either byte order, among them characters whose bytes look like a line end, read by many tasks."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", F.concat("c_name", F.lit(" \u0a06\u0100\u010a\u0a00")).alias("c_name"))
+    out = None
+    for order, rest in (("LE", 0), ("BE", 1)):
+        path, charset = scratch_path(spark, f"customer-utf16{order}"), f"UTF-16{order}"
+        lines = format_lines(customer.where(F.col("c_custkey") % 2 == rest)).repartition(1)
+        raw = lines.select(F.encode("value", charset).cast("string").alias("value"))
+        raw.write.option("encoding", charset).option("lineSep", "\n").text(path)
+        with _small_splits(spark, "4096"):
+            rows = read_delimited(spark, path, "c_custkey bigint, c_name string", charset=charset)
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def tsv_roundtrip_customer(spark, sf_dir):
@@ -167,6 +216,12 @@ QUERIES = {
     "csv_roundtrip_orders": (csv_roundtrip_orders, "SELECT * FROM orders"),
     "csv_options_map": (csv_options_map, "SELECT * FROM customer"),
     "csv_multiline_documents": (csv_multiline_documents, "SELECT * FROM documents"),
+    "csv_multiline_ragged": (
+        csv_multiline_ragged,
+        """SELECT doc_id, regexp_replace(text, '[^ -~\n]', '?', 'g') || chr(10) || '€' AS text, lang, NULL::VARCHAR AS reason, NULL::INTEGER AS token_count, NULL::BIGINT AS records FROM documents
+        UNION ALL SELECT NULL, NULL, NULL, 'too_few_tokens', 2, count(*) FROM documents WHERE doc_id % 3 = 0 HAVING count(*) > 0""",
+    ),
+    "csv_utf16": (csv_utf16, "SELECT c_custkey, c_name || ' ' || chr(2566) || chr(256) || chr(266) || chr(2560) AS c_name FROM customer"),
     "tsv_roundtrip_customer": (tsv_roundtrip_customer, "SELECT * FROM customer"),
     "csv_lines_scan": (csv_lines_scan, "SELECT * FROM customer"),
     "csv_view_sql": (csv_view_sql, VIEW_SQL),

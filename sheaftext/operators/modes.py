@@ -23,8 +23,7 @@ KEEP = "__keep"
 def shape_reason(tokens: Tokens) -> Column:
     """Why a line does not have the shape of the schema; null when it has."""
     ragged = (
-        F.when(tokens.count.isNull(), "wrong_token_count")
-        .when(tokens.count == UNBALANCED, "unbalanced_quote")
+        F.when(tokens.count == UNBALANCED, "unbalanced_quote")
         .when(tokens.count > tokens.width, "too_many_tokens")
         .otherwise("too_few_tokens")
     )

@@ -107,11 +107,10 @@ def _written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _blocks(lines: DataFrame, fixed: Column, shift: Column, modulus: int, block_bits: int) -> DataFrame:
+def _blocks(lines: DataFrame, modulus: int) -> DataFrame:
     """What is to be known of each block, written: state before it, its first line that begins a record, and the record that its
-    lines before that belong to. Only numbers are shuffled here, no text."""
-    steps = lines.select(SOURCE, SPLIT, F.shiftright(ROW, block_bits).alias(BLOCK), ROW, fixed.alias("fixed"), shift.cast("bigint").alias("shift"))
-    placed = _earlier(steps, KEYS, [ROW])
+    lines before that belong to. Only numbers are read and shuffled here, no text."""
+    placed = _earlier(lines.select(*KEYS, ROW, "fixed", "shift"), KEYS, [ROW])
     begins = [F.when(_at(F.lit(s), modulus) == 0, F.col(ROW)) for s in range(modulus)]
     ends = [f(b).alias(f"{name}{s}") for s, b in enumerate(begins) for name, f in (("first", F.min), ("last", F.max))]
     last = F.max_by(F.struct(F.col("post_fixed").alias("fixed"), F.col("post_shift").alias("shift")), ROW).alias("step")
@@ -131,12 +130,12 @@ def _at(start: Column, modulus: int) -> Column:
 def join_lines(lines: DataFrame, fixed: Column, shift: Column, glue: str, carry: list[str] | None = None, modulus: int = 2, block_bits: int = BLOCK_BITS) -> DataFrame:
     """Records in the columns of ``lines`` (place columns, value, ``carry``): each with the place and carried columns of its first line.
 
-    ``fixed`` and ``shift`` say what a line does to the state; a file begins at state 0. ``lines`` is read twice: for the numbers of
-    its blocks, which are written to the shared folder at once, and for the records.
+    ``fixed`` and ``shift`` say what a line does to the state; a file begins at state 0. The lines are written to the shared folder
+    with their places, as another scan of the files may cut them elsewhere; numbers of blocks and records are then made from that.
     """
     carry = carry or []
-    blocks = _blocks(lines, fixed, shift, modulus, block_bits)
-    here = lines.select(SOURCE, SPLIT, F.shiftright(ROW, block_bits).alias(BLOCK), ROW, LINE, *carry, fixed.alias("fixed"), shift.cast("bigint").alias("shift"))
+    here = _written(lines.select(SOURCE, SPLIT, F.shiftright(ROW, block_bits).alias(BLOCK), ROW, LINE, *carry, fixed.alias("fixed"), shift.cast("bigint").alias("shift")), "placed-lines")
+    blocks = _blocks(here, modulus)
     joined = lambda *order: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*order, LINE))), lambda p: p[LINE]), glue)
     known = _earlier(here, KEYS, [ROW]).join(blocks.select(*KEYS, "state", F.col("first").alias("opening")), KEYS).where(F.col(ROW) >= F.col("opening"))
     so_far = Window.partitionBy(*KEYS).orderBy(ROW).rowsBetween(Window.unboundedPreceding, 0)

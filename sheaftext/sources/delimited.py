@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +14,8 @@ from sheaftext.operators import typed_parse
 from sheaftext.operators.infer import infer_schema
 from sheaftext.operators.modes import apply_mode, quarantine
 from sheaftext.options import DROPMALFORMED, FAILFAST, ReadOptions, merged, required_path
-from sheaftext.sources.lines import LINE, data_lines, first_line, header_names, positional_names, text_lines
-from sheaftext.sources.tokens import Tokens, parser_options, tokenise, tokenise_multiline
+from sheaftext.sources.lines import LINE, data_lines, first_line, first_record, header_names, positional_names, record_lines, text_lines
+from sheaftext.sources.tokens import Tokens, parser_options, tokenise
 
 Schema = T.StructType | str | None
 
@@ -31,11 +31,12 @@ def as_schema(schema: Schema) -> T.StructType | None:
 class DelimitedLines:
     """Lines bound to a dialect and a schema, from which rows, rejected lines or types are derived."""
 
-    def __init__(self, lines: DataFrame, schema: Schema, options: ReadOptions, carry: list[str] | None = None):
+    def __init__(self, lines: DataFrame, schema: Schema, options: ReadOptions, carry: list[str] | None = None, find_head: Callable[[], str | None] | None = None):
         self.options = options
         self.carry = carry or []
         given = as_schema(schema)
-        head = first_line(lines, options) if options.header or given is None else None
+        find_head = find_head or (lambda: first_line(lines, options))
+        head = find_head() if options.header or given is None else None
         if given is None and head is None:
             raise ValueError("no line to take column names from; give a schema")
         self.names = given.fieldNames() if given else self._names(head)
@@ -64,33 +65,6 @@ class DelimitedLines:
         return quarantine(self.tokens, self.schema, self.options, self.carry)
 
 
-class DelimitedFiles(DelimitedLines):
-    """The same for files whose quoted fields may span lines."""
-
-    def __init__(self, spark: SparkSession, path, schema: Schema, options: ReadOptions, carry: dict[str, Column] | None = None):
-        self.options = options
-        self.carry = list(carry or {})
-        given = as_schema(schema)
-        self.names = given.fieldNames() if given else self._file_names(spark, path)
-        self._files = (spark, path, carry)
-        self.schema = given or self._derived()
-
-    @cached_property
-    def tokens(self) -> Tokens:
-        spark, path, carry = self._files
-        return tokenise_multiline(spark.read, path, len(self.names), self.options, carry)
-
-    def rows(self) -> DataFrame:
-        return apply_mode(self.tokens, self.schema, self.options, self.carry)
-
-    def _file_names(self, spark: SparkSession, path) -> list[str]:
-        settings = parser_options(self.options) | {"multiLine": "true", "header": str(self.options.header).lower(), "encoding": self.options.charset}
-        if self.options.comment is not None:
-            settings["comment"] = self.options.comment
-        names = spark.read.options(**settings).csv(path).columns
-        return names if self.options.header else positional_names(len(names))
-
-
 def open_files(
     spark: SparkSession,
     path: str | list[str],
@@ -101,7 +75,7 @@ def open_files(
 ) -> DelimitedLines:
     opts = merged(ReadOptions, options, overrides)
     if opts.multi_line:
-        return DelimitedFiles(spark, path, schema, opts, carry)
+        return DelimitedLines(record_lines(spark, path, opts, carry), schema, opts, list(carry or {}), lambda: first_record(spark, path, opts))
     lines = text_lines(spark, path, opts.charset, carry)
     return DelimitedLines(lines, schema, opts, list(carry or {}))
 
@@ -117,7 +91,8 @@ def read_delimited(
     """Typed rows of delimited files. ``path`` may be a folder, a glob or a list; compressed files are read too.
 
     Without a schema the columns are strings named by the header or ``C0, C1, ...``; with ``infer_schema`` their
-    types come from one extra pass. ``carry`` adds columns such as ``{"source": F.col("_metadata.file_path")}``.
+    types come from one extra pass. ``multi_line`` takes records whose quoted fields hold line ends; files are read by
+    splits then as well. ``carry`` adds columns such as ``{"source": F.col("_metadata.file_path")}``.
     """
     return open_files(spark, path, schema, options, carry, **overrides).rows()
 

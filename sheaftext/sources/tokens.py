@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheaftext.options import ReadOptions
-from sheaftext.sources.lines import LINE
+from sheaftext.sources.lines import LINE, opens_unclosed_quote
 
 # Fixed value: private-use characters, never trimmed as blanks and not expected in text.
 END_MARK = "\ue000\uf8ff\ue000"
@@ -31,7 +31,7 @@ class Tokens:
 
     ``raw`` are the tokens of a complete line, null where a field is empty. ``present`` says for each column
     whether the line had such a field at all. ``complete``: as many fields as the schema. ``count``: number of
-    fields, -1 when a quote never closes, ``width + 1`` for any number above the width, null when not known.
+    fields, -1 when a quote never closes, ``width + 1`` for any number above the width.
     ``too_long``: a field exceeds the length limit.
     """
 
@@ -92,21 +92,6 @@ def marked_line(options: ReadOptions, width: int) -> Column:
     return F.when(~crowded, F.concat(line, F.lit(options.delimiter + END_MARK)))
 
 
-def opens_unclosed_quote(line: Column, options: ReadOptions) -> Column:
-    """Whether a field opens a quote that the line never closes; meant for the few lines that are not complete.
-
-    Escaped characters go first, then every closed field; an opening quote that is left over never closes.
-    """
-    if options.quote is None:
-        return F.lit(False)
-    q, s, e = (re.escape(c) for c in (options.quote, options.delimiter, options.escape_char))
-    escaped = q + q if options.escape_char == options.quote else f"{e}[{q}{e}]"
-    lead = r"[ \t]*" if options.ignore_leading_white_space else ""
-    plain = F.regexp_replace(line, escaped, "")
-    closed = F.regexp_replace(plain, f"(^|{s}){lead}{q}[^{q}]*{q}[^{q}{s}]*(?={s}|$)", "$1")
-    return closed.rlike(f"(^|{s}){lead}{q}")
-
-
 def tokenise(lines: DataFrame, width: int, options: ReadOptions, carry: list[str] | None = None) -> Tokens:
     """Split the ``value`` column of ``lines`` into ``width`` tokens, keeping the ``carry`` columns."""
     slots = ", ".join(f"{slot(i)} string" for i in range(width + 1))
@@ -143,37 +128,3 @@ def has_long_field(line: Column, raw: list[Column], options: ReadOptions) -> Col
 
 
 CORRUPT = "__corrupt"
-
-
-def tokenise_multiline(reader, path, width: int, options: ReadOptions, carry: dict[str, Column] | None = None) -> Tokens:
-    """Tokens of files whose quoted fields may hold newlines; each file is one task's work.
-
-    Spark's file parser marks ragged records but does not count their fields, and a null token of a ragged
-    record counts as missing.
-    """
-    slots = ", ".join(f"{slot(i)} string" for i in range(width))
-    settings = parser_options(options, width) | {
-        "multiLine": "true",
-        "header": str(options.header).lower(),
-        "enforceSchema": "true",
-        "encoding": options.charset,
-        "columnNameOfCorruptRecord": CORRUPT,
-    }
-    if options.comment is not None:
-        settings["comment"] = options.comment
-    frame = reader.schema(f"{slots}, {CORRUPT} string").options(**settings).csv(path)
-    extra = [column.alias(name) for name, column in (carry or {}).items()]
-    frame = frame.select(*[slot(i) for i in range(width)], CORRUPT, *extra)
-    raw = [F.col(slot(i)) for i in range(width)]
-    # Spark refuses a query that touches the corrupt-record column alone, so a token takes part as well.
-    complete = F.coalesce(F.col(CORRUPT), F.when(raw[0] == END_MARK, raw[0])).isNull()
-    line = F.coalesce(F.col(CORRUPT), F.concat_ws(options.delimiter, *raw))
-    return Tokens(
-        frame=frame,
-        raw=raw,
-        present=[complete | c.isNotNull() for c in raw],
-        complete=complete,
-        count=F.when(complete, width),
-        too_long=has_long_field(line, raw, options),
-        line=line,
-    )
