@@ -1,17 +1,19 @@
-"""A bounded sample of labelled documents, gathered in one task that trains a model there."""
+"""A bounded sample of labelled documents, and a model trained on it in one task."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheaftext.llm.common import as_bytes, crc_mod_column
 
 FOLDS = 3
 HELD_OUT = 1
+#: Bytes of text of either label that a model is trained on, at most.
+TRAIN_BYTES = 16 << 20
 
 
 def training_ids(labels: DataFrame, column: str, per_class: int) -> DataFrame:
@@ -24,9 +26,18 @@ def training_ids(labels: DataFrame, column: str, per_class: int) -> DataFrame:
     return first[0].union(first[1])
 
 
+def sample(docs: DataFrame, ids: DataFrame, most: int = TRAIN_BYTES) -> DataFrame:
+    """(doc_id, text, label) of the documents in ``ids``, whole texts, in the order of a hash of the id as long as the texts of a label
+    stay within ``most`` bytes. Of several rows of one id the smallest text counts, null and empty ones first."""
+    rows = docs.select("doc_id", as_bytes("text").alias("text")).join(F.broadcast(ids), "doc_id")
+    single = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    so_far = F.sum(F.octet_length("text")).over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    return single.withColumn("so_far", so_far).where(F.col("so_far") <= most).drop("so_far")
+
+
 def train(docs: DataFrame, ids: DataFrame, fit: Callable[[list[tuple[int, bytes, int]]], bytes]) -> bytes:
-    """``fit`` on the sampled (doc_id, text, label) rows, run once on an executor. The sample is bounded by ``ids``."""
-    rows = docs.select("doc_id", as_bytes("text").alias("text")).join(F.broadcast(ids), "doc_id").repartition(1)
+    """``fit`` on the sampled (doc_id, text, label) rows, run once on an executor."""
+    rows = sample(docs, ids).repartition(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "label")))]
