@@ -1,6 +1,7 @@
 """Plain Python versions of the operators, over whole lists."""
 
 import collections
+import fractions
 import hashlib
 import math
 import re
@@ -63,6 +64,13 @@ def components(docs, size, percent):
     return {i: find(i) for i in sets}
 
 
+def link_counts(docs, size, percent):
+    """(doc_id, text) -> {doc_id: number of other documents it is linked with}."""
+    sets = {i: shingles(t, size) for i, t in docs}
+    near = lambda a, b: a and b and 100 * len(a & b) >= percent * len(a | b)
+    return {i: sum(bool(i != j and near(a, b)) for j, b in sets.items()) for i, a in sets.items()}
+
+
 def contamination(docs, items, size=10):
     """(doc_id, words, hit words, items) per document."""
     windows = collections.defaultdict(set)
@@ -95,3 +103,51 @@ def base_scores(docs):
     counts = collections.Counter(w for i, ws in texts if not held(i, 7, 2) for w in ws)
     n, v = sum(counts.values()), len(counts)
     return [(i, len(ws), sum(counts[w] > 0 for w in ws), n, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws)) for i, ws in texts]
+
+
+def integers(vector, scale=64, shift=0):
+    """floor(scale * c) + shift of every component; None when the vector takes no part."""
+    if vector is None or any(c is None or not math.isfinite(c) for c in vector):
+        return None
+    return [math.floor(scale * c) + shift for c in vector]
+
+
+def top_k(rows, k=20, every=20):
+    """(vec_id, vector) -> (query_id, rank, vec_id, score) of every row that is a query."""
+    known = [(i, x) for i, v in rows if (x := integers(v)) is not None]
+    out = []
+    for at, (query, x) in enumerate(known):
+        if query is None or query % every:
+            continue
+        scored = sorted((-sum(a * b for a, b in zip(x, y)), math.inf if i is None else i) for n, (i, y) in enumerate(known) if n != at)
+        out += [(query, rank, None if i == math.inf else i, -s) for rank, (s, i) in enumerate(scored[:k], 1)]
+    return out
+
+
+def whitening_parts(rows):
+    """Exact n, sums and deviations of the distinct x: (n, S, {x: deviation})."""
+    distinct = sorted({tuple(x) for _, v in rows if (x := integers(v, shift=1_000_000)) is not None})
+    n, sums = len(distinct), [sum(c) for c in zip(*distinct)]
+    return n, sums, {x: sum((n * c - s) ** 2 for c, s in zip(x, sums)) for x in distinct}
+
+
+def collocations(docs, least, longest=5, first=2000):
+    """(lang, text) -> (lang, rank, phrase, a, l, r, n, score), by counting every phrase."""
+    counts, totals = collections.defaultdict(collections.Counter), collections.Counter()
+    for lang, text in docs:
+        for piece in re.split("[.,;:!?\\x0A-\\x0D]", (text or "").translate(SMALL)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang or "und"] += len(w)
+            for k in range(1, longest + 1):
+                for i in range(len(w) - k + 1):
+                    counts[lang or "und"][tuple(w[i : i + k])] += 1
+    out = []
+    for lang, f in counts.items():
+        often = [p for p in f if len(p) > 1 and f[p] >= least]
+        inside = {p[i : i + k] for p in often for k in range(2, len(p)) for i in range(len(p) - k + 1) if f[p] >= f[p[i : i + k]]}
+        found = []
+        for p in set(often) - inside:
+            score, cut = min((fractions.Fraction(1000 * f[p] * totals[lang], f[p[:k]] * f[p[k:]]).__floor__(), k) for k in range(1, len(p)))
+            found.append((-score, -f[p], " ".join(p).encode(), f[p[:cut]], f[p[cut:]]))
+        out += [(lang, rank, p.decode(), -a, l, r, totals[lang], -s) for rank, (s, a, p, l, r) in enumerate(sorted(found)[:first], 1)]
+    return out

@@ -56,7 +56,8 @@ def folder(spark, odd, labels, items, tmp_path_factory):
             [(1, "https://A.example.com/en/1.html", "<p>x</p>"), (2, None, None), (3, "no scheme", ""), (4, "http://b.org?x", "<p>x</p>"), (4, "http://b.org?x", "<p>x</p>"), (None, "http://c.net/fr/\r\nEvil: 1", "\r\n\r\nWARC/1.1 é"), (6, "x://www.example.com/en/a/b/c/d", None)],
             "page_id bigint, url string, html string",
         )
-        for table, df in (("documents", odd), ("labels", labels), ("benchmark", items), ("pages", pages)):
+        vectors = spark.createDataFrame([(0, [0.5, 1.0]), (20, [0.25, -1.0]), (20, None), (None, [0.5, None]), (3, [0.0, 0.0])], "vec_id bigint, embedding array<float>")
+        for table, df in (("documents", odd), ("labels", labels), ("benchmark", items), ("pages", pages), ("embeddings", vectors)):
             df.where(str(keep)).write.parquet(f"{path}/{table}.parquet")
         paths.append(str(path))
     return paths
