@@ -10,12 +10,12 @@ longest fitting rule decides. All other urls are judged by templates. Paths beco
    labels, reaches ``REJECT``. A template without labels takes the labels of the nearest node that has some: its parents
    in the tree, the host, then the host's parent domains of two names at least. With none at any level it is kept.
 
-``back_off=False`` leaves out the search for nearest labels: all templates without labels then follow the share of all
-labels. ``op4_url_filters`` does this, as its SQL says so; no url without a rule is decided by the tree there.
+``back_off=False`` leaves out the search for nearest labels: all templates without labels then follow the share of all labels.
 
 DataFrame functions only. Urls are counted per shape before anything else moves, so a host with a third of all
 rows is a few rows; its urls meet their templates in ``SALTS`` parts. The tree is walked until no node has two branches
-below it; with a ``depth``, segments below count as one (``op4_url_filters`` keeps the ``DEPTH`` of its SQL).
+below it; with a ``depth``, segments below count as one. The SQL has to spell levels out and has ``SQL_LEVELS`` of them, which is more than
+the given tables have segments; the query itself has no such bound.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, and no rule fits an empty host; an
 empty path has the template of its host alone; the rows of repeated urls are all judged.
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from sheaftext.llm.common import materialise, table
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
-DEPTH = 3
+SQL_LEVELS = 8
 MAX_CHILDREN = 50
 MIN_LABELS = 5
 Z = 1.96
@@ -152,7 +152,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, dep
 
 
 def op4_url_filters(spark, sf_dir):
-    return filter_urls(table(spark, sf_dir, "pages"), depth=DEPTH, back_off=False).select("page_id", "host", "path", "rule", "verdict")
+    return filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 def _sql() -> str:
@@ -165,11 +165,10 @@ def _sql() -> str:
               coalesce(regexp_extract(url, '(?s)://[^/?#]*([^?#]*)', 1), '') AS path FROM pages)""",
         f"""ruled AS (SELECT *, list_filter(string_split(path, '/'), lambda s: s <> '') AS segments,
               CASE {texts} END AS rule, CASE {labels} END AS label FROM parsed)""",
-        rf"""shaped AS (SELECT page_id, host, path, rule, label, list_concat(list_transform(segments[1:{DEPTH}], lambda s: regexp_replace(s, '{IDENTIFIER}', '*\2')),
-              CASE WHEN len(segments) > {DEPTH} THEN ['**'] ELSE [] END) AS shape FROM ruled)""",
+        rf"""shaped AS (SELECT page_id, host, path, rule, label, list_transform(segments, lambda s: regexp_replace(s, '{IDENTIFIER}', '*\2')) AS shape FROM ruled)""",
         "t0 AS (SELECT host, shape, '' AS template, count(*) AS n, count(label) AS labels, coalesce(sum(label), 0) AS blocked FROM shaped GROUP BY host, shape)",
     ]
-    for k in range(DEPTH + 1):
+    for k in range(SQL_LEVELS):
         parts += [
             f"b{k} AS (SELECT host, template, coalesce(shape[{k + 1}], '') AS branch, sum(n) AS n, sum(labels) AS labels, sum(blocked) AS blocked FROM t{k} GROUP BY ALL)",
             f"n{k} AS (SELECT host, template, count(*) AS kids, sum(n) AS an, sum(labels) AS al, sum(blocked) AS ab FROM b{k} GROUP BY ALL)",
@@ -179,14 +178,22 @@ def _sql() -> str:
             f"""t{k + 1} AS (SELECT t.host, shape, CASE WHEN piece = '' THEN t.template ELSE t.template || '/' || piece END AS template, n, labels, blocked
                 FROM t{k} t JOIN p{k} p ON t.host = p.host AND t.template = p.template AND coalesce(shape[{k + 1}], '') = p.branch)""",
         ]
-    last = f"t{DEPTH + 1}"
+    last = f"t{SQL_LEVELS}"
     parts += [
         f"prior AS (SELECT coalesce(sum(blocked) / nullif(sum(labels), 0), 0) AS p FROM {last})",
-        f"judged AS (SELECT host, template, (sum(blocked) + {WEIGHT} * any_value(p)) / (sum(labels) + {WEIGHT}) >= {REJECT} AS reject FROM {last}, prior GROUP BY ALL)",
+        f"""sums AS (SELECT host, template, sum(labels) AS l, sum(blocked) AS b, string_split(template, '/') AS pieces, string_split(host, '.') AS names
+              FROM {last} GROUP BY host, template)""",
+        """places AS (SELECT host, template, l, b, k AS distance, host AS at_host, array_to_string(pieces[1:len(pieces) - k], '/') AS at_template
+              FROM (SELECT *, unnest(range(len(pieces))) AS k FROM sums)
+            UNION ALL SELECT host, template, l, b, len(pieces) + k, '.' || array_to_string(names[k + 1:], '.'), ''
+              FROM (SELECT *, unnest(range(len(names) - 1)) AS k FROM sums))""",
+        "pooled AS (SELECT at_host, at_template, sum(l) AS near_l, sum(b) AS near_b FROM places WHERE l > 0 GROUP BY ALL)",
+        "nearest AS (SELECT host, template, arg_min(near_l, distance) AS near_l, arg_min(near_b, distance) AS near_b FROM places JOIN pooled USING (at_host, at_template) GROUP BY host, template)",
+        f"judged AS (SELECT host, template, (near_b + {WEIGHT} * p) / (near_l + {WEIGHT}) >= {REJECT} AS reject FROM nearest, prior)",
     ]
     return f"""WITH {', '.join(parts)}
 SELECT s.page_id, s.host, s.path, s.rule, CASE WHEN label = 1 THEN 'block' WHEN label = 0 THEN 'allow' WHEN reject THEN 'block' ELSE 'allow' END AS verdict
-FROM shaped s JOIN {last} t ON s.host = t.host AND s.shape = t.shape JOIN judged j ON t.host = j.host AND t.template = j.template"""
+FROM shaped s JOIN {last} t ON s.host = t.host AND s.shape = t.shape LEFT JOIN judged j ON t.host = j.host AND t.template = j.template"""
 
 
 SQL = _sql()
