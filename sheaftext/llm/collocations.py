@@ -43,8 +43,9 @@ LONGEST = 5
 FIRST = 2000
 SHARE = 1 / 16  # of a language's words: the first round's part of the frontier
 BITS = 1 << 27  # of a bitmap, at most
-HELD = 1 << 20  # counts that a task holds before it sends them
-PER_FRAGMENT = 1 << 20  # counts of a fragment
+HELD = 1 << 18  # counts that a task holds before it sends them
+NAMED = 1 << 16  # different words that a task holds before it sends them
+PER_FRAGMENT = 1 << 19  # counts of a fragment
 _U = np.uint64
 _ENDS = np.zeros(256, bool)
 _ENDS[[*b".,;:!?\n\x0b\x0c\r"]] = True
@@ -116,7 +117,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names = pa.array([raw[a:b] for a, b in zip(w.starts[first].tolist(), w.ends[first].tolist())], pa.binary())
                 vocabulary = known.setdefault(name, Vocabulary())
                 vocabulary.add(each, counts, names)
-                if sum(len(v.numbers) for v in known.values()) > HELD // 2:
+                if sum(len(v.numbers) for v in known.values()) > NAMED:
                     yield from (v.row(k) for k, v in known.items())
                     known = {}
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([packed(tokens)], pa.binary()), *(pa.nulls(1, pa.list_(t)) for t in (pa.int64(), pa.int64(), pa.binary()))], ["lang", "tokens", "numbers", "counts", "names"])
@@ -391,7 +392,7 @@ class Search:
         missing = materialise(parts.where("r is null").select(F.col("rkey").alias("key")).distinct().mapInArrow(_hashes_of_keys, "key binary, first bigint, hash bigint"), "asked")
         if missing.limit(1).count():
             spans = _asked(self.frequent, _bitmap(missing.select("first").distinct(), "first"), _bitmap(missing, "hash"), self.longest)
-            answers = self.counts(spans, expected, "answers", 1).join(missing.select("key"), "key")
+            answers = self.counts(spans, expected, "answers", self.least).join(missing.select("key"), "key")
             parts = parts.join(answers.select(F.col("key").alias("rkey"), F.col("a").alias("answer")), "rkey", "left").withColumn("r", F.expr("coalesce(r, answer)")).drop("answer")
         least = F.min(F.struct(_score("a", "n", "l", "r").alias("score"), "cut", "l", "r")).alias("cut")
         scores = parts.groupBy("lang", "key", "size", "a", "n").agg(least)

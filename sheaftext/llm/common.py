@@ -39,9 +39,13 @@ def importable(spark: SparkSession) -> None:
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write a step to the shared folder and read it back: later steps neither repeat it nor depend on lost executors."""
+    """Write a step to the shared folder and read it back: later steps neither repeat it nor depend on lost executors.
+
+    Rows may hold packed arrays of a megabyte. The size of a Parquet page is looked at after a few rows, not after a hundred, as pages
+    are compressed and read whole, in memory outside the heap.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**{"parquet.page.size.row.check.min": "4", "parquet.page.size.row.check.max": "1000"}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
