@@ -8,19 +8,23 @@ lists the pairs of a group:
    how many of its shingles another class has too. A link needs ``threshold`` of them, so the rest can't link.
 3. For the classes left, shingles are put in the global order (number of classes, hash). The first few of a
    class (the prefix) must hold a shingle of any partner. Each class takes as its home the most typical
-   class that shares a prefix shingle.
-4. The global order is cut into fragments. Partial overlaps of classes and homes are counted in each fragment
-   separately and summed per pair.
-5. Classes are put into blocks by home. Two blocks that share a prefix shingle form a cell, unless all of both
-   are linked to the same home. In a cell, partial overlaps of all its pairs are counted per fragment as a
-   matrix, matrices are summed, and a spanning forest of the links is kept.
-
-Hot groups: exact copies vanish in step 1; a shingle held by a third of all documents is sent once per block
-in step 2 and is last in the order in step 3; near copies of one document meet in step 4, once each, and never again.
+   class that shares a prefix shingle, and is put into a block of classes of its home (small homes share blocks).
+4. The global order is cut into fragments. Two blocks that share a prefix shingle form a cell, and so does a block with itself,
+   so every pair that can link is in one cell.
+5. Cells are dealt out; each arrives fragment by fragment. Partial overlaps of the pairs of a cell are counted in each fragment separately and
+   summed per pair. Shingles with the same holders are counted once, with their number as weight. The cell gives a
+   spanning forest of its links, and for each class the documents it is linked with; pairs are never listed.
+
+Memory: a cell has at most two blocks of ``BLOCK`` classes (a shared block: as many small homes as hash to it), one fragment of their
+shingles is held at a time besides one number per pair. Hot groups: exact copies vanish in step 1, before texts are
+joined; a shingle held by a third of all documents is sent once per block in step 2 and is last in the order in step 3. Near copies of one
+document fill blocks of one home, whose cells are spread over all tasks; their number of pairs of blocks grows with the square of the group,
+as every link between different texts is counted.
 
 Defined results: a text of fewer words than a shingle has one shingle of all its words; a null, empty or blank
 text has none, links with nothing and is a component of its own; components are named by their smallest id,
-null ids count as smaller than all and give a null name; rows with equal ids stay separate rows.
+null ids count as smaller than all and give a null name; rows with equal ids stay separate rows. Rows with equal sets are linked.
+Texts of any length are compared whole, each in one chunk. Other columns are ignored; an empty table has no rows.
 """
 
 from __future__ import annotations
@@ -37,8 +41,10 @@ from sheaftext.llm.components import components
 from sheaftext.llm.words import distinct_per_text, mix, shingles, words
 
 TOKENS_PER_FRAGMENT = 2_000_000
-BLOCK = 256
+BLOCK = 512
+FEW = 8  # holders of a shingle up to which its pairs are listed inside a task
 FRAGMENTS = 4
+CELLS = 64  # of a task
 NO_ID = -(2**63)
 _U = np.uint64
 
@@ -57,8 +63,7 @@ def _digests(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in chunks(batches):
             _, at, d = sets_of(data, offsets, size)
-            raw = _digest_array(d)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at), pa.int64()), raw], ["doc_id", "n", "digest"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.diff(at), pa.int64()), _digest_array(d)], ["doc_id", "h", "n", "digest"])
 
     return run
 
@@ -168,85 +173,122 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
 
 
-def _star_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows arrive sorted: the fragment of a home, then that fragment of its members."""
-    key, home = None, np.zeros(0, np.int64)
-    for batch in batches:
-        tokens, at = _lists(batch.column("tokens"))
-        members, overlaps, homes = [], [], []
-        for i, (h, f, kind, member) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("home", "fragment", "kind", "node")))):
-            own = tokens[at[i] : at[i + 1]]
-            if kind == 0:
-                key, home = (h, f), own
-            elif key == (h, f):
-                members.append(member)
-                homes.append(h)
-                overlaps.append(len(np.intersect1d(home, own, assume_unique=True)))
-        yield pa.RecordBatch.from_arrays([pa.array(homes, pa.int64()), pa.array(members, pa.int64()), pa.array(overlaps, pa.int64())], ["home", "node", "overlap"])
-
-
-def _cell_overlaps(rows: pa.Table) -> pa.Table:
-    """Partial overlaps of all classes in one cell and fragment, as a matrix in the order of nodes."""
-    rows = rows.combine_chunks().sort_by("node")
-    tokens, at = _lists(rows.column("tokens").combine_chunks())
-    _, code = np.unique(tokens, return_inverse=True)
-    n = rows.num_rows
+def partial_overlaps(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For some sets (tokens of set i from at[i] to at[i + 1]): how many tokens each pair has in common."""
+    n = len(at) - 1
+    total = np.zeros((n, n), np.int64)
     owner = np.repeat(np.arange(n), np.diff(at))
-    total = np.zeros((n, n), np.int32)
-    order = np.argsort(code, kind="stable")
-    code, owner = code[order], owner[order]
-    width = 4096  # tokens at once
-    for a in range(0, int(code[-1]) + 1 if len(code) else 0, width):
-        lo, hi = np.searchsorted(code, [a, a + width])
-        dense = np.zeros((n, width), np.float32)
-        dense[owner[lo:hi], code[lo:hi] - a] = 1
-        total += (dense @ dense.T).astype(np.int32)
-    return pa.table(
-        {"cell": rows.column("cell")[:1], "nodes": [packed(rows.column("node").to_numpy())], "sizes": [packed(rows.column("n").to_numpy())], "overlaps": [packed(total)]}
-    )
-
-
-def _cell_links(percent: int):
-    def run(rows: pa.Table) -> pa.Table:
-        nodes, sizes = (np.frombuffer(rows.column(c)[0].as_py(), np.int64) for c in ("nodes", "sizes"))
-        total = np.zeros((len(nodes), len(nodes)), np.int64)
-        for m in rows.column("overlaps").to_pylist():
-            total += np.frombuffer(m, np.int32).reshape(total.shape)
-        union = sizes[:, None] + sizes[None, :] - total
-        link = 100 * total >= percent * union
-        label = np.arange(len(nodes))
+    order = np.argsort(tokens, kind="stable")  # owners stay in order within a token
+    tokens, owner = tokens[order], owner[order]
+    start = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])) if len(tokens) else np.zeros(0, np.int64)
+    holders = np.diff(np.append(start, len(tokens)))
+    sign = mix(np.arange(1, n + 1, dtype=np.uint64))
+    sums = np.append(_U(0), np.cumsum(sign[owner], dtype=np.uint64))
+    mark = sums[start + holders] - sums[start]
+    _, first, weight = np.unique(mark[holders > 1], return_index=True, return_counts=True)  # tokens with the same holders
+    start, holders = start[holders > 1][first], holders[holders > 1][first]
+    few = holders <= FEW
+    for gap in range(1, FEW):
+        a, w, size = start[few], weight[few], holders[few]
+        for place in range(FEW - gap):
+            here = size > place + gap
+            i, j = owner[a[here] + place], owner[a[here] + place + gap]
+            total += np.bincount(i * n + j, w[here], n * n).reshape(n, n).astype(np.int64) if here.any() else 0
+    start, holders, weight = start[~few], holders[~few], weight[~few]
+    width = max(1, (1 << 21) // max(n, 1))
+    for a in range(0, len(start), width):
+        many = holders[a : a + width]
+        place = np.repeat(start[a : a + width] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        dense = np.zeros((n, len(many)), np.float32)
+        dense[owner[place], np.repeat(np.arange(len(many)), many)] = 1
+        w = weight[a : a + width]
+        for power in range(int(w.max()).bit_length()):  # exact: products of zeros and ones
+            bit = (w >> power & 1).astype(bool)
+            if bit.any():
+                total += np.triu(dense[:, bit] @ dense[:, bit].T, 1).astype(np.int64) << power
+    return total  # above the diagonal
+
+
+def _cells(percent: int):
+    """Rows arrive by cell, fragment and class. Out come edges (kind 0) and the documents that a class is linked with (kind 1)."""
+
+    def judged(total: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, weights: np.ndarray, blocks: np.ndarray):
+        n = len(nodes)
+        total = total + total.T
+        link = 100 * total >= percent * (sizes[:, None] + sizes[None, :] - total)
+        if blocks.min() != blocks.max():
+            link &= blocks[:, None] != blocks[None, :]  # pairs of one block have a cell of their own
+        np.fill_diagonal(link, False)
+        label = np.arange(n)
         while True:  # the least label among neighbours, and its label
-            near = np.where(link, label[None, :], len(nodes)).min(axis=1)
+            near = np.where(link, label[None, :], n).min(axis=1)
             new = np.minimum(label, near)
             new = np.minimum(new, new[new])
             if (new == label).all():
                 break
             label = new
-        other = label != np.arange(len(nodes))
-        return pa.table({"a": pa.array(nodes[label[other]], pa.int64()), "b": pa.array(nodes[other], pa.int64())})
+        other, linked = label != np.arange(n), link.any(axis=1)
+        kind = np.repeat([0, 1], [other.sum(), linked.sum()])
+        a = np.concatenate([nodes[label[other]], nodes[linked]])
+        b = np.concatenate([nodes[other], (link[linked] * weights[None, :]).sum(axis=1)])
+        return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["kind", "a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, total, about = None, None, None
+        for (name, _), rows in _runs(batches):
+            nodes, sizes, weights, blocks = (np.concatenate([r.column(c).to_numpy(zero_copy_only=False) for r in rows]) for c in ("node", "n", "rows", "block"))
+            lists = [_lists(r.column("tokens")) for r in rows]
+            at = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(a) for _, a in lists]))])
+            part = partial_overlaps(np.concatenate([t for t, _ in lists]), at)
+            if name != cell:
+                if cell is not None:
+                    yield judged(total, *about)
+                cell, total, about = name, part, (nodes, sizes, weights, blocks)
+            else:
+                total += part
+        if cell is not None:
+            yield judged(total, *about)
 
     return run
 
 
+def _runs(batches: Iterator[pa.RecordBatch]):
+    """Slices of sorted batches with the same cell and fragment, collected."""
+    key, held = None, []
+    for batch in batches:
+        cell, fragment = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "fragment"))
+        cuts = np.flatnonzero((cell[1:] != cell[:-1]) | (fragment[1:] != fragment[:-1])) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(cell)]):
+            if a == b:
+                continue
+            if key != (cell[a], fragment[a]):
+                if held:
+                    yield key, held
+                key, held = (cell[a], fragment[a]), []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield key, held
+
+
 def _survivors(texts: DataFrame, sizes: DataFrame, size: int, percent: int) -> DataFrame:
     """(digest, n) of the classes that have enough shingles in common with other classes."""
     many = max(partitions(texts.sparkSession), (sizes.agg(F.sum("n")).first()[0] or 0) // TOKENS_PER_FRAGMENT + 1)
     sent = texts.mapInArrow(_fragments(size, many), "fragment bigint, digests binary, counts binary, tokens binary, known binary")
     packed_counts = sent.withColumn("buckets", F.lit(many)).groupBy("fragment").applyInArrow(_shared_counts, "bucket bigint, digests binary, counts binary")
     shared = packed_counts.groupBy("bucket").applyInArrow(_summed_counts, "digest binary, shared bigint")
-    return sizes.join(shared, "digest").where(F.col("shared") * 100 >= F.col("n") * percent).select("digest", "n")
+    return sizes.join(shared, "digest").where(F.col("shared") * 100 >= F.col("n") * percent).select("digest", "n", "rows")
 
 
 def _ordered(sets: DataFrame) -> DataFrame:
-    """(node, n, ranked): each class's shared shingles in the global order."""
+    """(node, n, rows, ranked): each class's shared shingles in the global order."""
     each = sets.select("node", F.explode("tokens").alias("token"))
     common = each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     ranked = each.join(common, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"))
-    return sets.select("node", "n").join(ranked, "node")
+    return sets.select("node", "n", "rows").join(ranked, "node")
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) between nodes that connect all linked classes."""
+    """(kind, a, b): edges between nodes that connect all linked classes, and sums of the rows that a node is linked with."""
     ordered = materialise(_ordered(sets), "ordered")
     rare = F.col("n") - F.size("ranked")  # shingles of no other class; they come first
     prefix = ordered.select("node", "n", rare.alias("rare"), F.expr("slice(ranked.token, 1, cast(greatest(n - floor((n * %d + 99) / 100) + 1 - (n - size(ranked)), 0) as int))" % percent).alias("prefix"))
@@ -255,74 +297,64 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     centres = postings.groupBy("token").agg(F.min(typical).alias("centre"))
     homes = materialise(postings.join(centres, "token").groupBy("node").agg(F.min("centre").alias("centre")).select("node", F.col("centre.home").alias("home")), "homes")
 
+    # large homes are cut into blocks; small homes share blocks
+    counts = homes.groupBy("home").agg(F.count(F.lit(1)).alias("members"))
+    pools = F.greatest(F.lit(1), F.lit(2 * homes.count() // BLOCK))
+    spread = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK))
+    block = F.when(F.col("members") > BLOCK, F.xxhash64("home", spread)).otherwise(F.xxhash64(F.pmod(F.xxhash64("home"), pools)))
+    blocks = materialise(homes.join(counts, "home").select("node", block.alias("block")), "blocks")
+    meets = materialise(postings.select("node", "token").join(blocks, "node").select("token", "block").distinct(), "meets")
+    several = meets.groupBy("token").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).where("lo < hi").select("token")
+    across = meets.join(several, "token")
+    # equal lists of blocks make equal cells: each list is paired once
+    lists = across.groupBy("token").agg(F.sort_array(F.collect_list("block")).alias("blocks")).select("blocks").distinct()
+    pair = lists.select(F.posexplode("blocks").alias("at", "i"), "blocks").select("i", F.explode(F.expr("slice(blocks, at + 2, size(blocks))")).alias("j"))
+    cells = pair.union(blocks.select("block", "block")).distinct()
+    cells = materialise(cells.withColumn("cell", F.xxhash64("i", "j")), "cells")
+
     order = F.col("r.df") + (F.col("r.token") / F.lit(2.0**64) + 0.5)
     pivots = ordered.select(F.explode("ranked").alias("r")).agg(F.percentile_approx(order, [i / FRAGMENTS for i in range(1, FRAGMENTS)], 1000)).first()[0] or [0.0] * (FRAGMENTS - 1)
     place = lambda r: r["df"] + (r["token"] / F.lit(2.0**64) + 0.5)
     ends = [float("-inf"), *pivots, float("inf")]
     cut = lambda lo, hi: F.transform(F.filter("ranked", lambda r: (place(r) >= lo) & (place(r) < hi)), lambda r: r["token"])
     parts = F.array(*[F.struct(F.lit(f).alias("fragment"), cut(lo, hi).alias("tokens")) for f, (lo, hi) in enumerate(zip(ends, ends[1:]))])
-    segments = materialise(ordered.select("node", "n", F.inline(parts)), "segments")
-
-    # classes and their homes
-    members = homes.where("node <> home")
-    splits = members.groupBy("home").agg(F.floor(F.count(F.lit(1)) / 2000).alias("last"))
-    split = F.pmod(F.xxhash64("node"), F.col("last") + 1)
-    rows = members.join(splits, "home").join(segments, "node").select("home", "fragment", split.alias("split"), F.lit(1).alias("kind"), "node", "n", "tokens")
-    heads = splits.withColumnRenamed("home", "node").join(segments, "node").select(F.col("node").alias("home"), "fragment", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("split"), F.lit(0).alias("kind"), "node", "n", "tokens")
-    merged = heads.unionAll(rows).repartition(partitions(sets.sparkSession), "home", "fragment", "split").sortWithinPartitions("home", "fragment", "split", "kind")
-    overlaps = merged.mapInArrow(_star_overlaps, "home bigint, node bigint, overlap bigint").groupBy("home", "node").agg(F.sum("overlap").alias("overlap"))
-    size_of = sets.select("node", "n")
-    judged = overlaps.join(size_of, "node").join(size_of.withColumnsRenamed({"node": "home", "n": "home_n"}), "home")
-    stars = materialise(judged.where(F.col("overlap") * 100 >= (F.col("n") + F.col("home_n") - F.col("overlap")) * percent).select("home", "node"), "stars")
-
-    # blocks: large homes are split, their linked members apart from the others; small homes share a block
-    linked = homes.join(stars.withColumn("linked", F.lit(True)), ["home", "node"], "left").withColumn("linked", F.coalesce("linked", F.col("node") == F.col("home")))
-    counts = linked.groupBy("home", "linked").agg(F.count(F.lit(1)).alias("members"))
-    pools = F.greatest(F.lit(1), F.lit(homes.count() // BLOCK))
-    sized = linked.join(counts, ["home", "linked"])
-    large = F.col("members") > BLOCK
-    pure = large & F.col("linked")
-    spread = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK))
-    block = F.when(large, F.xxhash64("home", "linked", spread)).otherwise(F.xxhash64(F.pmod(F.xxhash64("home"), pools)))
-    blocks = materialise(sized.select("node", block.alias("block"), F.when(pure, F.col("home")).alias("pure")), "blocks")
-    meets = postings.select("node", "token").join(blocks, "node").select("token", "block", "pure").distinct()
-    x, y = meets.alias("x"), meets.alias("y")
-    several = meets.groupBy("token").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).where("lo < hi").select("token")
-    across = x.join(several, "token").join(y, "token").where("x.block < y.block and (x.pure is null or y.pure is null or x.pure <> y.pure)")
-    cells = across.select(F.col("x.block").alias("i"), F.col("y.block").alias("j")).union(meets.where("pure is null").select("block", "block")).distinct()
-    cells = materialise(cells.withColumn("cell", F.xxhash64("i", "j")), "cells")
+    segments = materialise(ordered.select("node", "n", "rows", F.inline(parts)), "segments")
     sides = cells.select("cell", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    placed = blocks.join(sides, "block").join(segments, "node").select("cell", "fragment", "node", "n", "tokens")
-    partial = placed.groupBy("cell", "fragment").applyInArrow(_cell_overlaps, "cell bigint, nodes binary, sizes binary, overlaps binary")
-    found = partial.groupBy("cell").applyInArrow(_cell_links(percent), "a bigint, b bigint")
-    return stars.select(F.col("home").alias("a"), F.col("node").alias("b")).union(found)
+    placed = blocks.join(sides, "block").join(segments, "node").select("cell", "fragment", "node", "n", "rows", "block", "tokens")
+    many = max(partitions(sets.sparkSession), cells.count() // CELLS)
+    dealt = placed.repartition(many, "cell").sortWithinPartitions("cell", "fragment", "node")
+    return materialise(dealt.mapInArrow(_cells(percent), "kind int, a bigint, b bigint"), "links")
 
 
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, class, component_id): class is a digest of the set, equal for equal sets.
+    """(doc_id, n_shingles, class, component_id, n_links): class is a digest of the set, equal for equal sets; n_links is the number
+    of other rows that a row is linked with, those of its own class included.
 
     Two documents link when 100 * intersection >= ``percent`` * union of their sets of ``size``-word shingles.
     """
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), as_bytes("text").alias("text"))
-    meta = materialise(texts.mapInArrow(_digests(size), "doc_id bigint, n bigint, digest binary"), "set-digests")
-    classes = meta.where("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("least"))
-    alive = materialise(_survivors(texts.select("text"), classes.select("digest", "n"), size, percent), "survivors")
-    chosen = classes.join(alive, ["digest", "n"]).select(F.col("least").alias("doc_id")).distinct().hint("shuffle_hash")
-    lists = texts.join(chosen, "doc_id").select("text").mapInArrow(_token_lists(size), "digest binary, tokens array<bigint>")
+    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), as_bytes("text").alias("text")).select("doc_id", F.xxhash64("text").alias("h"), "text")
+    meta = materialise(texts.mapInArrow(_digests(size), "doc_id bigint, h bigint, n bigint, digest binary"), "set-digests")
+    classes = meta.where("n > 0").groupBy("digest", "n").agg(F.min(F.struct("doc_id", "h")).alias("least"), F.count(F.lit(1)).alias("rows"))
+    alive = materialise(_survivors(texts.select("text"), classes.select("digest", "n", "rows"), size, percent), "survivors")
+    chosen = classes.join(alive.select("digest"), "digest").select("least.doc_id", "least.h").distinct()
+    # rows that repeat id and text are one before they meet the chosen ones
+    single = texts.groupBy("doc_id", "h").agg(F.min("text").alias("text"))
+    lists = single.join(chosen, ["doc_id", "h"]).select("text").mapInArrow(_token_lists(size), "digest binary, tokens array<bigint>")
     sets = lists.join(alive, "digest").dropDuplicates(["digest"]).withColumn("node", F.monotonically_increasing_id())
-    sets = materialise(sets.select("node", "digest", "n", "tokens"), "sets")
-    roots = components(_links(sets.select("node", "n", "tokens"), percent))
-    known = classes.join(sets.select("digest", "node"), "digest", "left").join(roots, "node", "left")
-    known = known.withColumn("family", F.coalesce(F.col("root"), F.col("node")))
-    named = materialise(known.select("digest", "least", "family"), "families")
+    sets = materialise(sets.select("node", "digest", "n", "rows", "tokens"), "sets")
+    found = _links(sets.select("node", "n", "rows", "tokens"), percent)
+    roots = components(found.where("kind = 0").select("a", "b"))
+    linked = found.where("kind = 1").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("linked"))
+    known = classes.join(sets.select("digest", "node"), "digest", "left").join(roots, "node", "left").join(linked, "node", "left")
+    known = known.withColumn("family", F.coalesce(F.col("root"), F.col("node"))).withColumn("n_links", F.col("rows") - 1 + F.coalesce("linked", F.lit(0)))
+    named = materialise(known.select("digest", F.col("least.doc_id").alias("least"), "family", "n_links"), "families")
     names = named.where("family is not null").groupBy("family").agg(F.min("least").alias("name"))
-    final = named.join(names, "family", "left").select("digest", F.coalesce("name", "least").alias("component"))
+    final = named.join(names, "family", "left").select("digest", F.coalesce("name", "least").alias("component"), "n_links")
     out = meta.join(final, "digest", "left")
     plain = lambda c: F.nullif(c, F.lit(NO_ID))
-    return out.select(plain(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), F.col("digest").alias("class"), plain(F.coalesce("component", "doc_id")).alias("component_id"))
+    name = F.coalesce("component", "doc_id")
+    return out.select(plain(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), F.col("digest").alias("class"), plain(name).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def op7_jaccard_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("class")
-
-
