@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sheaftext import parse_lines, read_delimited
 from sheaftext.catalog.common import ORDERS, joined, orders_line, stamp, table
+from sheaftext.operators.schema_docs import dictionary_schema
 from sheaftext.plans.batch import SOURCE_FILE, audit_rows, base_name, batch_readiness, batch_totals, check_schema, file_counts, file_verdicts, load_batch, rows_per_file
 from sheaftext.plans.retention import partition_dates, purge, retained, with_expiry
 from sheaftext.session import scratch_path
@@ -91,6 +92,17 @@ def load_partitioned(spark, sf_dir):
 LOADED = {"o_orderkey": "INTEGER", "o_custkey": "INTEGER", "o_orderstatus": "CHARACTER(1)", "o_totalprice": "DECIMAL(12,2)", "o_orderdate": "TIMESTAMP(26)"}
 
 
+def dictionary_load_date(spark, sf_dir):
+    """Orders read with the schema of their dictionary and the load date that it adds."""
+    path = scratch_path(spark, "orders-def")
+    spark.range(1, numPartitions=1).select(F.lit("\n".join(f"{column},{kind}" for column, kind in LOADED.items())).alias("value")).write.text(path)
+    schema = dictionary_schema(spark, path, load_date=True)
+    price = F.replace(F.col("o_totalprice").cast("decimal(12,2)").cast("string"), F.lit("."), F.lit(","))
+    line = joined(";", "o_orderkey", "o_custkey", "o_orderstatus", price, stamp("o_orderdate", "yyyy-MM-dd-HH.mm.ss.SSSSSS"), stamp("o_orderdate", "yyyy-MM-01"))
+    rows = parse_lines(table(spark, sf_dir, "orders").select(line.alias("value")), schema, profile="legacy", delimiter=";")
+    return rows.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+
+
 def _landed_years(spark, sf_dir):
     """Orders landed as one batch a year, and a table for them: its name, folder, a loader and the files of each year."""
     root = scratch_path(spark, "order-batches")
@@ -252,6 +264,11 @@ QUERIES = {
         UNION ALL SELECT 'audit', max(day), 0, NULL FROM years
         UNION ALL SELECT 'table', day, rows, total FROM years WHERE day < (SELECT max(day) FROM years)""",
     ),
+    "dictionary_load_date": (
+        dictionary_load_date,
+        """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice,
+        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, strftime(o_orderdate, '%Y-%m-01') AS "DAT_REF_CARGA" FROM orders""",
+    ),
     "load_batch_failed": (
         load_batch_failed,
         """WITH years AS (SELECT strftime(o_orderdate, '%Y-01-01') AS day, count(*) AS rows, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS total FROM orders GROUP BY 1)

@@ -51,14 +51,14 @@ def dictionary_texts(spark, sf_dir):
 
 def ddl_texts(spark, sf_dir):
     """Control files for the same tables: every third renames a column, every fifth changes a type, every
-    seventh has one column more."""
+    seventh has one column more. Defaults hold nested brackets, and commas and brackets between quotes."""
     lines = F.concat_ws(
         "\n",
         F.concat(F.lit("-- export\nCREATE TABLE T"), "p_partkey"),
         F.lit("    ( KEY_ID INTEGER NOT NULL"),
-        F.concat(F.lit("    , AMOUNT DECIMAL("), F.col("p_size") % 20 + 5, F.when(divides("p_partkey", 5), " , 3)").otherwise(" , 2)")),
+        F.concat(F.lit("    , AMOUNT DECIMAL("), F.col("p_size") % 20 + 5, F.when(divides("p_partkey", 5), " , 3)").otherwise(" , 2) DEFAULT (COALESCE(0, (1)))")),
         F.concat(F.lit("    , "), F.when(divides("p_partkey", 3), "STORED").otherwise("LOADED"), F.lit(" TIMESTAMP(26)")),
-        F.concat(F.lit("    , "), F.upper("p_type"), F.lit(" CHARACTER("), F.col("p_size"), F.lit(") NOT NULL WITH DEFAULT")),
+        F.concat(F.lit("    , "), F.upper("p_type"), F.lit(" CHARACTER("), F.col("p_size"), F.lit(") NOT NULL WITH DEFAULT ',) (('")),
         F.concat(F.lit("    , SEQ NUMERIC("), F.col("p_size") % 9 + 1, F.lit(")")),
         F.when(divides("p_partkey", 4), F.concat(F.lit("    , RATE NUMERIC("), F.col("p_size") % 9 + 3, F.lit(",1)"))),
         F.lit("    , DAY DATE"),

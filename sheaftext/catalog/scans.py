@@ -61,7 +61,7 @@ def csv_multiline_ragged(spark, sf_dir):
     whole = format_lines(documents, quote_mode="ALL").select("value")
     short = format_lines(documents.where(divides("doc_id", 3)).drop("lang"), quote_mode="ALL")
     text = F.concat(F.replace("value", F.lit("\n"), F.lit("\r\n")), F.lit("\r"))
-    whole.unionAll(short).repartition(1).select(F.encode(text, "windows-1252").cast("string").alias("value")).write.text(path)
+    whole.unionAll(short).repartition(1).select(F.encode(F.replace(text, F.lit("€"), F.lit("\x80")), "ISO-8859-1").cast("string").alias("value")).write.text(path)  # the euro sign is 0x80
     with _small_splits(spark, "65536"):
         good, rejected = read_with_quarantine(spark, path, schema, charset="windows-1252", multi_line=True, comment=None)
     fields = rejected.groupBy("reason", "token_count").agg(F.count(F.lit(1)).alias("records")).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("lang"), "reason", "token_count", "records")

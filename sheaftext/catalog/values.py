@@ -56,7 +56,7 @@ def cast_numbers(spark, sf_dir):
         joined(";", *keys, F.translate(english, ".,", ",")).alias("legacy"),
     )
     prefix = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint"
-    standard = parse_lines(lines, f"{prefix}, thousands decimal(12,2), continental double", column="standard", locale="pt-BR")
+    standard = parse_lines(lines, f"{prefix}, thousands decimal(12,2), continental double", column="standard", locale="da-DK")
     legacy = parse_lines(lines, f"{prefix}, comma decimal(12,2)", column="legacy", profile="legacy", delimiter=";")
     both = [standard.select(*keys, "thousands", F.col("continental").cast("decimal(12,2)").alias("amount")), legacy.select(*keys, F.lit(None).cast("decimal(12,2)").alias("thousands"), F.col("comma").alias("amount"))]
     return both[0].unionByName(both[1])

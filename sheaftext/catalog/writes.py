@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheaftext import create_delimited_view, read_delimited, write_delimited
+from sheaftext import create_delimited_view, insert_overwrite, read_delimited, write_delimited
 from sheaftext.catalog.common import CUSTOMER, table
 from sheaftext.options import CODECS
 from sheaftext.session import scratch_path
@@ -60,9 +60,9 @@ def write_custom_dates(spark, sf_dir):
 
 
 def write_headers(spark, sf_dir):
-    """Non-numeric quoting with a header in every part file, read back under that header."""
-    path = scratch_path(spark, "headers")
-    write_delimited(_event_texts(spark, sf_dir), path, quote_mode="NON_NUMERIC", header=True)
+    """Non-numeric quoting with a header in every part file, also of an empty first part and under a record limit, read back under that header."""
+    path, texts = scratch_path(spark, "headers"), _event_texts(spark, sf_dir)
+    write_delimited(texts.limit(0).unionByName(texts), path, quote_mode="NON_NUMERIC", header=True, max_records_per_file=500)
     return read_delimited(spark, path, "event_id bigint, value double, label string, props string", header=True, null_value="null")
 
 
@@ -98,6 +98,9 @@ def insert_overwrite_csv(spark, sf_dir):
     source = f"{name}_source"
     customer.createOrReplaceTempView(source)
     spark.sql(f"INSERT OVERWRITE TABLE `{name}` SELECT * FROM `{source}`")
+    # once more, by the rows of the table itself
+    insert_overwrite(read_delimited(spark, path, CUSTOMER, header=True), path, header=True)
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 

@@ -67,9 +67,15 @@ def flag(label: str, text: str | bool) -> bool:
 
 
 def check_locale(locale: str) -> None:
-    """Raise for a name that no locale can have; whether the JVM knows its marks shows when numbers are read."""
+    """Raise for an unknown locale. Without a running session only the name is checked, by the platform's table of languages."""
+    from pyspark import SparkContext
+
     name = locale.replace("_", "-")
-    if not re.fullmatch(r"[A-Za-z]{2,8}(-[A-Za-z0-9]{1,8})*", name) or name.split("-")[0].lower() not in LANGUAGES:
+    if not re.fullmatch(r"[A-Za-z]{2,8}(-[A-Za-z0-9]{1,8})*", name):
+        raise ValueError(f"unknown number locale {locale!r}")
+    if SparkContext._active_spark_context is not None:
+        number_marks(locale)
+    elif name.split("-")[0].lower() not in LANGUAGES:
         raise ValueError(f"unknown number locale {locale!r}")
 
 
@@ -81,7 +87,6 @@ def number_marks(locale: str) -> tuple[str, str]:
     """(grouping marks, decimal mark) of a locale, from the symbol table of the JVM; each character of the first is a mark of its own."""
     from pyspark import SparkContext
 
-    check_locale(locale)
     name = locale.replace("_", "-")
     if name.lower() in ("en", "en-us"):
         return ",", "."
@@ -91,6 +96,10 @@ def number_marks(locale: str) -> tuple[str, str]:
     if name not in _marks:
         java = context._jvm.java
         wanted = java.util.Locale.forLanguageTag(name)
+        try:
+            wanted.getISO3Language(), wanted.getISO3Country()
+        except Exception:  # a language or region that does not exist
+            raise ValueError(f"unknown number locale {locale!r}") from None
         symbols = java.text.DecimalFormatSymbols.getInstance(wanted)
         grouping, decimal = symbols.getGroupingSeparator(), symbols.getDecimalSeparator()
         _marks[name] = next((group for group in SIMILAR_MARKS if grouping in group), grouping), decimal

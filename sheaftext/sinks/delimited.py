@@ -179,7 +179,8 @@ def save_with_options(df: DataFrame, options: Mapping[str, str], save_mode: str
 def insert_overwrite(df: DataFrame, path: str | None, options: WriteOptions | Mapping | None = None, **overrides) -> None:
     """Replace the contents of a delimited table at ``path``, also by rows that were read from it.
 
-    The rows are written beside the table first; only then do they take the place of the old files.
+    The rows are written beside the table first; only then do they take the place of the old files. A view made over the path before
+    holds the names of the old files until ``REFRESH TABLE``.
     """
     if not path:
         raise ValueError("Cannot INSERT into table with no path defined")

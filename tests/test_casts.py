@@ -29,11 +29,13 @@ def test_whole_numbers_are_strict(spark):
 
 def test_floating_locales(spark):
     cast = lambda text, locale: one(spark, casts.to_floating(F.lit(text), T.DoubleType(), locale))
-    assert cast("1.00", "en") == 1.0 and cast("80,000.65", "en") == 80000.65
+    assert cast("1.00", "en") == 1.0 and cast("41,307.25", "en") == 41307.25
     assert cast("1,00", "fr-FR") == 1.0 and cast("1 234,5", "fr") == 1234.5
     assert cast("1.234,56", "pt-BR") == 1234.56 and cast("10.5", "pt-BR") == 10.5 and cast("1.234.567", "de") == 1234567.0
     assert cast("x", "pt") is None
     assert cast("1,234.5", "es-MX") == 1234.5 and cast("1’234.5", "de_CH") == 1234.5 and cast("1.234,5", "es-ES") == 1234.5
+    # locales that no list names: the marks come from the JVM
+    assert cast("1\u00a0234,5", "sv-SE") == 1234.5 and cast("1.234,5", "da-DK") == 1234.5 and cast("1.234,5", "tr") == 1234.5 and cast("1’234.5", "rm-CH") == 1234.5
     with pytest.raises(ValueError, match="pt-XX"):
         cast("1", "pt-XX")
 
@@ -108,13 +110,13 @@ def test_null_text_in_every_type(spark, kind):
     assert rows(parse_lines(lines_of(spark, "null,k"), f"v {kind}, k string", profile="legacy")) == [(None, "k")]
 
 
-NAMED = T.StructType([T.StructField("name", T.StringType(), False), T.StructField("age", T.IntegerType(), True)])
+NAMED = T.StructType([T.StructField("tree", T.StringType(), False), T.StructField("rings", T.IntegerType(), True)])
 
 
 @pytest.mark.parametrize("text, null", [("null", "null"), ("\\N", "\\N"), ("", "")])
 def test_columns_that_are_not_nullable_keep_the_text(spark, text, null):
-    lines = lines_of(spark, "alice,35", f"bob,{text}", f"{text},24")
-    assert set(rows(parse_lines(lines, NAMED, null_value=null))) == {("alice", 35), ("bob", None), (text, 24)}
+    lines = lines_of(spark, f"{text},7", "oak,120", f"elm,{text}")
+    assert set(rows(parse_lines(lines, NAMED, null_value=null))) == {(text, 7), ("oak", 120), ("elm", None)}
 
 
 def test_empty_in_a_number_that_is_not_nullable(spark):

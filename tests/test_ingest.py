@@ -62,6 +62,14 @@ def test_control_file_columns_and_drift(spark, put):
     assert rows(conforms(drift)) == [("d", 1, False)]
 
 
+def test_control_columns_by_depth(spark, put):
+    text = """CREATE TABLE A.C ( AMT DECIMAL(9,2) DEFAULT (COALESCE(0,(1))), NOTE CHARACTER(5) DEFAULT 'a,)(b', ")" INTEGER,
+        K SMALLINT CHECK (K IN (1,(2),3) ) ) PARTITIONED BY (DAY CHARACTER(10), X INTEGER);"""
+    listed = rows(ddl_columns(read_documents(spark, put(text, "d.ctr"))).orderBy("position").select("column_name", "legacy_type"))
+    assert listed == [("AMT", "DECIMAL(9,2)"), ("NOTE", "CHARACTER(5)"), ('")"', "INTEGER"), ("K", "SMALLINT")]
+    assert ddl_columns(read_documents(spark, put("CREATE TABLE A.C ( ID INTEGER, N (", "e.ctr"))).count() == 0
+
+
 SETTINGS = "retention=30\nhdfs_path_source={land}\nhdfs_path_save={save}\ndatabase=default\nfile_count=2\nos_path_source=/os/?k=v\n"
 
 

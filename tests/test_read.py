@@ -68,18 +68,18 @@ def test_quote_switched_off(spark, put):
 
 
 def test_escape_character(spark, put):
-    assert rows(read_delimited(spark, put('"column"\n"|"thing"\n'), header=True, escape="|")) == [('"thing',)]
+    assert rows(read_delimited(spark, put('"motto"\n"run ^"slowly^", then rest"\n'), header=True, escape="^")) == [('run "slowly", then rest',)]
     assert rows(read_delimited(spark, put('"column"\n"say ""x"""\n'), header=True)) == [('say "x"',)]
 
 
 def test_comment_lines(spark, put):
-    text = "~ Version 1\n1,2,5.01,2015-08-20 15:57:00\n6,7,0,2015-08-21 16:58:01\n~0,9,6,2015-08-22 17:59:02\n"
-    df = read_delimited(spark, put(text), comment="~", infer_schema=True)
-    assert rows(df.orderBy("C0")) == [(1, 2, 5.01, datetime(2015, 8, 20, 15, 57)), (6, 7, 0.0, datetime(2015, 8, 21, 16, 58, 1))]
+    text = "; depth soundings\n12,0.5,2003-11-04 06:10:30,true\n;13,oops\n14,7,2003-11-05 23:59:59,false\n"
+    df = read_delimited(spark, put(text), comment=";", infer_schema=True)
+    assert rows(df.orderBy("C0")) == [(12, 0.5, datetime(2003, 11, 4, 6, 10, 30), True), (14, 7.0, datetime(2003, 11, 5, 23, 59, 59), False)]
 
 
 def test_comments_switched_off(spark, put):
-    assert sorted(rows(read_delimited(spark, put("#1,2\n4,5\n"), comment=None))) == [("#1", "2"), ("4", "5")]
+    assert sorted(rows(read_delimited(spark, put("#tag,blue\nplain,#red\n"), comment=None))) == [("#tag", "blue"), ("plain", "#red")]
 
 
 def test_only_delimiters_is_a_row_of_empties(spark, put):
@@ -87,10 +87,10 @@ def test_only_delimiters_is_a_row_of_empties(spark, put):
 
 
 def test_tsv_preset_and_thousands(spark, put):
-    text = 'year\tmaker\tprice\n2012\tTrek\t"80,000.65"\n1997\tGiant\t35,000\n'
-    df = read_tsv(spark, put(text, "b.tsv"), "year double, maker string, price decimal(12,2)")
-    assert sorted(rows(df)) == [(1997.0, "Giant", Decimal("35000.00")), (2012.0, "Trek", Decimal("80000.65"))]
-    assert df.where("price > 60000").count() == 1
+    text = 'harbour\tvisitors\tfee\nEsbjerg\t"1,204"\t"3,310.25"\nPiran\t960\t78\n'
+    df = read_tsv(spark, put(text, "b.tsv"), "harbour string, visitors string, fee decimal(12,2)")
+    assert sorted(rows(df)) == [("Esbjerg", "1,204", Decimal("3310.25")), ("Piran", "960", Decimal("78.00"))]
+    assert df.where("fee > 1000").count() == 1
 
 
 def test_charsets(spark, put):
@@ -101,8 +101,8 @@ def test_charsets(spark, put):
     assert rows(read_delimited(spark, euro, header=True, charset="windows-1252")) == [("x", "5 €")]
     assert "þ" not in text_lines(spark, path, "utf-8").head()[0]
     assert spark.conf.get("spark.sql.legacy.javaCharsets") == "false"
-    with pytest.raises(ValueError, match="frylock"):
-        read_delimited(spark, path, charset="frylock")
+    with pytest.raises(ValueError, match="no-such-charset"):
+        read_delimited(spark, path, charset="no-such-charset")
 
 
 def test_trim_flags(spark, put):
@@ -140,8 +140,8 @@ def test_multiline_fields(spark, put):
 
 
 def test_lines_frame_with_header(spark):
-    lines = spark.createDataFrame([("age,height",), ("20,1.8",), ("16,1.7",)], "line string").coalesce(1)
-    assert sorted(rows(parse_lines(lines, header=True, column="line"))) == [("16", "1.7"), ("20", "1.8")]
+    lines = spark.createDataFrame([("moon,radius",), ("Io,1821",), ("Mimas,198",)], "entry string").coalesce(1)
+    assert sorted(rows(parse_lines(lines, header=True, column="entry"))) == [("Io", "1821"), ("Mimas", "198")]
 
 
 def test_carried_columns(spark, put):
@@ -210,10 +210,10 @@ def test_nested_schema_is_refused(spark, put):
 
 
 def test_custom_date_format(spark, put):
-    path = put("day\n26/08/2015 18:00\n27/10/2014 18:30\n?\n28/01/2016 20:00\n")
-    options = {"header": True, "date_format": "dd/MM/yyyy hh:mm", "null_value": "?"}
+    path = put("seen\n03.07.1999 09:05\n-\n30.12.2001 21:40\n")
+    options = {"header": True, "date_format": "dd.MM.yyyy hh:mm", "null_value": "-"}
     inferred = read_delimited(spark, path, infer_schema=True, **options)
     assert inferred.schema[0].dataType == T.TimestampType()
-    assert set(rows(inferred)) == {(datetime(2015, 8, 26, 18),), (datetime(2014, 10, 27, 18, 30),), (None,), (datetime(2016, 1, 28, 20),)}
-    days = read_delimited(spark, path, "day date", **options)
-    assert set(rows(days)) == {(date(2015, 8, 26),), (date(2014, 10, 27),), (None,), (date(2016, 1, 28),)}
+    assert set(rows(inferred)) == {(datetime(1999, 7, 3, 9, 5),), (None,), (datetime(2001, 12, 30, 21, 40),)}
+    days = read_delimited(spark, path, "seen date", **options)
+    assert set(rows(days)) == {(date(1999, 7, 3),), (None,), (date(2001, 12, 30),)}

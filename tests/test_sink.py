@@ -1,9 +1,11 @@
 """Writing delimited text."""
 
+import gzip
 from datetime import date, datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from compare import rows
@@ -98,11 +100,11 @@ def test_round_trip_with_an_escape_character(spark, tmp_path, quote_mode):
 
 
 def test_empty_null_text_round_trip(spark, tmp_path):
-    df = spark.createDataFrame([("alice", 35), ("bob", None), (None, 24)], "name string, age int")
+    df = spark.createDataFrame([("oak", 120), ("elm", None), (None, 7), (None, None)], "tree string, rings int")
     path = str(tmp_path / "out")
     write_delimited(df, path, header=True, null_value="")
     for options in ({"treat_empty_values_as_nulls": True}, {"null_value": ""}):
-        assert set(rows(read_delimited(spark, path, "name string, age int", header=True, **options))) == set(rows(df))
+        assert set(rows(read_delimited(spark, path, "tree string, rings int", header=True, **options))) == set(rows(df))
 
 
 def test_blanks_are_kept(spark, tmp_path):
@@ -178,3 +180,28 @@ def test_insert_overwrite(spark, tmp_path):
     assert read_delimited(spark, path, "id bigint", header=True).count() == 2
     with pytest.raises(ValueError, match="no path"):
         insert_overwrite(spark.range(1), None)
+
+
+@pytest.mark.parametrize("quote_mode", ["MINIMAL", "NON_NUMERIC", "NONE"])
+@pytest.mark.parametrize("codec", [None, "gzip"])
+def test_header_of_empty_parts_and_under_a_record_limit(spark, tmp_path, quote_mode, codec):
+    path = str(tmp_path / "out")
+    df = spark.range(0, 40, 1, 4).where("id >= 10").select("id", F.concat(F.lit("a\n"), F.col("id").cast("string")).alias("t"))  # the first part is empty
+    write_delimited(df, path, header=True, quote_mode=quote_mode, escape="\\", codec=codec, max_records_per_file=7)
+    parts = sorted(Path(path).glob("part-*"))
+    assert len(parts) == 7
+    for part in parts:
+        text = (gzip.decompress(part.read_bytes()) if codec else part.read_bytes()).decode()
+        assert text.splitlines()[0].replace('"', "") == "id,t" and text.replace('"', "").count("id,t") == 1
+    assert spark.read.option("header", True).option("multiLine", True).option("escape", "\\").csv(path).count() == 30
+
+
+def test_overwrite_by_rows_of_the_same_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_delimited(spark.range(10), path, header=True)
+    read = lambda: read_delimited(spark, path, "id bigint", header=True)
+    insert_overwrite(read().where("id < 4").select((F.col("id") * 2).alias("id")), path, header=True)
+    assert sorted(rows(read())) == [(0,), (2,), (4,), (6,)]
+    with pytest.raises(Exception, match="(?i)divide"):
+        insert_overwrite(read().select(F.expr("1 div (id - id)").alias("id")), path, header=True)
+    assert read().count() == 4 and [p.name for p in tmp_path.iterdir()] == ["t"]
