@@ -59,16 +59,20 @@ def to_integral(token: Column, dtype: T.DataType) -> Column:
 def to_floating(token: Column, dtype: T.DataType, locale: str = "en") -> Column:
     """Plain notation first, then the notation of ``locale``."""
     grouping, decimal = number_marks(locale)
-    # Spark also takes nan, inf and the like in any case; inference calls these text
-    token = F.when(~token.rlike(r"(?i)^\s*[+-]?(nan|inf)") | token.rlike(r"^\s*[+-]?(NaN|Infinity)\s*$"), token)
     if decimal == ".":
         # text with a grouping mark is never plain, so one parse without the marks serves both notations
-        return _without(token, grouping).try_cast(dtype)
+        return _spelled(token, _without(token, grouping).try_cast(dtype))
     # translate maps the decimal mark to a point and, having no counterpart for them, drops the grouping marks
     local_text = F.translate(token, decimal + grouping, ".")
     # a failing parse is slow: text with a comma is never plain, and text without marks has one reading only
     plain = F.when(~F.contains(token, F.lit(",")), token.try_cast(dtype))
-    return F.coalesce(plain, F.when(local_text != token, local_text.try_cast(dtype)))
+    return _spelled(token, F.coalesce(plain, F.when(local_text != token, local_text.try_cast(dtype))))
+
+
+def _spelled(token: Column, value: Column) -> Column:
+    """Spark also takes nan, inf and the like in any case; inference calls these text. Only such values need a look at the text."""
+    odd = F.isnan(value) | (F.abs(value) == float("inf"))
+    return F.when(odd, F.when(~token.rlike(r"(?i)^\s*[+-]?(nan|inf)") | token.rlike(r"^\s*[+-]?(NaN|Infinity)\s*$"), value)).otherwise(value)
 
 
 def _without(token: Column, marks: str) -> Column:
