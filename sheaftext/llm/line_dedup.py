@@ -229,18 +229,18 @@ def op1_line_dedup(spark, sf_dir):
 _ALPHA = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 SQL = rf"""
-WITH split AS (
-  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+WITH split AS MATERIALIZED (
+  SELECT row_number() OVER () AS doc_row, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
 ), lines AS (
-  SELECT doc_id, unnest(range(1, len(ls) + 1)) AS pos, unnest(ls) AS line FROM split
+  SELECT doc_row, doc_id, unnest(range(1, len(ls) + 1)) AS pos, unnest(ls) AS line FROM split
 ), keyed AS (
   SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_ALPHA}) AS k FROM lines
 ), repeated AS (
-  SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+  SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_row) >= 3
 ), marked AS (
-  SELECT doc_id, pos, line, r.k IS NOT NULL AND doc_id <> r.keeper AS gone FROM keyed LEFT JOIN repeated r USING (k)
+  SELECT doc_row, doc_id, pos, line, r.k IS NOT NULL AND doc_id <> r.keeper AS gone FROM keyed LEFT JOIN repeated r USING (k)
 )
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+FROM marked GROUP BY doc_row, doc_id
 """

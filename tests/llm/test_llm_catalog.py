@@ -18,6 +18,16 @@ def test_query(spark, name):
     assert differences(run(spark, SF), connect(SF), sql) is None
 
 
+def test_line_dedup_counts_rows_as_documents(spark, tmp_path):
+    """Rows with one id are documents of their own, in the query and in its SQL."""
+    line = "a line of more than twenty letters"
+    rows = [(1, f"{line}\nx"), (1, line), (1, line), (2, f"{line} twice\n{line} twice"), (3, f"{line} twice")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/t")
+    (tmp_path / "documents.parquet").symlink_to(next((tmp_path / "t").glob("part-*")))
+    run, sql = catalog.QUERIES["op1_line_dedup"]
+    assert differences(run(spark, str(tmp_path)), connect(str(tmp_path)), sql) is None
+
+
 def test_pipeline_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = drop_toxic(docs, spark.read.parquet(f"{SF}/labels.parquet")).select("doc_id", "text").collect()
