@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import zlib
 from collections.abc import Iterable, Iterator
@@ -97,5 +98,14 @@ def crc_mod_column(name: str, m: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")), F.lit(m))
 
 
+def release() -> None:
+    """Give memory that a Python worker has freed back to the system; an idle worker would keep it beside the tasks that follow."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def packed(array: np.ndarray) -> bytes:
     return np.ascontiguousarray(array).tobytes()

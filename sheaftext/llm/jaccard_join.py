@@ -36,11 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaftext.llm.common import as_bytes, chunks, materialise, packed, partitions, table
+from sheaftext.llm.common import as_bytes, chunks, materialise, packed, partitions, release, table
 from sheaftext.llm.components import components
 from sheaftext.llm.words import distinct_per_text, mix, shingles, words
 
-TOKENS_PER_FRAGMENT = 2_000_000
+TOKENS_PER_FRAGMENT = 500_000
 BLOCK = 512
 FEW = 8  # holders of a shingle up to which its pairs are listed inside a task
 FRAGMENTS = 4
@@ -64,6 +64,7 @@ def _digests(size: int):
         for part, data, offsets in chunks(batches):
             _, at, d = sets_of(data, offsets, size)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.diff(at), pa.int64()), _digest_array(d)], ["doc_id", "h", "n", "digest"])
+        release()
 
     return run
 
@@ -98,6 +99,7 @@ def _fragments(size: int, many: int):
                     rows.append((f, packed(d[ids]), packed(sizes.astype(np.uint32)), packed(h[a:b][own]), packed(shared[a:b][own])))
             kinds = (pa.int64(), *[pa.binary()] * 4)
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["fragment", "digests", "counts", "tokens", "known"])
+        release()
 
     return run
 
@@ -136,6 +138,7 @@ def _shared_counts(rows: pa.Table) -> pa.Table:
         n = np.bincount(c[shared[group] & ~k], minlength=len(classes))
         if n.any():
             out_d, out_n = [*local_d, classes[n > 0]], [*local_n, n[n > 0]]
+    release()
     d = np.concatenate(out_d) if out_d else np.zeros((0, 2), np.uint64)
     n = np.concatenate(out_n) if out_n else np.zeros(0, np.int64)
     bucket = (d[:, 0] % _U(rows.column("buckets")[0].as_py())).astype(np.int64)
@@ -248,6 +251,7 @@ def _cells(percent: int):
                 total += part
         if cell is not None:
             yield judged(total, *about)
+        release()
 
     return run
 

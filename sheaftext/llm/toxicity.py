@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaftext.llm.common import as_bytes, chunks, crc_mod_column, table
+from sheaftext.llm.common import as_bytes, chunks, crc_mod_column, release, table
 from sheaftext.llm.labelled import FOLDS, HELD_OUT, train, training_ids
 from sheaftext.llm.words import SYMBOLS, mix, rolling, words
 
@@ -227,6 +227,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
         for part, data, offsets in chunks(batches):
             score = _sigmoid(m["scale"] * margins(Bags.of(data, offsets), m) + m["shift"])
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score, pa.float64())], ["doc_id", "score"])
+        release()
 
     return docs.select("doc_id", as_bytes("text").alias("text")).mapInArrow(run, "doc_id bigint, score double")
 
