@@ -18,7 +18,7 @@ from sheaftext.operators.schema_docs import LOAD_DATE_COLUMN, conforms, ddl_colu
 from sheaftext.sinks.folders import delete_folder
 from sheaftext.sinks.parquet import partition_location, publish_partition, run_folder, table_exists
 from sheaftext.sources.delimited import read_delimited
-from sheaftext.sources.landing import batch_glob, expected_batches, list_files
+from sheaftext.sources.landing import HEAD, batch_glob, expected_batches, list_files
 from sheaftext.sources.settings import LoadSettings
 
 SOURCE_FILE = "source_file"
@@ -48,10 +48,10 @@ def batch_readiness(files: DataFrame, expected: DataFrame) -> DataFrame:
     MISSING: no trigger file. PARTIAL: fewer triggers than expected. MISMATCH: trigger or data files differ from
     the expected number. READY otherwise.
     """
-    arrived = expected_batches(files, expected).groupBy(*BATCH).agg(
+    arrived = expected_batches(files, expected).groupBy(*BATCH, HEAD).agg(
         F.count_if(F.col("kind") == "BST").alias("triggers"), F.count_if(F.col("kind") == "CSV").alias("data_files")
     )
-    counts = expected.join(arrived, BATCH, "left").select(
+    counts = expected.join(arrived.drop(HEAD), BATCH, "left").select(
         *BATCH,
         "file_count",
         F.coalesce("triggers", F.lit(0)).alias("triggers"),

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Fixed value: table name, six digits of date and kind of a landing file.
 LANDING_NAME = r"([A-Za-z0-9]+?)(?:[_.\-][^/]*?)?(\d{6})\.(CSV|BST|CTR)$"
 
-# Fixed value: what comes before the date, six digits of date, and kind of a landing file.
-LANDING_PARTS = r"([^/]*?)(\d{6})\.(CSV|BST|CTR)$"
+# Fixed value: what comes before the date, six digits of date, and kind of a landing file's own name.
+LANDING_PARTS = r"^([^/]*)(\d{6})\.(CSV|BST|CTR)$"
+
+HEAD = "__head"
 
 
 def batch_glob(table: str, odate: str, kind: str = "*") -> str:
@@ -41,18 +43,28 @@ def with_batch(files: DataFrame, name_pattern: str = LANDING_NAME) -> DataFrame:
 
 
 def expected_batches(files: DataFrame, expected: DataFrame) -> DataFrame:
-    """(path, kind, table_name, odate) of the files of the awaited batches in ``expected`` (table_name, odate).
+    """(path, kind, table_name, odate, ``HEAD``) of the files of the awaited batches in ``expected`` (table_name, odate).
 
     Table names may hold any sign. A file is the table's whose name it begins with, the longest where there are
-    several: names are looked up by equality among the beginnings of the file name, never by pairs.
+    several. Names and files of a date are sorted together: what begins with a name follows it without a gap, so the last
+    name of some length before a file is the only one of that length that the file can begin with. Each file is
+    shuffled once, by date and by ``HEAD``, as many first signs as the shortest name has; rows stay so for what groups them further.
     """
-    part = lambda i: F.regexp_extract("path", LANDING_PARTS, i)
-    named = files.select("path", part(1).alias("stem"), part(2).alias("odate"), part(3).alias("kind")).where("stem <> '' and odate <> ''")
-    begins = F.transform(F.sequence(F.lit(1), F.length("stem")), lambda n: F.substr("stem", F.lit(1), n))
-    candidates = named.select("path", "odate", "kind", F.explode(begins).alias("table_name"))
-    awaited = candidates.join(expected.select("table_name", "odate").distinct(), ["table_name", "odate"])
-    longest = F.max_by("table_name", F.length("table_name")).alias("table_name")
-    return awaited.groupBy("path", "odate", "kind").agg(longest)
+    part = lambda i: F.regexp_extract(F.substring_index("path", "/", -1), LANDING_PARTS, i)
+    awaited = expected.where("table_name <> '' and odate <> ''")
+    lengths = sorted(r[0] for r in awaited.select(F.length("table_name")).distinct().collect())
+    least = lengths[0] if lengths else 1
+    stems = files.select("path", part(1).alias("text"), part(2).alias("odate"), part(3).alias("kind")).where((F.length("text") >= least) & (F.col("odate") != ""))
+    names = awaited.select(F.lit(None).cast("string").alias("path"), F.col("table_name").alias("text"), "odate", F.lit(None).cast("string").alias("kind"))
+    both = stems.unionByName(names).withColumn(HEAD, F.substr("text", F.lit(1), F.lit(least)))
+    order = Window.partitionBy("odate", HEAD).orderBy("text", F.asc_nulls_first("path"))
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = lambda n: F.last(F.when(F.col("path").isNull() & (F.length("text") == n), F.col("text")), ignorenulls=True).over(so_far)
+    # a path that is listed twice is one file
+    placed = both.select("*", *[last(n).alias(f"name{n}") for n in lengths], F.lag("path").over(order).eqNullSafe(F.col("path")).alias("again"))
+    begun = [F.when(F.startswith("text", F.col(f"name{n}")), F.col(f"name{n}")) for n in reversed(lengths)]
+    table_name = F.coalesce(*begun, F.lit(None).cast("string")).alias("table_name")
+    return placed.where("path is not null and not again").select("path", "odate", "kind", table_name, HEAD).where("table_name is not null")
 
 
 def manifest(spark: SparkSession, root: str, glob: str | None = None, name_pattern: str = LANDING_NAME) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from sheaftext.session import scratch_root
+from sheaftext.sources.landing import expected_batches
 
 
 @pytest.fixture
@@ -29,3 +30,18 @@ def test_long_fields_are_written_compressed(spark, documents):
     rows = entry.queries()["csv_long_fields"](spark, documents).collect()
     assert len(rows) == 400 and min(r.chars for r in rows) > 140_000
     assert sum(written(spark, "long-fields", since)) * 20 < sum(r.chars for r in rows)
+
+
+def test_files_find_their_table_without_a_row_per_beginning(spark):
+    names = ["T", "TB", "TB_A", "TB_AB", "TB_B_\u00e9\U0001f600", "U-1", "TB_A"]
+    paths = [f"/l/{n}{x}190616.CSV" for n in names for x in ("", "_1_", "\U0001f600", "B")] + ["/l/x190616.CSV", "/l/TB_A190617.CSV", "/l/TB_A_1_190616.CSV", "/m/TB_A_1_190616.CSV"]
+    files = spark.createDataFrame([(p,) for p in paths] + [(None,)], "path string")
+    expected = spark.createDataFrame([(n, "190616") for n in names] + [(None, "190616"), ("TB_A", None)], "table_name string, odate string")
+    found = expected_batches(files, expected)
+    stem = lambda p: p.rsplit("/", 1)[1][:-10]
+    right = {(p, max((n for n in names if stem(p).startswith(n)), key=len)) for p in paths if "190616" in p and stem(p).startswith(("T", "U-1"))}
+    rows = [(r.path, r.table_name) for r in found.collect()]
+    assert len(rows) == len(right) and set(rows) == right
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+    assert expected_batches(files, expected.limit(0)).count() == 0
