@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sheaftext.operators.schema_docs import DOC, document_lines, read_documents
+from sheaftext.operators.schema_docs import DOC, TEXT, read_documents
 from sheaftext.options import ReadOptions
 
 # Required keys, and optional keys with their defaults.
@@ -17,25 +17,34 @@ OPTIONAL = {"quote": '"', "delimiter": ";", "header": "false", "quoteMode": "NON
 ALIASES = {"demiliter": "delimiter"}
 
 
-def setting_pairs(documents: DataFrame) -> DataFrame:
-    """Rows of (doc, position, key, value); the value is everything after the first ``=``."""
-    parts = F.split("line", "=", 2)
-    key = F.trim(F.get(parts, F.lit(0)))
-    for old, new in ALIASES.items():
-        key = F.when(key == old, new).otherwise(key)
-    lines = document_lines(documents).where(F.contains(F.col("line"), F.lit("=")))
-    return lines.select(DOC, "position", key.alias("key"), F.get(parts, F.lit(1)).alias("value"))
+def setting_pairs(text: Column) -> Column:
+    """An array of (position, key, value) of a text's lines; the value is everything after the first ``=``."""
+    lines = F.transform(F.split(text, r"\r?\n"), lambda line, i: F.struct(i.alias("position"), line.alias("line")))
+    kept = F.filter(lines, lambda s: F.contains(s["line"], F.lit("=")))
+
+    def pair(s: Column) -> Column:
+        at = F.locate("=", s["line"])
+        written = F.trim(F.substr(s["line"], F.lit(1), at - 1))
+        key = written
+        for old, new in ALIASES.items():
+            key = F.when(written == old, new).otherwise(key)
+        return F.struct(s["position"].alias("position"), key.alias("key"), F.substr(s["line"], at + 1).alias("value"))
+
+    return F.transform(kept, pair)
 
 
 def settings_table(documents: DataFrame) -> DataFrame:
     """One row per document: its settings with defaults filled in, and the required keys it lacks.
 
-    A key that is written more than once keeps its first value.
+    A key that is written more than once keeps its first value, also where a document comes in several rows; a document without name
+    has no settings. A row keeps its lines together: only the first value of each key is shuffled and sorted.
     """
-    pairs = setting_pairs(documents)
-    found = {k: F.min_by(F.when(F.col("key") == k, F.col("value")), F.when(F.col("key") == k, F.col("position"))) for k in (*REQUIRED, *OPTIONAL)}
-    wide = pairs.groupBy(DOC).agg(*[column.alias(k) for k, column in found.items()])
-    complete = documents.select(DOC).join(wide, DOC, "left")
+    keys = (*REQUIRED, *OPTIONAL)
+    first_of = lambda k: F.get(F.filter("pairs", lambda p: p["key"] == k), F.lit(0))
+    named = documents.select(DOC, F.when(F.col(DOC).isNotNull(), setting_pairs(F.col(TEXT))).alias("pairs"))
+    each = named.select(DOC, *[first_of(k).alias(k) for k in keys])
+    rows = Window.partitionBy(DOC)
+    complete = each.select(DOC, *[F.min(k).over(rows)["value"].alias(k) for k in keys])
     empty = lambda k: F.coalesce(F.col(k), F.lit("")) == ""
     missing = F.filter(F.array(*[F.when(empty(k), F.lit(k)) for k in REQUIRED]), lambda k: k.isNotNull())
     typed = {k: F.col(k).try_cast("int") if k in ("retention", "file_count") else F.col(k) for k in REQUIRED}
