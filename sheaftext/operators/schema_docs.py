@@ -89,16 +89,19 @@ def dictionary_schema(spark: SparkSession, path: str, load_date: bool = False) -
     return schema.add(LOAD_DATE_COLUMN, T.StringType(), True) if load_date else schema
 
 
-# One pass over the characters of a column list: depth of brackets, open quote, places of the commas between columns, end of the list.
+# Tokens of a column list: plain text, quoted text, brackets without brackets or quotes inside, and single marks.
+_TOKENS = """[^(),'"`]+|'[^']*'|"[^"]*"|`[^`]*`|\\([^()'"`]*\\)|[(),'"`]"""
+
+# One pass over the tokens: depth of brackets, a quote that never closes, places of the commas between columns, end of the list.
 _SCAN = """aggregate(
-    split(body, ''),
-    named_struct('at', 0, 'depth', 0, 'quote', '', 'cuts', array(0), 'end', -1),
-    (s, c) -> if(s.end >= 0, s, named_struct(
-        'at', s.at + 1,
-        'depth', s.depth + case when s.quote <> '' then 0 when c = '(' then 1 when c = ')' then -1 else 0 end,
-        'quote', case when s.quote = c then '' when s.quote = '' and c in ('\\'', '"', '`') then c else s.quote end,
-        'cuts', if(c = ',' and s.depth = 0 and s.quote = '', array_append(s.cuts, s.at + 1), s.cuts),
-        'end', if(c = ')' and s.depth = 0 and s.quote = '', s.at, -1))))"""
+    tokens,
+    named_struct('at', 0, 'depth', 0, 'open', false, 'cuts', array(0), 'end', -1),
+    (s, t) -> if(s.end >= 0 or s.open, s, named_struct(
+        'at', s.at + length(t),
+        'depth', s.depth + case t when '(' then 1 when ')' then -1 else 0 end,
+        'open', t in ('\\'', '"', '`'),
+        'cuts', if(t = ',' and s.depth = 0, array_append(s.cuts, s.at + 1), s.cuts),
+        'end', if(t = ')' and s.depth = 0, s.at, -1))))"""
 
 
 def ddl_columns(documents: DataFrame) -> DataFrame:
@@ -107,9 +110,11 @@ def ddl_columns(documents: DataFrame) -> DataFrame:
     Brackets and quotes may be nested in a column to any depth; a list that never closes has no columns.
     """
     body = F.regexp_extract(F.regexp_replace(TEXT, r"\s+", " "), r"(?i)CREATE TABLE [^(]*\((.*)$", 1)
-    scanned = documents.select(DOC, body.alias("body")).withColumn("s", F.expr(_SCAN)).where("s.end >= 0")
-    ends = F.expr("concat(transform(slice(s.cuts, 2, size(s.cuts)), c -> c - 1), array(s.end))")
-    parts = scanned.withColumn("ends", ends).select(DOC, F.posexplode(F.expr("transform(s.cuts, (c, i) -> substring(body, c + 1, ends[i] - c))")).alias("position", "item"))
+    tokens = documents.select(DOC, body.alias("body")).withColumn("tokens", F.regexp_extract_all("body", F.lit(_TOKENS), F.lit(0)))
+    scanned = tokens.select(DOC, "body", F.expr(_SCAN).alias("s"))
+    # no filter on the end: it would be pushed below and scan each text twice
+    ends = F.expr("if(s.end >= 0, concat(transform(slice(s.cuts, 2, size(s.cuts)), c -> c - 1), array(s.end)), null)")
+    parts = scanned.withColumn("ends", ends).select(DOC, F.posexplode(F.expr("transform(ends, (e, i) -> substring(body, s.cuts[i] + 1, e - s.cuts[i]))")).alias("position", "item"))
     tight = F.regexp_replace(F.regexp_replace(F.regexp_replace("item", r" ?, ?", ","), r" ?\( ?", "("), r" \)", ")")
     words = F.split(F.trim(tight), " ")
     return parts.where(F.trim("item") != "").select(
