@@ -4,8 +4,8 @@ A document's set holds its distinct shingles as 64-bit hashes. The work goes in
 lists the pairs of a group:
 
 1. Documents with equal sets become one class; from here on there are only classes.
-2. Shingles are sent to fragments of the hash space, blockwise and without repeats, and each class gets back
-   how many of its shingles another class has too. A link needs ``threshold`` of them, so the rest can't link.
+2. Shingles are sent to fragments of the hash space, blockwise, without repeats and cut to 32 bits, and each class gets back
+   at least how many of its shingles another class has too. A link needs ``threshold`` of them, so the rest can't link.
 3. For the classes left, shingles are put in the global order (number of classes, hash). The first few of a
    class (the prefix) must hold a shingle of any partner. Each class takes as its home the most typical
    class that shares a prefix shingle, and is put into a block of classes of its home (small homes share blocks).
@@ -69,8 +69,16 @@ def _digests(size: int):
     return run
 
 
+def short_tokens(h: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """31 bits of each shingle beside those that name its fragment, and whether the chunk knows it to be shared.
+
+    Two shingles of a fragment that are alike in these only let a class pass that the next steps, which compare whole hashes, drop.
+    """
+    return ((mix(h) >> _U(33)) << _U(1)).astype(np.uint32) | known.astype(np.uint32)
+
+
 def _fragments(size: int, many: int):
-    """Per chunk of texts and fragment: digests, tokens each, tokens; first the counts that the chunk itself can tell."""
+    """Per chunk of texts and fragment: digests, tokens each, short tokens; first the counts that the chunk itself can tell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in chunks(batches):
@@ -88,7 +96,7 @@ def _fragments(size: int, many: int):
             shared, repeat = same[:-1] | same[1:], same[:-1]
             counts = np.bincount(owner[shared], minlength=len(d))
             local = np.flatnonzero(counts)
-            rows = [(int(h[0] % _U(many)) if len(h) else 0, packed(d[local]), packed(counts[local].astype(np.uint32)), b"", b"")]
+            rows = [(int(h[0] % _U(many)) if len(h) else 0, packed(d[local]), packed(counts[local].astype(np.uint32)), b"")]
             h, owner, shared = h[~repeat], owner[~repeat], shared[~repeat]
             fragment = ((h >> _U(40)) * _U(many) >> _U(24)).astype(np.int64)  # sorted, as h is
             cuts = np.searchsorted(fragment, np.arange(many + 1))
@@ -96,9 +104,9 @@ def _fragments(size: int, many: int):
                 if a < b:
                     own = np.argsort(owner[a:b], kind="stable")
                     ids, sizes = np.unique(owner[a:b], return_counts=True)
-                    rows.append((f, packed(d[ids]), packed(sizes.astype(np.uint32)), packed(h[a:b][own]), packed(shared[a:b][own])))
-            kinds = (pa.int64(), *[pa.binary()] * 4)
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["fragment", "digests", "counts", "tokens", "known"])
+                    rows.append((f, packed(d[ids]), packed(sizes.astype(np.uint32)), packed(short_tokens(h[a:b], shared[a:b])[own])))
+            kinds = (pa.int64(), *[pa.binary()] * 3)
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["fragment", "digests", "counts", "tokens"])
         release()
 
     return run
@@ -106,14 +114,13 @@ def _fragments(size: int, many: int):
 
 def _shared_counts(rows: pa.Table) -> pa.Table:
     """For one fragment: how many tokens of each class are in more than one class."""
-    digests, counts, tokens, known, local_d, local_n = [], [], [], [], [], []
-    for d, n, t, k in zip(*(rows.column(c) for c in ("digests", "counts", "tokens", "known"))):
+    digests, counts, tokens, local_d, local_n = [], [], [], [], []
+    for d, n, t in zip(*(rows.column(c) for c in ("digests", "counts", "tokens"))):
         d, n = np.frombuffer(d.as_buffer(), np.uint64).reshape(-1, 2), np.frombuffer(n.as_buffer(), np.uint32)
         if len(t.as_buffer()):
             digests.append(d)
             counts.append(n)
-            tokens.append(np.frombuffer(t.as_buffer(), np.uint64))
-            known.append(np.frombuffer(k.as_buffer(), bool))
+            tokens.append(np.frombuffer(t.as_buffer(), np.uint32))
         else:
             local_d.append(d)
             local_n.append(n.astype(np.int64))
@@ -121,8 +128,9 @@ def _shared_counts(rows: pa.Table) -> pa.Table:
     if tokens:
         classes, number = np.unique(np.concatenate(digests), axis=0, return_inverse=True)
         c = np.repeat(number.reshape(-1).astype(np.int32), np.concatenate(counts))
-        t, k = np.concatenate(tokens), np.concatenate(known)
-        del tokens, known, digests
+        t = np.concatenate(tokens)
+        t, k = t >> np.uint32(1), (t & np.uint32(1)).astype(bool)
+        del tokens, digests
         order = np.lexsort((c, t))
         c, t, k = c[order], t[order], k[order]
         del order
@@ -277,7 +285,7 @@ def _runs(batches: Iterator[pa.RecordBatch]):
 def _survivors(texts: DataFrame, sizes: DataFrame, size: int, percent: int) -> DataFrame:
     """(digest, n) of the classes that have enough shingles in common with other classes."""
     many = max(partitions(texts.sparkSession), (sizes.agg(F.sum("n")).first()[0] or 0) // TOKENS_PER_FRAGMENT + 1)
-    sent = texts.mapInArrow(_fragments(size, many), "fragment bigint, digests binary, counts binary, tokens binary, known binary")
+    sent = texts.mapInArrow(_fragments(size, many), "fragment bigint, digests binary, counts binary, tokens binary")
     packed_counts = sent.withColumn("buckets", F.lit(many)).groupBy("fragment").applyInArrow(_shared_counts, "bucket bigint, digests binary, counts binary")
     shared = packed_counts.groupBy("bucket").applyInArrow(_summed_counts, "digest binary, shared bigint")
     return sizes.join(shared, "digest").where(F.col("shared") * 100 >= F.col("n") * percent).select("digest", "n", "rows")
