@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheaftext.llm.common import CHUNK_BYTES, as_bytes, flat, materialise, packed, partitions, table
+from sheaftext.llm.common import CHUNK_BYTES, as_bytes, flat, materialise, packed, partitions, release, table
 from sheaftext.llm.words import _PLACE, mix, words
 
 LEAST = 100
@@ -122,6 +122,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     known = {}
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([packed(tokens)], pa.binary()), *(pa.nulls(1, pa.list_(t)) for t in (pa.int64(), pa.int64(), pa.binary()))], ["lang", "tokens", "numbers", "counts", "names"])
     yield from (v.row(k) for k, v in known.items())
+    release()
 
 
 def holds(bitmap: np.ndarray, numbers: np.ndarray) -> np.ndarray:
@@ -207,6 +208,7 @@ def _tally(spans: Callable[[np.ndarray], Iterator[tuple[int, np.ndarray, np.ndar
                         yield from c.sent(fragments)
         for c in held.values():
             yield from c.sent(fragments)
+        release()
 
     return run
 
@@ -226,7 +228,10 @@ def _summed(least: int):
         step = 8 * keys.shape[1]
         names = [raw[i : i + step] for i in range(0, len(raw), step)] if step else [b""] * int(often.sum())
         kinds = pa.int64()
-        return pa.table({"key": pa.array(names, pa.binary()), "size": pa.array(np.full(len(names), size), pa.int32()), "a": pa.array(counts[often], kinds), "left": pa.array(left[often].view(np.int64), kinds), "right": pa.array(right[often].view(np.int64), kinds), "hash": pa.array(hashes[often].view(np.int64), kinds)})
+        out = pa.table({"key": pa.array(names, pa.binary()), "size": pa.array(np.full(len(names), size), pa.int32()), "a": pa.array(counts[often], kinds), "left": pa.array(left[often].view(np.int64), kinds), "right": pa.array(right[often].view(np.int64), kinds), "hash": pa.array(hashes[often].view(np.int64), kinds)})
+        del c, hashes, keys, counts, left, right, often, raw, names
+        release()
+        return out
 
     return run
 
