@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
+from sheaftext.catalog.scans import _small_splits
+from sheaftext.llm import collocations, jaccard_join
+from sheaftext.llm.common import importable
+from sheaftext.operators.schema_docs import ddl_columns
 from sheaftext.session import scratch_root
 from sheaftext.sources.landing import expected_batches
+from sheaftext.sources.settings import settings_table
 
 
 @pytest.fixture
@@ -45,3 +52,67 @@ def test_files_find_their_table_without_a_row_per_beginning(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and "Join" not in plan
     assert expected_batches(files, expected.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("query", "label"), [("csv_multiline_documents", "documents-csv"), ("csv_multiline_ragged", "documents-ragged")])
+def test_documents_are_written_by_several_tasks(spark, documents, query, label):
+    since = set(Path(scratch_root(spark).removeprefix("file:")).glob(f"{label}-*"))
+    with _small_splits(spark, f"{documents}/documents.parquet", 4096):  # a task per row group
+        found = entry.queries()[query](spark, documents)
+    assert found.where("doc_id is not null").count() == 400
+    assert sum(size > 0 for size in written(spark, label, since)) > 1
+
+
+def test_splits_grow_with_the_files(spark, tmp_path):
+    key = "spark.sql.files.maxPartitionBytes"
+    kept = spark.conf.get(key)
+    for size, split in ((100, 4096), (64 * 10_000, 10_000), (1 << 20, 1 << 14)):
+        (tmp_path / "f").write_bytes(b"x" * size)
+        with _small_splits(spark, str(tmp_path), 4096):
+            assert int(spark.conf.get(key)) == split
+    assert spark.conf.get(key) == kept
+
+
+def test_settings_shuffle_one_row_per_document(spark):
+    rows = [("a", "x=1\n database = d=e \nretention=5\nretention=6"), ("a", "\n\n\n\nretention=4\r\nfile_count=2\r\ndemiliter=|"), ("b", None), (None, "retention=9")]
+    found = settings_table(spark.createDataFrame(rows, "doc string, text string"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+    got = sorted((r.doc or "", r.retention, r.database, r.file_count, r.delimiter) for r in found.collect())
+    assert got == [("", None, None, None, ";"), ("a", 5, " d=e ", 2, "|"), ("a", 5, " d=e ", 2, "|"), ("b", None, None, None, ";")]
+
+
+def test_control_files_are_scanned_once_by_tokens(spark):
+    texts = ["CREATE TABLE T (A INT DEFAULT '\U0001f600,(', B DECIMAL(9 , 2) DEFAULT (f(1, (2))), C CHARACTER(3) DEFAULT \")`\") ; (x, y)", "CREATE TABLE U (A INT, B 'INT)", "CREATE TABLE V (A (INT", None]
+    found = ddl_columns(spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "doc string, text string"))
+    assert sorted((r.doc, r.position, r.column_name, r.legacy_type) for r in found.collect()) == [("0", 0, "A", "INT"), ("0", 1, "B", "DECIMAL(9,2)"), ("0", 2, "C", "CHARACTER(3)")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
+
+
+def test_filter_sends_four_bytes_of_a_shingle(spark):
+    batch = pa.RecordBatch.from_arrays([pa.array([b"a b c d e f g", b"a b c d x y z"], pa.binary())], ["text"])
+    sent = pa.Table.from_batches(jaccard_join._fragments(4, 8)(iter([batch])))
+    tokens = sum(np.frombuffer(c, np.uint32).sum() for c, t in zip(sent.column("counts").to_pylist(), sent.column("tokens").to_pylist()) if t)
+    assert sum(len(t) for t in sent.column("tokens").to_pylist()) == 4 * tokens
+    importable(spark)
+    docs = spark.createDataFrame([(1, "a b c d e f g h"), (2, "a b c d e f g h i"), (3, "a b c d"), (4, "q r s t u v")], "doc_id bigint, text string")
+    rows = lambda: sorted(map(tuple, jaccard_join.jaccard_components(docs, 4, 80).select("doc_id", "component_id", "n_links").collect()))
+    assert rows() == [(1, 1, 1), (2, 1, 1), (3, 3, 0), (4, 4, 0)]
+
+
+def test_shingles_alike_in_the_filter_only_add_to_what_is_compared():
+    digests = np.arange(4, dtype=np.uint64).reshape(2, 2)
+    row = lambda tokens: {"digests": jaccard_join.packed(digests), "counts": jaccard_join.packed(np.array([2, 1], np.uint32)), "tokens": jaccard_join.packed(np.array(tokens, np.uint32)), "buckets": 1}
+    shared = lambda tokens: sum(np.frombuffer(c, np.int64).sum() for c in jaccard_join._shared_counts(pa.Table.from_pylist([row(tokens)])).column("counts").to_pylist())
+    assert shared([2, 4, 6]) == 0 and shared([2, 4, 4]) == 2 and shared([4, 4, 4]) == 3
+
+
+def test_counting_tasks_give_memory_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(collocations, "release", lambda: calls.append(1))
+    text = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([b"a b c"], pa.binary())], ["lang", "text"])
+    encoded = list(collocations._encode(iter([text])))
+    tokens = pa.RecordBatch.from_arrays([encoded[0].column("tokens")], ["tokens"])
+    spans = lambda t: iter([(2, np.array([0]), np.array([7], np.uint64), True)])
+    sent = pa.Table.from_batches(collocations._tally(spans, 1)(iter([tokens])))
+    assert collocations._summed(1)(sent).num_rows == 1 and len(calls) == 3
