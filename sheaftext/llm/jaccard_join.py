@@ -4,20 +4,21 @@ A document's set holds its distinct shingles as 64-bit hashes. The work goes in
 lists the pairs of a group:
 
 1. Documents with equal sets become one class; from here on there are only classes.
-2. Shingles are sent to fragments of the hash space, blockwise, without repeats and cut to 32 bits, and each class gets back
-   at least how many of its shingles another class has too. A link needs ``threshold`` of them, so the rest can't link.
+2. Shingles are sent to fragments of the hash space, by groups of texts, without repeats and cut to 32 bits, with 16 bits for the text. Each
+   text gets back at least how many of its shingles another class has too. A link needs ``threshold`` of them, so the rest can't link.
+   Groups don't know of copies in each other: a shingle with no more holders than the class has copies counts for nothing.
 3. For the classes left, shingles are put in the global order (number of classes, hash). The first few of a
    class (the prefix) must hold a shingle of any partner. Each class takes as its home the most typical
    class that shares a prefix shingle, and is put into a block of classes of its home (small homes share blocks).
-4. The global order is cut into fragments. Two blocks that share a prefix shingle form a cell, and so does a block with itself,
-   so every pair that can link is in one cell.
+4. The global order is cut into fragments. Two blocks that share a prefix shingle form a cell of the classes that hold such
+   a shingle, and so does a whole block with itself, so every pair that can link is in one cell.
 5. Cells are dealt out; each arrives fragment by fragment. Partial overlaps of the pairs of a cell are counted in each fragment separately and
    summed per pair. Shingles with the same holders are counted once, with their number as weight. The cell gives a
    spanning forest of its links, and for each class the documents it is linked with; pairs are never listed.
 
 Memory: a cell has at most two blocks of ``BLOCK`` classes (a shared block: as many small homes as hash to it), one fragment of their
 shingles is held at a time besides one number per pair. Hot groups: exact copies vanish in step 1, before texts are
-joined; a shingle held by a third of all documents is sent once per block in step 2 and is last in the order in step 3. Near copies of one
+joined; a shingle held by a third of all documents is sent once per group in step 2 and is last in the order in step 3. Near copies of one
 document fill blocks of one home, whose cells are spread over all tasks; their number of pairs of blocks grows with the square of the group,
 as every link between different texts is counted.
 
@@ -33,14 +34,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaftext.llm.common import as_bytes, chunks, materialise, packed, partitions, release, table
+from sheaftext.llm.common import as_bytes, chunks, flat, materialise, packed, partitions, release, table
 from sheaftext.llm.components import components
 from sheaftext.llm.words import distinct_per_text, mix, shingles, words
 
 TOKENS_PER_FRAGMENT = 500_000
+GROUP_TOKENS = 1_000_000  # shingles that a task collects before it deals them out to fragments
+GROUP_TEXTS = 1 << 16
+MANY = (1 << 16) - 1  # holders of a token, if so many or known to be of several classes
 BLOCK = 512
 FEW = 8  # holders of a shingle up to which its pairs are listed inside a task
 FRAGMENTS = 4
@@ -77,17 +82,34 @@ def short_tokens(h: np.ndarray, known: np.ndarray) -> np.ndarray:
     return ((mix(h) >> _U(33)) << _U(1)).astype(np.uint32) | known.astype(np.uint32)
 
 
+def _groups(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts in groups of about ``GROUP_TOKENS`` shingles: hashes, the number in the group of each one's text, digests of the texts."""
+    held, tokens, texts = [], 0, 0
+    for _, data, offsets in chunks(batches):
+        for a in range(0, len(offsets) - 1, GROUP_TEXTS):
+            cut = offsets[a : a + GROUP_TEXTS + 1]
+            h, at, d = sets_of(data[cut[0] : cut[-1]], cut - cut[0], size)
+            if held and (tokens + len(h) > GROUP_TOKENS or texts + len(d) > GROUP_TEXTS):
+                yield tuple(map(np.concatenate, zip(*held)))
+                held, tokens, texts = [], 0, 0
+            held.append((h, np.repeat(np.arange(texts, texts + len(d)).astype(np.uint16), np.diff(at)), d))
+            tokens, texts = tokens + len(h), texts + len(d)
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
 def _fragments(size: int, many: int):
-    """Per chunk of texts and fragment: digests, tokens each, short tokens; first the counts that the chunk itself can tell."""
+    """Per group of texts and fragment: how many tokens, which text of the group each is of, short tokens. First, without tokens, the digests of
+    the group, the counts that the group itself can tell, and the sizes; so a text costs the same bytes a shingle whatever the number of fragments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, offsets in chunks(batches):
-            h, at, d = sets_of(data, offsets, size)
+        for h, owner, d in _groups(batches, size):
+            name = int(np.sum(mix(d[:, 0] ^ mix(np.arange(1, len(d) + 1, dtype=np.uint64))), dtype=np.uint64) >> _U(16))
             _, first = np.unique(d, axis=0, return_index=True)
             keep = np.zeros(len(d), bool)
             keep[first] = True
-            keep &= np.diff(at) > 0
-            owner = np.repeat(np.arange(len(d)), np.diff(at))
+            sizes = np.bincount(owner, minlength=len(d))
+            keep &= sizes > 0
             h, owner = h[keep[owner]], owner[keep[owner]]
             order = np.argsort(h, kind="stable")
             h, owner = h[order], owner[order]
@@ -95,25 +117,49 @@ def _fragments(size: int, many: int):
             same[1:-1] = h[1:] == h[:-1]
             shared, repeat = same[:-1] | same[1:], same[:-1]
             counts = np.bincount(owner[shared], minlength=len(d))
-            local = np.flatnonzero(counts)
-            rows = [(int(h[0] % _U(many)) if len(h) else 0, packed(d[local]), packed(counts[local].astype(np.uint32)), b"")]
+            own = np.flatnonzero(keep)
+            rows = [(int(h[0] % _U(many)) if len(h) else 0, name, packed(d[own]), packed(np.stack([counts[own], sizes[own]], axis=1).astype(np.uint32)), packed(own.astype(np.uint16)), b"")]
             h, owner, shared = h[~repeat], owner[~repeat], shared[~repeat]
-            fragment = ((h >> _U(40)) * _U(many) >> _U(24)).astype(np.int64)  # sorted, as h is
-            cuts = np.searchsorted(fragment, np.arange(many + 1))
-            for f, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-                if a < b:
-                    own = np.argsort(owner[a:b], kind="stable")
-                    ids, sizes = np.unique(owner[a:b], return_counts=True)
-                    rows.append((f, packed(d[ids]), packed(sizes.astype(np.uint32)), packed(short_tokens(h[a:b], shared[a:b])[own])))
-            kinds = (pa.int64(), *[pa.binary()] * 3)
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["fragment", "digests", "counts", "tokens"])
+            fragment = ((h >> _U(40)) * _U(many) >> _U(24)).astype(np.int64)
+            order = np.lexsort((owner, fragment))
+            owner, tokens = owner[order], short_tokens(h, shared)[order]
+            cuts = np.searchsorted(fragment, np.arange(many + 1))  # sorted, as h is
+            for f in np.flatnonzero(np.diff(cuts)).tolist():
+                a, b = cuts[f], cuts[f + 1]
+                rows.append((f, name, b"", packed(np.array([b - a], np.uint32)), packed(owner[a:b]), packed(tokens[a:b])))
+            kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 4)
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["fragment", "name", "digests", "counts", "owners", "tokens"])
         release()
 
     return run
 
 
+def _shared_places(rows: pa.Table) -> pa.Table:
+    """For one fragment: how many tokens of each text are in more than one; a text goes by its place, the name of its group and its number there."""
+    buckets = rows.column("buckets")[0].as_py()
+    out = []
+    for name, d, n, o in zip(*(rows.column(c) for c in ("name", "digests", "counts", "owners"))):
+        if len(d.as_buffer()):
+            places = _U(name.as_py()) << _U(16) | np.frombuffer(o.as_buffer(), np.uint16).astype(np.uint64)
+            out.append((name.as_py() % buckets, d.as_py(), packed(places), n.as_py(), b""))
+    tokens, at = flat(rows.column("tokens"))
+    if len(tokens):
+        sent = pc.greater(pc.binary_length(rows.column("tokens")), 0)
+        owner = flat(rows.column("owners").filter(sent))[0].view(np.uint16)
+        name = np.repeat(rows.column("name").to_numpy().astype(np.uint64), np.diff(at) // 4)
+        start = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (name[1:] != name[:-1])))
+        digests, counts = np.stack([name[start], owner[start].astype(np.uint64)], axis=1), np.diff(np.append(start, len(owner))).astype(np.uint32)
+        del owner, name
+        found = _shared_counts(pa.table({"digests": [packed(digests)], "counts": [packed(counts)], "tokens": [tokens.tobytes()], "buckets": [buckets]}))
+        for bucket, d, n, k in zip(*(found.column(c) for c in ("bucket", "digests", "counts", "holders"))):
+            d = np.frombuffer(d.as_buffer(), np.uint64).reshape(-1, 2)
+            out.append((bucket.as_py(), b"", packed(d[:, 0] << _U(16) | d[:, 1]), packed(np.frombuffer(n.as_buffer(), np.int64).astype(np.uint32)), k.as_py()))
+    kinds = (pa.int64(), *[pa.binary()] * 4)
+    return pa.table([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], ["bucket", "digests", "places", "counts", "holders"])
+
+
 def _shared_counts(rows: pa.Table) -> pa.Table:
-    """For one fragment: how many tokens of each class are in more than one class."""
+    """For one fragment: how many tokens of each class are in more than one class, by the number of classes that hold them."""
     digests, counts, tokens, local_d, local_n = [], [], [], [], []
     for d, n, t in zip(*(rows.column(c) for c in ("digests", "counts", "tokens"))):
         d, n = np.frombuffer(d.as_buffer(), np.uint64).reshape(-1, 2), np.frombuffer(n.as_buffer(), np.uint32)
@@ -124,7 +170,7 @@ def _shared_counts(rows: pa.Table) -> pa.Table:
         else:
             local_d.append(d)
             local_n.append(n.astype(np.int64))
-    out_d, out_n = local_d, local_n
+    out_d, out_n, out_h = local_d, local_n, [np.full(len(n), MANY) for n in local_n]
     if tokens:
         classes, number = np.unique(np.concatenate(digests), axis=0, return_inverse=True)
         c = np.repeat(number.reshape(-1).astype(np.int32), np.concatenate(counts))
@@ -138,22 +184,23 @@ def _shared_counts(rows: pa.Table) -> pa.Table:
         start[1:] = t[1:] != t[:-1]
         del t
         group = np.cumsum(start, dtype=np.int32) - 1
-        other = np.zeros(len(c), bool)
-        other[1:] = ~start[1:] & (c[1:] != c[:-1])
-        shared = np.zeros(group[-1] + 1, bool)
-        shared[group[other | k]] = True
+        other = start.copy()
+        other[1:] |= c[1:] != c[:-1]
+        holders = np.minimum(np.bincount(group, other), MANY).astype(np.int64)
+        holders[group[k]] = MANY
         # a token that a block knew to be shared was counted there for the classes of that block
-        n = np.bincount(c[shared[group] & ~k], minlength=len(classes))
-        if n.any():
-            out_d, out_n = [*local_d, classes[n > 0]], [*local_n, n[n > 0]]
+        asked = (holders[group] > 1) & ~k
+        kinds, n = np.unique(c[asked].astype(np.int64) << 16 | holders[group[asked]], return_counts=True)
+        out_d, out_n, out_h = [*local_d, classes[kinds >> 16]], [*local_n, n], [*out_h, kinds & MANY]
     release()
     d = np.concatenate(out_d) if out_d else np.zeros((0, 2), np.uint64)
-    n = np.concatenate(out_n) if out_n else np.zeros(0, np.int64)
+    n, holders = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_n, out_h))
     bucket = (d[:, 0] % _U(rows.column("buckets")[0].as_py())).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     names, at = np.unique(bucket[order], return_index=True)
     parts = [order[a:b] for a, b in zip(at, [*at[1:], len(order)])]
-    return pa.table({"bucket": pa.array(names, pa.int64()), "digests": pa.array([packed(d[x]) for x in parts], pa.binary()), "counts": pa.array([packed(n[x]) for x in parts], pa.binary())})
+    column = lambda values: pa.array([packed(values[x]) for x in parts], pa.binary())
+    return pa.table({"bucket": pa.array(names, pa.int64()), "digests": column(d), "counts": column(n), "holders": column(holders.astype(np.uint16))})
 
 
 def _digest_array(d: np.ndarray) -> pa.Array:
@@ -161,12 +208,26 @@ def _digest_array(d: np.ndarray) -> pa.Array:
 
 
 def _summed_counts(rows: pa.Table) -> pa.Table:
-    """Shared tokens of each class of a bucket, over all fragments."""
-    d = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64).reshape(-1, 2) for x in rows.column("digests")])
-    n = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in rows.column("counts")])
-    classes, number = np.unique(d, axis=0, return_inverse=True)
-    total = np.bincount(number.reshape(-1), n, minlength=len(classes)).astype(np.int64)
-    return pa.table({"digest": _digest_array(classes), "shared": pa.array(total, pa.int64())})
+    """Tokens of each text of a bucket's groups that are in more than one text, over all fragments, by digest and number of holders.
+
+    A text with a token that no other holds is the only one of its class: all its shared tokens are shared with other classes.
+    """
+    own = pc.greater(pc.binary_length(rows.column("digests")), 0)
+    read = lambda part, name, kind: flat(part.column(name))[0].view(kind)
+    named, told = rows.filter(own), rows.filter(pc.invert(own))
+    places, first = np.unique(read(named, "places", np.uint64), return_index=True)
+    digests = read(named, "digests", np.uint64).reshape(-1, 2)[first]
+    local, sizes = read(named, "counts", np.uint32).reshape(-1, 2)[first].astype(np.int64).T
+    at = np.append(np.searchsorted(places, read(told, "places", np.uint64)), np.arange(len(places)))
+    n = np.append(read(told, "counts", np.uint32), local)
+    holders = np.append(read(told, "holders", np.uint16), np.full(len(places), MANY)).astype(np.int64)
+    alone = np.bincount(at, n, minlength=len(places)).astype(np.int64) < sizes
+    holders[alone[at]] = MANY
+    kinds, which = np.unique(at << 16 | holders, return_inverse=True)
+    shared, at, holders = np.bincount(which.reshape(-1), n, minlength=len(kinds)).astype(np.int64), kinds >> 16, kinds & MANY
+    last = holders == MANY  # each place has this row; it stands for the place
+    columns = (_digest_array(digests[at]), pa.array(holders), pa.array(shared), pa.array(last.astype(np.int64)))
+    return pa.table(columns, ["digest", "holders", "shared", "copies"]).filter(pa.array((shared > 0) | last & ~alone[at]))
 
 
 def _token_lists(size: int):
@@ -285,23 +346,27 @@ def _runs(batches: Iterator[pa.RecordBatch]):
 def _survivors(texts: DataFrame, sizes: DataFrame, size: int, percent: int) -> DataFrame:
     """(digest, n) of the classes that have enough shingles in common with other classes."""
     many = max(partitions(texts.sparkSession), (sizes.agg(F.sum("n")).first()[0] or 0) // TOKENS_PER_FRAGMENT + 1)
-    sent = texts.mapInArrow(_fragments(size, many), "fragment bigint, digests binary, counts binary, tokens binary")
-    packed_counts = sent.withColumn("buckets", F.lit(many)).groupBy("fragment").applyInArrow(_shared_counts, "bucket bigint, digests binary, counts binary")
-    shared = packed_counts.groupBy("bucket").applyInArrow(_summed_counts, "digest binary, shared bigint")
-    return sizes.join(shared, "digest").where(F.col("shared") * 100 >= F.col("n") * percent).select("digest", "n", "rows")
-
-
-def _ordered(sets: DataFrame) -> DataFrame:
-    """(node, n, rows, ranked): each class's shared shingles in the global order."""
+    sent = texts.mapInArrow(_fragments(size, many), "fragment bigint, name bigint, digests binary, counts binary, owners binary, tokens binary")
+    packed_counts = sent.withColumn("buckets", F.lit(many // 4 + 1)).groupBy("fragment").applyInArrow(_shared_places, "bucket bigint, digests binary, places binary, counts binary, holders binary")
+    told = packed_counts.groupBy("bucket").applyInArrow(_summed_counts, "digest binary, holders bigint, shared bigint, copies bigint")
+    told = told.groupBy("digest", "holders").agg(F.sum("shared").alias("shared"), F.sum("copies").alias("copies"))
+    # every copy of a class counts; a token with more holders than the class has copies is in another class
+    told = told.groupBy("digest").agg(F.sum("copies").alias("copies"), F.collect_list(F.struct("holders", "shared")).alias("told"))
+    shared = told.select("digest", "copies", F.expr(f"aggregate(filter(told, t -> t.holders = {MANY} or t.holders > copies), 0L, (sum, t) -> sum + t.shared)").alias("shared"))
+    return sizes.join(shared, "digest").where(F.col("shared") * 100 >= F.col("n") * percent * F.col("copies")).select("digest", "n", "rows")
+
+
+def _ordered(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, n, rows, ranked): each class's shared shingles in the global order, if they are enough for a link."""
     each = sets.select("node", F.explode("tokens").alias("token"))
     common = each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     ranked = each.join(common, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"))
-    return sets.select("node", "n", "rows").join(ranked, "node")
+    return sets.select("node", "n", "rows").join(ranked, "node").where(F.size("ranked") * 100 >= F.col("n") * percent)
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """(kind, a, b): edges between nodes that connect all linked classes, and sums of the rows that a node is linked with."""
-    ordered = materialise(_ordered(sets), "ordered")
+    ordered = materialise(_ordered(sets, percent), "ordered")
     rare = F.col("n") - F.size("ranked")  # shingles of no other class; they come first
     prefix = ordered.select("node", "n", rare.alias("rare"), F.expr("slice(ranked.token, 1, cast(greatest(n - floor((n * %d + 99) / 100) + 1 - (n - size(ranked)), 0) as int))" % percent).alias("prefix"))
     postings = materialise(prefix.select("node", "n", "rare", F.explode("prefix").alias("token")), "postings")
@@ -318,11 +383,13 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     meets = materialise(postings.select("node", "token").join(blocks, "node").select("token", "block").distinct(), "meets")
     several = meets.groupBy("token").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).where("lo < hi").select("token")
     across = meets.join(several, "token")
-    # equal lists of blocks make equal cells: each list is paired once
-    lists = across.groupBy("token").agg(F.sort_array(F.collect_list("block")).alias("blocks")).select("blocks").distinct()
-    pair = lists.select(F.posexplode("blocks").alias("at", "i"), "blocks").select("i", F.explode(F.expr("slice(blocks, at + 2, size(blocks))")).alias("j"))
-    cells = pair.union(blocks.select("block", "block")).distinct()
-    cells = materialise(cells.withColumn("cell", F.xxhash64("i", "j")), "cells")
+    # of two blocks, a cell takes the classes that hold a prefix shingle of both; equal lists of blocks are paired once for a class
+    lists = across.groupBy("token").agg(F.sort_array(F.collect_list("block")).alias("blocks")).withColumn("list", F.xxhash64("blocks"))
+    member = postings.select("node", "token").join(lists.select("token", "list"), "token").select("node", "list").distinct().join(blocks, "node")
+    met = member.join(lists.select("list", "blocks").dropDuplicates(["list"]), "list").select("node", "block", F.explode("blocks").alias("with"))
+    own = blocks.select("node", "block", F.col("block").alias("with"))
+    pair = (F.least("block", "with"), F.greatest("block", "with"))
+    sides = materialise(met.where("block <> with").union(own).distinct().select("node", "block", F.xxhash64(*pair).alias("cell")), "cells")
 
     order = F.col("r.df") + (F.col("r.token") / F.lit(2.0**64) + 0.5)
     pivots = ordered.select(F.explode("ranked").alias("r")).agg(F.percentile_approx(order, [i / FRAGMENTS for i in range(1, FRAGMENTS)], 1000)).first()[0] or [0.0] * (FRAGMENTS - 1)
@@ -331,9 +398,8 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     cut = lambda lo, hi: F.transform(F.filter("ranked", lambda r: (place(r) >= lo) & (place(r) < hi)), lambda r: r["token"])
     parts = F.array(*[F.struct(F.lit(f).alias("fragment"), cut(lo, hi).alias("tokens")) for f, (lo, hi) in enumerate(zip(ends, ends[1:]))])
     segments = materialise(ordered.select("node", "n", "rows", F.inline(parts)), "segments")
-    sides = cells.select("cell", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    placed = blocks.join(sides, "block").join(segments, "node").select("cell", "fragment", "node", "n", "rows", "block", "tokens")
-    many = max(partitions(sets.sparkSession), cells.count() // CELLS)
+    placed = sides.join(segments, "node").select("cell", "fragment", "node", "n", "rows", "block", "tokens")
+    many = max(partitions(sets.sparkSession), sides.select("cell").distinct().count() // CELLS)
     dealt = placed.repartition(many, "cell").sortWithinPartitions("cell", "fragment", "node")
     return materialise(dealt.mapInArrow(_cells(percent), "kind int, a bigint, b bigint"), "links")
 

@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as entry
 from sheaftext.catalog.scans import _small_splits
 from sheaftext.llm import collocations, jaccard_join
-from sheaftext.llm.common import importable
+from sheaftext.llm.common import as_bytes, flat, importable
 from sheaftext.operators.schema_docs import ddl_columns
 from sheaftext.session import scratch_root
 from sheaftext.sources.landing import expected_batches
@@ -116,3 +116,26 @@ def test_counting_tasks_give_memory_back(monkeypatch):
     spans = lambda t: iter([(2, np.array([0]), np.array([7], np.uint64), True)])
     sent = pa.Table.from_batches(collocations._tally(spans, 1)(iter([tokens])))
     assert collocations._summed(1)(sent).num_rows == 1 and len(calls) == 3
+
+
+def test_filter_sends_as_many_bytes_whatever_the_number_of_fragments():
+    texts = [" ".join(f"w{k * 13 + i}" for i in range(400)) for k in range(20)]
+    batch = pa.RecordBatch.from_arrays([pa.array([t.encode() for t in texts], pa.binary())], ["text"])
+    sent = lambda many: pa.Table.from_batches(jaccard_join._fragments(4, many)(iter([batch])))
+    size = lambda table: sum(len(v) for c in table.column_names[1:] for v in table.column(c).to_pylist() if isinstance(v, bytes))
+    few, many = sent(1), sent(512)
+    assert size(many) - 4 * many.num_rows == size(few) - 4 * few.num_rows  # a row has one number beside its tokens
+
+
+def test_copies_in_other_groups_are_not_shared_and_partners_are(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "GROUP_TEXTS", 1)
+    importable(spark)
+    long = " ".join(f"w{i}" for i in range(40))
+    docs = [(1, "a b c d e f"), (2, "A b c d e f"), (3, "a b c d e f"), (4, long), (5, long + " x"), (6, long), (7, "b c d e p q r s t"), (8, None)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    digests = jaccard_join.sets_of(*flat(pa.array([t.encode() for _, t in docs if t], pa.binary())), 4)[2]
+    sizes = spark.createDataFrame([(d.tobytes(), n, 1) for d, n in {(d.tobytes(), n): (d, n) for d, n in zip(digests, [3, 3, 3, 37, 38, 37, 6])}.values()], "digest binary, n bigint, rows bigint")
+    found = jaccard_join._survivors(frame.select(as_bytes("text").alias("text")), sizes, 4, 85)
+    assert sorted(r.n for r in found.collect()) == [37, 38]
+    rows = sorted(map(tuple, jaccard_join.jaccard_components(frame).select("doc_id", "component_id", "n_links").collect()))
+    assert rows == [(1, 1, 2), (2, 1, 2), (3, 1, 2), (4, 4, 2), (5, 4, 2), (6, 4, 2), (7, 7, 0), (8, 8, 0)]
